@@ -102,26 +102,34 @@ def iforest_nodes(train: DataFrame, features: Sequence[str], keys: Sequence[str]
                   trees: int = 100, sample_size: int = 256, seed: int = 42) -> DataFrame:
     """Node table of the forest, one row per node.
 
-    A sample of ``trees * sample_size`` rows is drawn once; every tree takes its
-    own ``sample_size`` rows of it by hash order. The work after the draw does not
-    grow with the data.
+    At most ``trees * sample_size`` rows are drawn once and dealt to the trees, so
+    what follows the draw does not grow with the data. A table that is too small
+    for disjoint samples is shuffled and dealt again, in as many rounds as needed.
     """
     max_depth = math.ceil(math.log2(max(sample_size, 2)))
     columns = list(features)
-    pool = sample_n(complete_rows(train, columns), trees * sample_size, keys, seed)
-    each = pool.select(*columns, *[F.col(k).alias(f"__key_{k}") for k in keys],
-                       F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
-    rank = sample_hash(["tree", *[f"__key_{k}" for k in keys]], seed)
-    order = Window.partitionBy("tree").orderBy("__rank")
-    drawn = (each.withColumn("__rank", rank)
-             .withColumn("__n", F.row_number().over(order)).filter(F.col("__n") <= sample_size))
+    rows = complete_rows(train, columns)
+    available = min(rows.count(), trees * sample_size)
+    per_round = max(1, available // sample_size)
+    rounds = math.ceil(trees / per_round)
+    pool = sample_n(rows.select(*dict.fromkeys([*keys, *columns])), trees * sample_size, keys, seed)
+    dealt = pool.select(
+        *[F.col(c).cast("double").alias(c) for c in columns],
+        *[F.col(k).alias(f"__key_{k}") for k in keys],
+        F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))).alias("__round"))
+    order = Window.partitionBy("__round").orderBy("__rank")
+    drawn = (dealt.withColumn("__rank", sample_hash(["__round", *[f"__key_{k}" for k in keys]], seed))
+             .withColumn("__n", F.row_number().over(order) - 1)
+             .filter(F.col("__n") < per_round * sample_size)
+             .withColumn("tree", (F.col("__round") * per_round
+                                  + F.floor(F.col("__n") / sample_size)).cast("int"))
+             .filter(F.col("tree") < trees))
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         rows = pdf.sort_values("__rank")[columns].to_numpy(dtype=float)
         return _grow(int(pdf["tree"].iloc[0]), rows, max_depth, seed)
 
-    return (drawn.select("tree", "__rank", *[F.col(c).cast("double").alias(c) for c in columns])
-            .groupBy("tree").applyInPandas(grow, NODE_SCHEMA))
+    return drawn.select("tree", "__rank", *columns).groupBy("tree").applyInPandas(grow, NODE_SCHEMA)
 
 
 def forest_from_nodes(nodes: pd.DataFrame, features: Sequence[str], offset: float = -0.5) -> Forest:

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.functions.signals import nan_to_null
+from millrace.session import scratch_path
 from millrace.operators.ordered import ROWS_PER_TASK, cut, hot_series, is_hot, running_sum
 
 
@@ -25,7 +26,8 @@ def group_quantiles(df: DataFrame, column: str, probs: Sequence[float], by: Sequ
     dtype = df.schema[column].dataType
     values = (df.select(*by, nan_to_null(F.col(column), dtype).cast("double").alias("__value"))
               .filter(F.col("__value").isNotNull()))
-    hot = hot_series(values, by, rows_per_task)
+    # Counting all rows bounds the values from above and does not evaluate ``column``.
+    hot = hot_series(df.select(*by), by, rows_per_task)
     flag = is_hot(values, by, hot)
     small = values.filter(~flag) if hot else values
     exact = (small.groupBy(*by)
@@ -40,12 +42,15 @@ def group_quantiles(df: DataFrame, column: str, probs: Sequence[float], by: Sequ
 
 def _ranked(values: DataFrame, probs: Sequence[float], by: Sequence[str],
             rows_per_task: int, name: str) -> DataFrame:
-    weighted = values.groupBy(*by, "__value").agg(F.count(F.lit(1)).alias("__weight"))
+    # Written out once: it is read for bounds, carries and ranks, and ``column`` may be costly.
+    spark = values.sparkSession
+    path = scratch_path(spark, "values")
+    values.groupBy(*by, "__value").agg(F.count(F.lit(1)).alias("__weight")).write.parquet(path)
+    weighted = spark.read.parquet(path)
     chunks = cut(weighted, by, ["__value"], rows_per_task)
     ranked = running_sum(chunks, chunks.df, F.col("__weight"), "__upto")
-    totals = values.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
-    # One row per hot group: at most rows / rows_per_task of them.
-    if by:
+    totals = weighted.groupBy(*by).agg(F.sum("__weight").alias("n"))
+    if by:  # one row per hot group: at most rows / rows_per_task of them
         same = [F.col(f"v.{c}").eqNullSafe(F.col(f"t.{c}")) for c in by]
         joined = ranked.alias("v").join(F.broadcast(totals.alias("t")), same).select(
             *[F.col(f"v.{c}").alias(c) for c in by], "__value", "__upto", "n")

@@ -1,0 +1,6 @@
+"""All registered queries. Importing a module registers its queries."""
+
+from millrace.queries import cleaning, detectors, faults, ingest, profiles, sequences
+from millrace.queries.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES", "cleaning", "detectors", "faults", "ingest", "profiles", "sequences"]
