@@ -15,6 +15,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Sessions are merged in each task before they are shuffled by key.
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     # RocksDB keeps streaming state on disk, so it is not bound by executor heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
