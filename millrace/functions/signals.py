@@ -26,8 +26,9 @@ def missing(column: Column, dtype: DataType) -> Column:
 
 
 def nan_to_null(column: Column, dtype: DataType) -> Column:
+    """NaN as null. The column is named once, so a costly expression runs once."""
     if isinstance(dtype, (DoubleType, FloatType)):
-        return F.when(~F.isnan(column), column)
+        return F.nanvl(column, F.lit(None).cast(dtype))
     return column
 
 

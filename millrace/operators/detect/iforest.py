@@ -12,10 +12,15 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.operators.features import complete_rows
 from millrace.operators.quantiles import quantiles
-from millrace.operators.sampling import sample_hash, sample_n
-
-NODE_SCHEMA = ("tree int, node int, feature int, threshold double, "
-               "left int, right int, depth int, size int")
+from millrace.operators.sizes import spread_if_small
+from millrace.operators.sampling import fast_hash, sample_n
+
+# Nodes are numbered as in a heap: the children of node i are 2i + 1 and 2i + 2.
+NODE_SCHEMA = "tree int, node int, feature int, threshold double, depth int, size int"
+# Rows walked through the trees at a time, so that the working arrays stay in cache.
+ROWS_PER_WALK = 8_192
+# Tasks that grow trees. Growing is short; a fixed number keeps it from being merged into one.
+GROW_TASKS = 32
 EULER = 0.5772156649
 
 
@@ -29,28 +34,39 @@ def path_length(n: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Forest:
-    """Node table as arrays [trees, nodes]; a leaf points to itself."""
+    """Complete binary trees as arrays [trees, nodes].
+
+    Below a leaf every comparison goes left, so each row ends on the lowest level,
+    where ``path`` holds the leaf's depth plus the expected path below it.
+    """
 
     features: tuple[str, ...]
     feature: np.ndarray
     threshold: np.ndarray
-    left: np.ndarray
-    right: np.ndarray
-    depth: np.ndarray        # depth of the node plus the expected path below it
+    path: np.ndarray
     sample_size: int
     levels: int
     offset: float = -0.5
 
     def score_samples(self, rows: np.ndarray) -> np.ndarray:
         """Minus the anomaly score: close to -1 for outliers, above -0.5 for normal rows."""
+        result = np.empty(len(rows))
+        for at in range(0, len(rows), ROWS_PER_WALK):
+            result[at:at + ROWS_PER_WALK] = self._walk(rows[at:at + ROWS_PER_WALK])
+        return result
+
+    def _walk(self, rows: np.ndarray) -> np.ndarray:
+        values = np.ascontiguousarray(rows).ravel()
+        first = np.arange(len(rows)) * rows.shape[1]
         total = np.zeros(len(rows))
-        at_row = np.arange(len(rows))
-        for t in range(len(self.feature)):
+        for feature, threshold, path in zip(self.feature, self.threshold, self.path):
             node = np.zeros(len(rows), dtype=np.int64)
             for _ in range(self.levels):
-                below = rows[at_row, self.feature[t][node]] <= self.threshold[t][node]
-                node = np.where(below, self.left[t][node], self.right[t][node])
-            total += self.depth[t][node]
+                above = values.take(first + feature.take(node)) > threshold.take(node)
+                node *= 2
+                node += 1
+                node += above
+            total += path.take(node)
         average = total / len(self.feature)
         return -np.exp2(-average / path_length(np.array([self.sample_size]))[0])
 
@@ -73,29 +89,35 @@ class Forest:
 
 
 def _grow(tree: int, rows: np.ndarray, max_depth: int, seed: int) -> pd.DataFrame:
-    """One isolation tree: random feature and cut until rows are alone or the depth is reached."""
+    """One isolation tree, level by level.
+
+    A node takes a random feature that varies in it and a random cut between that
+    feature's extremes; it stays a leaf if nothing varies or the depth is reached.
+    """
     rng = np.random.default_rng([seed, tree])
-    nodes, todo = [], [(rows, 0, None, "")]
-    while todo:
-        part, depth, parent, side = todo.pop()
-        node = len(nodes)
-        if parent is not None:
-            nodes[parent][side] = node
-        low, high = part.min(axis=0), part.max(axis=0)
-        usable = np.flatnonzero(high > low)
-        leaf = depth >= max_depth or len(part) <= 1 or len(usable) == 0
-        nodes.append({"tree": tree, "node": node, "feature": -1, "threshold": 0.0, "left": node,
-                      "right": node, "depth": depth, "size": len(part)})
-        if leaf:
-            continue
-        feature = int(rng.choice(usable))
-        cut = float(rng.uniform(low[feature], high[feature]))
-        if cut >= high[feature]:
-            cut = float(low[feature])
-        below = part[:, feature] <= cut
-        nodes[node].update(feature=feature, threshold=cut)
-        todo += [(part[~below], depth + 1, node, "right"), (part[below], depth + 1, node, "left")]
-    return pd.DataFrame(nodes)
+    node, levels = np.zeros(len(rows), dtype=np.int64), []
+    for depth in range(max_depth + 1):
+        ids, member, sizes = np.unique(node, return_inverse=True, return_counts=True)
+        order = np.argsort(member, kind="stable")
+        starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+        low = np.minimum.reduceat(rows[order], starts, axis=0)
+        high = np.maximum.reduceat(rows[order], starts, axis=0)
+        varies = high > low
+        feature = np.where(varies, rng.random(varies.shape), -1.0).argmax(axis=1)
+        at = np.arange(len(ids)), feature
+        cut = low[at] + rng.random(len(ids)) * (high[at] - low[at])
+        cut = np.where(cut < high[at], cut, low[at])
+        inner = varies.any(axis=1) & (depth < max_depth)
+        levels.append(pd.DataFrame({
+            "tree": tree, "node": ids, "feature": np.where(inner, feature, -1),
+            "threshold": np.where(inner, cut, 0.0), "depth": depth, "size": sizes}))
+        goes_on = inner[member]
+        rows, member, node = rows[goes_on], member[goes_on], node[goes_on]
+        if not len(rows):
+            break
+        above = rows[np.arange(len(rows)), feature[member]] > cut[member]
+        node = 2 * node + 1 + above
+    return pd.concat(levels, ignore_index=True)
 
 
 def iforest_nodes(train: DataFrame, features: Sequence[str], keys: Sequence[str],
@@ -109,16 +131,18 @@ def iforest_nodes(train: DataFrame, features: Sequence[str], keys: Sequence[str]
     max_depth = math.ceil(math.log2(max(sample_size, 2)))
     columns = list(features)
     rows = complete_rows(train, columns)
-    available = min(rows.count(), trees * sample_size)
+    total = rows.count()
+    available = min(total, trees * sample_size)
     per_round = max(1, available // sample_size)
     rounds = math.ceil(trees / per_round)
-    pool = sample_n(rows.select(*dict.fromkeys([*keys, *columns])), trees * sample_size, keys, seed)
+    pool = sample_n(rows.select(*dict.fromkeys([*keys, *columns])), trees * sample_size, keys, seed,
+                    portable=False, total=total)
     dealt = pool.select(
         *[F.col(c).cast("double").alias(c) for c in columns],
         *[F.col(k).alias(f"__key_{k}") for k in keys],
         F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))).alias("__round"))
     order = Window.partitionBy("__round").orderBy("__rank")
-    drawn = (dealt.withColumn("__rank", sample_hash(["__round", *[f"__key_{k}" for k in keys]], seed))
+    drawn = (dealt.withColumn("__rank", fast_hash(["__round", *[f"__key_{k}" for k in keys]], seed))
              .withColumn("__n", F.row_number().over(order) - 1)
              .filter(F.col("__n") < per_round * sample_size)
              .withColumn("tree", (F.col("__round") * per_round
@@ -129,28 +153,28 @@ def iforest_nodes(train: DataFrame, features: Sequence[str], keys: Sequence[str]
         rows = pdf.sort_values("__rank")[columns].to_numpy(dtype=float)
         return _grow(int(pdf["tree"].iloc[0]), rows, max_depth, seed)
 
-    return drawn.select("tree", "__rank", *columns).groupBy("tree").applyInPandas(grow, NODE_SCHEMA)
+    return (drawn.select("tree", "__rank", *columns).repartition(min(trees, GROW_TASKS), "tree")
+            .groupBy("tree").applyInPandas(grow, NODE_SCHEMA))
 
 
 def forest_from_nodes(nodes: pd.DataFrame, features: Sequence[str], offset: float = -0.5) -> Forest:
     """Forest from its node table (at most 2 * sample_size rows per tree)."""
     trees = sorted(nodes["tree"].unique())
-    width = int(nodes["node"].max()) + 1
-    shape = (len(trees), width)
+    levels = int(nodes["depth"].max())
+    shape = (len(trees), 2 ** (levels + 1) - 1)
     feature, threshold = np.zeros(shape, dtype=np.int64), np.full(shape, np.inf)
-    left = np.tile(np.arange(width), (len(trees), 1))
-    right, depth = left.copy(), np.zeros(shape)
+    path = np.zeros(shape)
     for t, tree in enumerate(trees):
         rows = nodes[nodes["tree"] == tree]
-        at = rows["node"].to_numpy()
-        inner = rows["feature"].to_numpy() >= 0
-        feature[t, at] = np.maximum(rows["feature"].to_numpy(), 0)
-        threshold[t, at] = np.where(inner, rows["threshold"].to_numpy(), np.inf)
-        left[t, at], right[t, at] = rows["left"].to_numpy(), rows["right"].to_numpy()
-        depth[t, at] = rows["depth"].to_numpy() + path_length(rows["size"].to_numpy())
+        at, inner = rows["node"].to_numpy(), rows["feature"].to_numpy() >= 0
+        feature[t, at[inner]] = rows["feature"].to_numpy()[inner]
+        threshold[t, at[inner]] = rows["threshold"].to_numpy()[inner]
+        leaf, depth = at[~inner], rows["depth"].to_numpy()[~inner]
+        length = depth + path_length(rows["size"].to_numpy()[~inner])
+        lowest = (leaf + 1) * 2 ** (levels - depth) - 1
+        path[t, lowest] = length
     sample = int(nodes.loc[nodes["node"] == 0, "size"].max())
-    return Forest(tuple(features), feature, threshold, left, right, depth, sample,
-                  int(nodes["depth"].max()), offset)
+    return Forest(tuple(features), feature, threshold, path, sample, levels, offset)
 
 
 def iforest_fit(train: DataFrame, features: Sequence[str], keys: Sequence[str], trees: int = 100,
@@ -162,6 +186,7 @@ def iforest_fit(train: DataFrame, features: Sequence[str], keys: Sequence[str],
     """
     nodes = iforest_nodes(train, features, keys, trees, sample_size, seed).toPandas()
     forest = forest_from_nodes(nodes, features, offset=0.0)
-    scored = complete_rows(train, features).select((-forest.score()).alias("score"))
+    rows = complete_rows(train, features).select(*features)
+    scored = spread_if_small(rows, rows.count()).select((-forest.score()).alias("score"))
     offset = quantiles(scored, "score", [contamination])[0]
     return forest_from_nodes(nodes, features, offset=offset)

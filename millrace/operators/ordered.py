@@ -54,13 +54,18 @@ class Chunks:
         return Window.partitionBy(*self.by, CHUNK).orderBy(*self.order_by)
 
 
-def hot_series(df: DataFrame, by: Sequence[str], rows_per_task: int) -> list:
+def hot_series(df: DataFrame, by: Sequence[str], rows_per_task: int,
+               total: int | None = None) -> list:
     """Keys and row counts of series with more than ``rows_per_task`` rows, in key order.
 
     One map-side combined count. At most ``rows / rows_per_task`` keys come back.
+    ``total``, if known, is the row count of the table; then no series of a small
+    table can be hot and nothing is counted.
     """
+    if total is not None and total <= rows_per_task:
+        return []
     if not by:
-        n = df.count()
+        n = df.count() if total is None else total
         return [(n,)] if n > rows_per_task else []
     counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
     return [tuple(r) for r in
@@ -82,14 +87,14 @@ def is_hot(df: DataFrame, by: Sequence[str], hot: list) -> Column:
 
 
 def cut(df: DataFrame, by: Sequence[str], order_by: Sequence[str],
-        rows_per_task: int = ROWS_PER_TASK) -> Chunks:
+        rows_per_task: int = ROWS_PER_TASK, total: int | None = None) -> Chunks:
     """Add CHUNK so that no ``(series, chunk)`` holds much more than ``rows_per_task`` rows.
 
     ``order_by`` should identify a row within its series: rows with one and the
     same order key always share a chunk.
     """
     by, order_by = tuple(by), tuple(order_by)
-    hot = hot_series(df, by, rows_per_task)
+    hot = hot_series(df, by, rows_per_task, total)
     hot_flag = is_hot(df, by, hot)
     if not hot:
         return Chunks(df.withColumn(CHUNK, F.lit(0)), by, order_by, (), hot_flag)

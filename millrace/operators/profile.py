@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions.signals import nan_to_null, typed_literal
 from millrace.operators.ordered import ROWS_PER_TASK
-from millrace.operators.quantiles import group_quantiles
+from millrace.operators.quantiles import ROWS_PER_BUFFER, group_quantiles
+from millrace.operators.sizes import broadcast_if_small
 from millrace.operators.windows import rolling_mean
 
 
@@ -20,7 +21,7 @@ def silence_profile(df: DataFrame, speed: str) -> DataFrame:
 
 
 def describe(df: DataFrame, column: str, by: Sequence[str] = (),
-             rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+             rows_per_task: int = ROWS_PER_BUFFER) -> DataFrame:
     """count, mean, std (sample), min, exact quartiles and max of the values present."""
     value = nan_to_null(F.col(column), df.schema[column].dataType)
     moments = df.groupBy(*by).agg(
@@ -34,7 +35,7 @@ def describe(df: DataFrame, column: str, by: Sequence[str] = (),
 
 
 def box_stats(df: DataFrame, column: str, by: Sequence[str] = (), whisker: float = 1.5,
-              rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+              rows_per_task: int = ROWS_PER_BUFFER) -> DataFrame:
     """Quartiles, whiskers (furthest values within ``whisker`` IQR) and outlier count."""
     value = nan_to_null(F.col(column), df.schema[column].dataType)
     rows = df.select(*by, value.cast("double").alias("__value")).filter(F.col("__value").isNotNull())
@@ -61,7 +62,7 @@ def _join_groups(rows: DataFrame, groups: DataFrame, by: Sequence[str]) -> DataF
             return rows.withColumns({f.name: F.lit(None).cast(f.dataType) for f in groups.schema})
         return rows.withColumns({
             f.name: typed_literal(row[f.name], f.dataType) for f in groups.schema})
-    keyed = groups.withColumnsRenamed({c: f"__by_{c}" for c in by})
+    keyed = broadcast_if_small(groups.withColumnsRenamed({c: f"__by_{c}" for c in by}))
     same = [rows[c].eqNullSafe(keyed[f"__by_{c}"]) for c in by]
     return rows.join(keyed, same, "left").drop(*[f"__by_{c}" for c in by])
 

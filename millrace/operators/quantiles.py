@@ -14,24 +14,27 @@ from pyspark.sql import DataFrame, functions as F
 
 from millrace.functions.signals import nan_to_null
 from millrace.session import scratch_path
-from millrace.operators.ordered import ROWS_PER_TASK, cut, hot_series, is_hot, running_sum
+from millrace.operators.ordered import cut, hot_series, is_hot, running_sum
+
+# Largest group whose distinct values may be kept in one aggregation buffer.
+ROWS_PER_BUFFER = 1_000_000
 
 
 def group_quantiles(df: DataFrame, column: str, probs: Sequence[float], by: Sequence[str] = (),
-                    rows_per_task: int = ROWS_PER_TASK, name: str = "quantiles") -> DataFrame:
+                    rows_per_task: int = ROWS_PER_BUFFER, name: str = "quantiles") -> DataFrame:
     """One row per group: ``by`` columns, ``n`` values and the array ``name``.
 
     Missing values (null, NaN) are left out; a group without values gives no row.
     """
-    dtype = df.schema[column].dataType
-    values = (df.select(*by, nan_to_null(F.col(column), dtype).cast("double").alias("__value"))
-              .filter(F.col("__value").isNotNull()))
+    value = nan_to_null(F.col(column), df.schema[column].dataType).cast("double")
+    values = df.select(*by, value.alias("__value"))
     # Counting all rows bounds the values from above and does not evaluate ``column``.
     hot = hot_series(df.select(*by), by, rows_per_task)
     flag = is_hot(values, by, hot)
     small = values.filter(~flag) if hot else values
+    # Missing values are left to the aggregates: a filter would evaluate ``column`` again.
     exact = (small.groupBy(*by)
-             .agg(F.count(F.lit(1)).alias("n"),
+             .agg(F.count("__value").alias("n"),
                   F.percentile("__value", F.array(*[F.lit(float(p)) for p in probs])).alias(name))
              .filter(F.col("n") > 0))
     if not hot:
@@ -46,7 +49,7 @@ def _ranked(values: DataFrame, probs: Sequence[float], by: Sequence[str],
     spark = values.sparkSession
     path = scratch_path(spark, "values")
     values.groupBy(*by, "__value").agg(F.count(F.lit(1)).alias("__weight")).write.parquet(path)
-    weighted = spark.read.parquet(path)
+    weighted = spark.read.parquet(path).filter(F.col("__value").isNotNull())
     chunks = cut(weighted, by, ["__value"], rows_per_task)
     ranked = running_sum(chunks, chunks.df, F.col("__weight"), "__upto")
     totals = weighted.groupBy(*by).agg(F.sum("__weight").alias("n"))
@@ -73,7 +76,7 @@ def _ranked(values: DataFrame, probs: Sequence[float], by: Sequence[str],
 
 
 def quantiles(df: DataFrame, column: str, probs: Sequence[float],
-              rows_per_task: int = ROWS_PER_TASK) -> list[float | None]:
+              rows_per_task: int = ROWS_PER_BUFFER) -> list[float | None]:
     """Quantiles of a whole column as Python numbers (one row reaches the driver)."""
     row = group_quantiles(df, column, probs, (), rows_per_task).select("quantiles").first()
     return list(row[0]) if row else [None] * len(probs)

@@ -12,6 +12,7 @@ from millrace.functions.signals import (
 from millrace.operators.ordered import (
     CHUNK, POSITION, ROWS_PER_TASK, cut, positions, previous, running_sum,
 )
+from millrace.operators.sizes import broadcast_if_small
 
 # Up to this many rows a plain ordered limit is merged cheaply in one task.
 SMALL_LIMIT = 10_000
@@ -93,21 +94,25 @@ def drop_fragments(df: DataFrame, fragment: Sequence[str], min_rows: int = 100)
     size never meets in one task.
     """
     sizes = df.groupBy(*fragment).agg(F.count(F.lit(1)).alias("__n"))
-    keep = sizes.filter(F.col("__n") >= min_rows).select(
-        *[F.col(c).alias(f"__by_{c}") for c in fragment])
+    keep = broadcast_if_small(sizes.filter(F.col("__n") >= min_rows).select(
+        *[F.col(c).alias(f"__by_{c}") for c in fragment]))
     same = [df[c].eqNullSafe(keep[f"__by_{c}"]) for c in fragment]
     return df.join(keep, same, "left_semi")
 
 
 def keys_at_ranks(df: DataFrame, order_by: Sequence[str], ranks: Sequence[int],
-                  rows_per_task: int = ROWS_PER_TASK) -> dict[int, tuple]:
+                  rows_per_task: int = ROWS_PER_TASK, total: int | None = None) -> dict[int, tuple]:
     """Order keys at the given 1-based ranks of the whole table.
 
     Counts per chunk locate each rank; only the chunks that hold one are sorted.
     """
     keys = df.select(*order_by)
-    chunks = cut(keys, (), order_by, rows_per_task)
-    counts = chunks.df.groupBy(CHUNK).agg(F.count(F.lit(1)).alias("n")).orderBy(CHUNK).collect()
+    total = df.count() if total is None else total
+    chunks = cut(keys, (), order_by, rows_per_task, total)
+    counts = [(0, total)]
+    if chunks.split:
+        counts = (chunks.df.groupBy(CHUNK).agg(F.count(F.lit(1)).alias("n"))
+                  .orderBy(CHUNK).collect())
     wanted, before = [], 0
     for chunk, n in counts:
         wanted += [(chunk, rank - before, rank) for rank in ranks if before < rank <= before + n]
@@ -141,9 +146,9 @@ def chronological_split(df: DataFrame, order_by: Sequence[str], train: float = 0
     n = df.count()
     ends = [int(n * train), int(n * validation)]
     at = keys_at_ranks(df, order_by, sorted({r for e in ends for r in (e, e + 1) if 1 <= r <= n}),
-                       rows_per_task)
+                       rows_per_task, n)
     if any(1 <= e < n and at[e] == at[e + 1] for e in ends):
-        chunks = cut(df, (), order_by, rows_per_task)
+        chunks = cut(df, (), order_by, rows_per_task, n)
         numbered = positions(chunks, chunks.df)
         tests = [F.col(POSITION) <= e for e in ends]
     else:
@@ -163,9 +168,9 @@ def tail_rows(df: DataFrame, order_by: Sequence[str], n: int = 50_000,
     if total <= n:
         return df
     start = total - n
-    at = keys_at_ranks(df, order_by, [start, start + 1], rows_per_task)
+    at = keys_at_ranks(df, order_by, [start, start + 1], rows_per_task, total)
     if at[start] != at[start + 1]:
         key = F.struct(*[F.col(c) for c in order_by])
         return df.filter(key >= _key_literal(df, order_by, at[start + 1]))
-    chunks = cut(df, (), order_by, rows_per_task)
+    chunks = cut(df, (), order_by, rows_per_task, total)
     return positions(chunks, chunks.df).filter(F.col(POSITION) > start).drop(CHUNK, POSITION)

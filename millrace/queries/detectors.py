@@ -7,11 +7,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.operators import scaling
 from millrace.operators.detect import consensus, iforest, pca, window_model
+from millrace.operators.sizes import spread_if_small
 from millrace.queries.profiles import SPLIT_SQL, rounded, scaled_signals
 from millrace.queries.registry import (
     EJECTION, FORCE, SIGNAL_ORDER, SIGNALS_SQL, SPEED, THICKNESS, query, signals, table,
 )
 from millrace.queries.sequences import SENSORS, USER
+from millrace.sources.layers import stored
 
 ROW_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]
 ROW_FEATURES = [EJECTION, FORCE, SPEED, THICKNESS]
@@ -103,7 +105,8 @@ def iforest_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows flagged by a forest fitted for 5 % outliers, over all rows."""
     rows = _row_table(spark, sf_dir)
     forest = iforest.iforest_fit(rows, ROW_FEATURES, ROW_KEYS)
-    scored = rows.select(forest.score().alias("score"))
+    narrow = rows.select(*ROW_FEATURES)
+    scored = spread_if_small(narrow, narrow.count()).select(forest.score().alias("score"))
     return scored.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("score") > 0).alias("flagged"),
                       F.round(F.avg("score"), 6).alias("mean_score"),
                       F.round(F.max("score"), 6).alias("max_score"))
@@ -112,11 +115,11 @@ def iforest_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _fixed_forest() -> iforest.Forest:
     """Two hand-written trees over (l_quantity, l_tax)."""
     import pandas as pd
-    columns = ["tree", "node", "feature", "threshold", "left", "right", "depth", "size"]
+    columns = ["tree", "node", "feature", "threshold", "depth", "size"]
     nodes = pd.DataFrame([
-        (0, 0, 0, 10.0, 1, 2, 0, 8), (0, 1, -1, 0.0, 1, 1, 1, 1), (0, 2, 1, 0.035, 3, 4, 1, 7),
-        (0, 3, -1, 0.0, 3, 3, 2, 2), (0, 4, -1, 0.0, 4, 4, 2, 5),
-        (1, 0, 1, 0.065, 1, 2, 0, 8), (1, 1, -1, 0.0, 1, 1, 1, 6), (1, 2, -1, 0.0, 2, 2, 1, 2),
+        (0, 0, 0, 10.0, 0, 8), (0, 1, -1, 0.0, 1, 1), (0, 2, 1, 0.035, 1, 7),
+        (0, 5, -1, 0.0, 2, 2), (0, 6, -1, 0.0, 2, 5),
+        (1, 0, 1, 0.065, 0, 8), (1, 1, -1, 0.0, 1, 6), (1, 2, -1, 0.0, 1, 2),
     ], columns=columns)
     return iforest.forest_from_nodes(nodes, [EJECTION, THICKNESS], offset=-0.5)
 
@@ -240,7 +243,7 @@ def detect_or(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def triple_models(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, consensus.TripleDetector]:
     """Scaled signals and three detectors fitted on the training part."""
-    rows = scaled_signals(spark, sf_dir)
+    rows = stored(scaled_signals(spark, sf_dir), "scaled", ["split"])
     train = rows.filter(F.col("split") == "train")
     model = _window_model(train)
     errors = window_model.window_error(train, USER, SIGNAL_ORDER, model, stride=5)

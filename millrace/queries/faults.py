@@ -6,11 +6,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.operators import profile, stress
 from millrace.operators.detect import pca, window_model
+from millrace.operators.detect.consensus import percentile_threshold
+from millrace.operators.ordered import CHUNK, cut, positions
 from millrace.operators.windows import sliding_windows
 from millrace.queries.detectors import PCA2_SQL, WINDOW
 from millrace.queries.profiles import rounded, scaled_signals
 from millrace.queries.registry import SIGNAL_ORDER, SIGNALS_SQL, query, signals, table
 from millrace.queries.sequences import SENSORS, USER
+from millrace.sources.layers import stored
 
 ROW_SCENARIOS = stress.row_scenarios(SENSORS)
 WINDOW_SCENARIOS = [("spike", "value", 2.0), ("drift", "k", 3.0), ("freeze", "value", 0.0),
@@ -85,7 +88,6 @@ FROM planned
 """)
 def inject_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scheduled faults by the row's step in its series."""
-    from millrace.operators.ordered import CHUNK, cut, positions
     chunks = cut(signals(spark, sf_dir), USER, SIGNAL_ORDER)
     rows = positions(chunks, chunks.df, "step").withColumn("step", F.col("step") - 1).drop(CHUNK)
     faulty = stress.inject_stream(rows, fault_schedule(spark, sf_dir), USER, "step", SENSORS)
@@ -115,11 +117,10 @@ def row_sensitivity_pca(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("window_sensitivity")
 def window_sensitivity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Detection rate, SNR and error of the window model per fault."""
-    rows = scaled_signals(spark, sf_dir)
+    rows = stored(scaled_signals(spark, sf_dir), "scaled", ["split"])
     train, test = rows.filter(F.col("split") == "train"), rows.filter(F.col("split") != "train")
     model = window_model.window_model_fit(train, USER, SIGNAL_ORDER, SENSORS, WINDOW // 2, 3)
     errors = window_model.window_error(train, USER, SIGNAL_ORDER, model, stride=5)
-    from millrace.operators.detect.consensus import percentile_threshold
     limit = percentile_threshold(errors, "mae")
     drawn = stress.sample_windows(test, USER, SIGNAL_ORDER, SENSORS, WINDOW // 2, 100)
     trials = stress.window_sensitivity(

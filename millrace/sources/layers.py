@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from millrace.session import scratch_path
+
 LAYERS = ("bronze", "silver", "gold")
 
 
@@ -66,6 +68,17 @@ def write_layer(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
+def stored(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """``df`` written once to the shared folder and read from there.
+
+    For a table that several passes read: the passes prune columns and partitions,
+    and a lost executor costs a file scan instead of the whole lineage.
+    """
+    path = scratch_path(df.sparkSession, name)
+    write_layer(df, path, partition_by)
+    return df.sparkSession.read.parquet(path)
+
+
 def write_report(df: DataFrame, path: str, fmt: str = "csv") -> None:
     writer = df.write.mode("overwrite")
     if fmt == "csv":
