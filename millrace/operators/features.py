@@ -11,6 +11,7 @@ from millrace.functions.signals import (
     diameter_from_strength, normalize_code, tensile_strength,
 )
 from millrace.operators.cleaning import coerce_and_drop, positive_guard
+from millrace.operators.sizes import broadcast_if_small
 
 # Key and value of the fixed product dimension: code -> diameter in mm.
 # They must equal the published map.
@@ -33,12 +34,13 @@ def enrich_dimension(df: DataFrame, dimension: DataFrame, code: str,
                      dimension_code: str = "product_code") -> DataFrame:
     """Left look-up of the dimension's attributes by normalised product code.
 
-    Unmapped codes keep null attributes. There is no broadcast hint: Spark
-    broadcasts a dimension it knows to be small (the product map has 25 rows) and
-    otherwise joins by key, splitting skewed codes at run time.
+    Unmapped codes keep null attributes. The dimension (the product map has 25
+    rows) is broadcast if a count confirms that it is small; a larger one is joined
+    by key, and Spark splits skewed codes at run time.
     """
     attributes = [c for c in dimension.columns if c != dimension_code]
-    keyed = dimension.select(normalize_code(F.col(dimension_code)).alias("__code"), *attributes)
+    keyed = broadcast_if_small(
+        dimension.select(normalize_code(F.col(dimension_code)).alias("__code"), *attributes))
     return (df.withColumn("__lookup", normalize_code(F.col(code)))
             .join(keyed, F.col("__lookup") == F.col("__code"), "left")
             .drop("__lookup", "__code"))

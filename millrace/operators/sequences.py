@@ -76,9 +76,10 @@ def trim_warmup(df: DataFrame, fragment: Sequence[str], order_by: Sequence[str],
     """Drop the first ``warmup_rows`` rows of every fragment, then fragments that are too short.
 
     A fragment needs ``min_rows`` rows after the warm-up to stay. Both rules share
-    one shuffle and one sort; a hot fragment passes the size rule by definition.
+    one shuffle and one sort. A fragment that is cut in chunks has more rows than
+    both rules ask for, so it always stays.
     """
-    chunks = cut(df, fragment, order_by, rows_per_task)
+    chunks = cut(df, fragment, order_by, max(rows_per_task, warmup_rows + min_rows))
     kept = positions(chunks, chunks.df).filter(F.col(POSITION) > warmup_rows)
     if min_rows:
         left = F.count(F.lit(1)).over(Window.partitionBy(*fragment, CHUNK))

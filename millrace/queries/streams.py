@@ -116,7 +116,15 @@ def session_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("sequence_id")
 
 
-@query("stream_sessions")
+@query("stream_sessions", f"""
+WITH {SIGNALS_SQL},
+steps AS (SELECT *, us - lag(us) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS d FROM signals),
+numbered AS (SELECT *, sum(CASE WHEN d <= 36000000000 THEN 0 ELSE 1 END)
+                       OVER (PARTITION BY user_id ORDER BY ts) AS s FROM steps)
+SELECT user_id, count(*) AS rows, CAST(min(us) AS BIGINT) AS start_us, CAST(max(us) AS BIGINT) AS end_us
+FROM numbered GROUP BY user_id, s
+HAVING max(us) + 36000000000 <= (SELECT max(us) FROM signals)
+""")
 def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sessions of the stream that the watermark has closed."""
     found = live.sessions(stream_signals(spark, sf_dir), USER, "ts", "10 hours")

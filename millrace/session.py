@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -24,13 +26,36 @@ RUNTIME_CONF = {
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to an existing session and return it."""
+    """Apply the runtime settings to an existing session and return it.
+
+    The package is sent to the executors once per application, so functions that
+    run in Python workers find it wherever the driver was started.
+    """
     for key, value in RUNTIME_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    app = spark.sparkContext.applicationId
+    if app not in _SHIPPED:
+        spark.sparkContext.addPyFile(_package_archive())
+        _SHIPPED.add(app)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def _package_archive() -> str:
+    """Zip of this package's modules, in a folder of the driver."""
+    package = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="millrace-code-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    target = f"{folder}/{package.name}.zip"
+    with zipfile.ZipFile(target, "w") as archive:
+        for module in sorted(package.rglob("*.py")):
+            archive.write(module, module.relative_to(package.parent))
+    return target
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "millrace", memory: str = "8g") -> SparkSession:
     """A local-mode session for tests and benchmarks."""
@@ -45,7 +70,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    return spark
+    return prepare(spark)
 
 
 def shared_folder(spark: SparkSession) -> str:
