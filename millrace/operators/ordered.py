@@ -16,11 +16,13 @@ the bounds fall.
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import BinaryType, DateType, TimestampNTZType, TimestampType
 
 from millrace.functions.signals import typed_literal
 
@@ -30,7 +32,7 @@ POSITION = "__position"
 # Largest series that is handled by one window partition (sorted with spill).
 ROWS_PER_TASK = 4_000_000
 # Upper bound of chunks, hence of literals in the plan and rows in a carry table.
-MAX_CHUNKS = 20_000
+MAX_CHUNKS = 4_096
 # Sampled rows per chunk when bounds are chosen, as many as Spark's own range exchange.
 SAMPLE_PER_CHUNK = 20
 
@@ -81,9 +83,9 @@ def is_hot(df: DataFrame, by: Sequence[str], hot: list) -> Column:
     keys = tuple(row[:-1] for row in hot)
     if len(by) == 1 and isinstance(keys[0][0], (int, str)) and (None,) not in keys:
         return F.coalesce(F.col(by[0]).isin([k[0] for k in keys]), F.lit(False))
-    array, key = _literals(df, by, keys), F.struct(*[F.col(c) for c in by])
-    nearest = F.get(array, _search(df, by, keys) - 1)
-    return F.coalesce(nearest.eqNullSafe(key), F.lit(False))
+    types = {f.name: f.dataType for f in df.schema}
+    return F.struct(*[F.col(c) for c in by]).isin([
+        F.struct(*[typed_literal(v, types[c]).alias(c) for v, c in zip(k, by)]) for k in keys])
 
 
 def cut(df: DataFrame, by: Sequence[str], order_by: Sequence[str],
@@ -101,34 +103,52 @@ def cut(df: DataFrame, by: Sequence[str], order_by: Sequence[str],
 
     n_hot = sum(row[-1] for row in hot)
     n_chunks = min(MAX_CHUNKS, math.ceil(n_hot / rows_per_task) + 1)
-    keys = list(by + order_by)
+    key = _key(df, by + order_by)
     fraction = min(1.0, SAMPLE_PER_CHUNK * n_chunks / n_hot)
-    sample = (df.filter(hot_flag).select(*keys).sample(fraction=fraction, seed=7)
-              .orderBy(*keys).collect())
+    sample = [row[0] for row in df.filter(hot_flag).select(key.alias("key"))
+              .sample(fraction=fraction, seed=7).orderBy("key").collect()]
     step = max(1, len(sample) // n_chunks)
     bounds = tuple(dict.fromkeys(tuple(r) for r in sample[step::step]))
-    chunk = F.when(hot_flag, _search(df, keys, bounds)).otherwise(F.lit(0))
-    return Chunks(df.withColumn(CHUNK, chunk), by, order_by, bounds, hot_flag)
-
-
-def _literals(df: DataFrame, names: Sequence[str], rows: tuple) -> Column:
-    types = {f.name: f.dataType for f in df.schema}
-    return F.array(*[F.struct(*[typed_literal(v, types[c]).alias(c) for v, c in zip(row, names)])
-                     for row in rows])
-
-
-def _search(df: DataFrame, keys: Sequence[str], bounds: tuple) -> Column:
-    """Number of sorted ``bounds`` that are <= the row's key, by binary search."""
+    return Chunks(_assign(df, key, bounds, hot_flag), by, order_by, bounds, hot_flag)
+
+
+def _key(df: DataFrame, names: Sequence[str]) -> Column:
+    """The columns as one comparable value in window order: null first, instants as numbers."""
+    fields = []
+    for i, c in enumerate(names):
+        dtype, column = df.schema[c].dataType, F.col(c)
+        if isinstance(dtype, (TimestampType, TimestampNTZType)):
+            column = F.unix_micros(column.cast("timestamp"))
+        elif isinstance(dtype, DateType):
+            column = F.unix_date(column)
+        elif isinstance(dtype, BinaryType):
+            column = F.hex(column)
+        fields.append(column.alias(f"k{i}"))
+    return F.struct(*fields)
+
+
+def _assign(df: DataFrame, key: Column, bounds: tuple, hot: Column) -> DataFrame:
+    """Add CHUNK: the number of sorted ``bounds`` that are <= the row's key, 0 for cold rows.
+
+    A binary search in a literal array, one projection per halving, so that all of
+    it is compiled into the stage that reads the rows. The array is filled up with
+    its last entry to 2^k - 1 places; the surplus is cut off at the end. It is
+    written as one JSON literal, which keeps the plan small.
+    """
     if not bounds:
-        return F.lit(0)
-    array, size = _literals(df, keys, bounds), F.lit(len(bounds))
-    key = F.struct(*[F.col(c) for c in keys])
-    steps = [2 ** i for i in reversed(range(len(bounds).bit_length()))]
-    return F.aggregate(
-        F.array(*[F.lit(s) for s in steps]), F.lit(0),
-        lambda found, step: F.when(
-            (found + step <= size) & (F.get(array, F.least(found + step, size) - 1) <= key),
-            found + step).otherwise(found))
+        return df.withColumn(CHUNK, F.lit(0))
+    places = 2 ** len(bounds).bit_length() - 1
+    filled = [*bounds, *[bounds[-1]] * (places - len(bounds))]
+    text = json.dumps([{f"k{i}": v for i, v in enumerate(b)} for b in filled], default=float)
+    found = df.withColumns({"__key": F.when(hot, key), CHUNK: F.lit(0)})
+    kind = found.schema["__key"].dataType.simpleString()
+    array = F.from_json(F.lit(text), f"array<{kind}>")
+    step = (places + 1) // 2
+    while step:
+        below = F.get(array, F.col(CHUNK) + (step - 1)) <= F.col("__key")
+        found = found.withColumn(CHUNK, F.col(CHUNK) + F.when(below, step).otherwise(0))
+        step //= 2
+    return found.withColumn(CHUNK, F.least(F.col(CHUNK), F.lit(len(bounds)))).drop("__key")
 
 
 def _carry(chunks: Chunks, rows: DataFrame, aggs: Sequence[Column],

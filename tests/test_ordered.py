@@ -95,3 +95,18 @@ def test_sample_is_exact_and_repeatable(spark):
     assert len(first) == 700 and first == again and len(fast) == 700
     assert first != {r.k for r in sample_n(df, 700, ["k"], seed=43).collect()}
     assert sample_n(df, 9000, ["k"]).count() == 5000
+
+
+@pytest.mark.parametrize("kind", ["double", "string", "date", "timestamp", "timestamp_ntz", "decimal(12,3)", "binary"])
+def test_chunks_follow_any_order_type(spark, kind):
+    days = (F.col("id") * 37) % 400
+    value = {"double": days / 7, "string": F.format_string("k%04d", days), "decimal(12,3)": days / 7,
+             "date": F.date_add(F.lit("2024-01-01").cast("date"), days.cast("int")),
+             "binary": F.format_string("k%04d", days)}.get(kind, F.timestamp_seconds(days * 7001))
+    rows = spark.range(400).withColumn("o", F.when(F.col("id") != 5, value).cast(kind))
+    if kind == "double":
+        rows = rows.withColumn("o", F.when(F.col("id") == 9, F.lit(float("nan"))).otherwise(F.col("o")))
+    whole, parts = cut(rows, (), ["o", "id"], 10**6), cut(rows, (), ["o", "id"], 30)
+    assert parts.split
+    want = {r.id: r[POSITION] for r in positions(whole, whole.df).collect()}
+    assert want == {r.id: r[POSITION] for r in positions(parts, parts.df).collect()}
