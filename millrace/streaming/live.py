@@ -17,6 +17,7 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
@@ -34,21 +35,22 @@ def stream_layer(spark: SparkSession, path: str, schema: StructType | str, glob:
             .option("maxBytesPerTrigger", str(max_bytes)).parquet(path))
 
 
-def drain(stream: DataFrame, path: str, every: str | None = None) -> DataFrame:
-    """Write a stream to Parquet below ``path`` and return what was written.
+def _sink(stream: DataFrame, path: str) -> DataStreamWriter:
+    return (stream.writeStream.format("parquet").outputMode("append")
+            .option("path", f"{path}/data").option("checkpointLocation", f"{path}/checkpoint"))
 
-    Processes what is available and stops; ``every`` (such as ``"500 milliseconds"``)
-    starts a continuous query instead, which is left running.
-    """
-    writer = (stream.writeStream.format("parquet").outputMode("append")
-              .option("path", f"{path}/data").option("checkpointLocation", f"{path}/checkpoint"))
-    if every:
-        writer.trigger(processingTime=every).start()
-    else:
-        writer.trigger(availableNow=True).start().awaitTermination()
+
+def drain(stream: DataFrame, path: str) -> DataFrame:
+    """Write what is available to Parquet below ``path`` and return all that was written there."""
+    _sink(stream, path).trigger(availableNow=True).start().awaitTermination()
     return stream.sparkSession.read.schema(stream.schema).parquet(f"{path}/data")
 
 
+def run(stream: DataFrame, path: str, every: str = "500 milliseconds") -> StreamingQuery:
+    """Keep writing to Parquet below ``path``, one micro-batch per interval, until stopped."""
+    return _sink(stream, path).trigger(processingTime=every).start()
+
+
 def ring_buffer(stream: DataFrame, by: Sequence[str], order_by: Sequence[str],
                 columns: Sequence[str], size: int, score: Callable[[np.ndarray], dict],
                 result: str) -> DataFrame:
@@ -106,7 +108,7 @@ def score_batches(stream: DataFrame, path: str, by: Sequence[str], order_by: Seq
     rows = stream.select(*dict.fromkeys([*by, *order_by, *columns]))
     names = rows.columns
 
-    def run(batch: DataFrame, number: int) -> None:
+    def score_batch(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         new = batch.withColumn("__new", F.lit(1.0))
         if number > 0:
@@ -125,7 +127,7 @@ def score_batches(stream: DataFrame, path: str, by: Sequence[str], order_by: Seq
          .filter(F.col("__r") < size).drop("__r")
          .write.mode("overwrite").parquet(f"{path}/tail/batch={number}"))
 
-    (rows.writeStream.foreachBatch(run).option("checkpointLocation", f"{path}/checkpoint")
+    (rows.writeStream.foreachBatch(score_batch).option("checkpointLocation", f"{path}/checkpoint")
      .trigger(availableNow=True).start().awaitTermination())
     return stream.sparkSession.read.parquet(f"{path}/data").drop("batch")
 

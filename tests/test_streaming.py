@@ -71,3 +71,12 @@ def test_sessions_close_behind_the_watermark(spark):
     got = live.drain(live.sessions(stream, ["k"], "ts", "10 minutes"), scratch_path(spark, "s"))
     # 600 s apart is still one session; the last session of "b" is open.
     assert sorted((r.k, r.rows) for r in got.collect()) == [("a", 1), ("a", 3)]
+
+
+def test_a_running_query_goes_on_where_it_stopped(spark, files):
+    path = scratch_path(spark, "s")
+    stream = source(spark, files).select("k", "t")
+    query = live.run(stream, path, "100 milliseconds")
+    query.processAllAvailable()
+    query.stop()
+    assert live.drain(stream, path).count() == 240
