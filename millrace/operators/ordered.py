@@ -153,16 +153,17 @@ def _assign(df: DataFrame, key: Column, bounds: tuple, hot: Column) -> DataFrame
 
 def _carry(chunks: Chunks, rows: DataFrame, aggs: Sequence[Column],
            over: Callable[[object], Sequence[Column]]) -> DataFrame:
-    """One row per (hot series, chunk): aggregates of the chunk, folded over earlier chunks.
+    """What flows into a chunk of a hot series: aggregates folded over its earlier chunks.
 
-    Only hot rows are read. The result has at most ``len(bounds) + #hot`` rows,
-    both bounded by MAX_CHUNKS, so the fold may run in few tasks and the result
-    may be broadcast.
+    Only hot rows are read. The first chunk of a series receives nothing and is left
+    out. Every other one begins at or after a bound that lies in its series, so there
+    are at most ``len(bounds)`` <= MAX_CHUNKS rows: few enough to be broadcast.
     """
     summary = rows.filter(chunks.hot).groupBy(*chunks.by, CHUNK).agg(*aggs)
     fold = Window.partitionBy(*(chunks.by or (F.lit(0),))).orderBy(CHUNK)
     before = fold.rowsBetween(Window.unboundedPreceding, -1)
-    return summary.select(*chunks.by, CHUNK, *over(before))
+    folded = summary.select(*chunks.by, CHUNK, *over(before))
+    return folded.filter(F.col(folded.columns[-1]).isNotNull())
 
 
 def _join_carry(chunks: Chunks, rows: DataFrame, carry: DataFrame) -> DataFrame:

@@ -13,8 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.functions.signals import nan_to_null
-from millrace.session import scratch_path
 from millrace.operators.ordered import cut, hot_series, is_hot, running_sum
+from millrace.operators.sizes import broadcast_if_small
+from millrace.session import scratch_path
 
 # Largest group whose distinct values may be kept in one aggregation buffer.
 ROWS_PER_BUFFER = 1_000_000
@@ -53,9 +54,9 @@ def _ranked(values: DataFrame, probs: Sequence[float], by: Sequence[str],
     chunks = cut(weighted, by, ["__value"], rows_per_task)
     ranked = running_sum(chunks, chunks.df, F.col("__weight"), "__upto")
     totals = weighted.groupBy(*by).agg(F.sum("__weight").alias("n"))
-    if by:  # one row per hot group: at most rows / rows_per_task of them
+    if by:  # one row per hot group
         same = [F.col(f"v.{c}").eqNullSafe(F.col(f"t.{c}")) for c in by]
-        joined = ranked.alias("v").join(F.broadcast(totals.alias("t")), same).select(
+        joined = ranked.alias("v").join(broadcast_if_small(totals).alias("t"), same).select(
             *[F.col(f"v.{c}").alias(c) for c in by], "__value", "__upto", "n")
     else:
         joined = ranked.withColumn("n", F.lit(totals.first()[0]))
