@@ -81,8 +81,41 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 5, text: st
     has none. Rows that repeat an id are rows like others. Other columns are ignored; an
     empty table gives no rows. Texts of any length are taken whole.
     """
-    rows = written(_signed(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")),
-                           band_count(percent), width), "signatures")
+    grouped = _grouped(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), percent, width)
+    least = grouped.where("n_shingles > 0").groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    out = grouped.join(least, "component", "left")
+    component_id = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    return out.select("doc_id", "n_shingles", component_id.alias("component_id"),
+                      F.col("doc_id").eqNullSafe(component_id).alias("kept"))
+
+
+def first_of_groups(docs: DataFrame, percent: int = 80, width: int = 5) -> DataFrame:
+    """The rows of ``docs`` (with ``doc_id`` and ``text``) without near duplicates.
+
+    Of each group the row with the smallest id stays, null ids last; among rows with that id
+    one is chosen by a digest of its text, and of rows that repeat both, any one. Null and
+    wordless texts all stay. All columns are kept.
+    """
+    grouped = _grouped(docs.select("doc_id", "text"), percent, width)
+    first = (grouped.where("n_shingles > 0").groupBy("component")
+             .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("first"))
+             .select(F.col("first.doc_id").alias("_id"), F.col("first.text_key").alias("_key")))
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    keyed = docs.select(F.struct(*names).alias("row"), docs["doc_id"].alias("id"), _text_key(docs["text"]).alias("key"),
+                        (F.length(F.btrim(F.coalesce(docs["text"], F.lit("")), F.lit(" \t\n\x0b\x0c\r"))) > 0).alias("worded"))
+    chosen = (keyed.where("worded").join(first, F.col("id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key")))
+              .dropDuplicates(["id", "key"]).select("row"))
+    out = chosen.union(keyed.where("not worded").select("row"))
+    return out.select(*[F.col("row")[c].alias(c) for c in docs.columns])
+
+
+def _text_key(text):
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def _grouped(docs: DataFrame, percent: int, width: int) -> DataFrame:
+    """``doc_id, text_key, n_shingles, component`` for each row; no component without words."""
+    rows = written(_signed(docs, band_count(percent), width), "signatures")
     # Equal sets are one node from here on.
     nodes = (rows.where("n_shingles > 0").groupBy("node")
              .agg(F.first("n_shingles").alias("n"), F.first("bands").alias("bands")))
@@ -92,7 +125,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 5, text: st
     stars = written(members.where("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b"))
                     .distinct(), "stars")
     wanted = members.select("node").distinct()
-    payload = written(rows.where("n_shingles > 0").select("node", "payload").join(wanted, "node", "left_semi")
+    payload = written(rows.where("payload is not null").select("node", "payload").join(wanted, "node", "left_semi")
                       .groupBy("node").agg(F.first("payload").alias("payload")), "payload")
     compared = written(_compare(stars, payload, width), "compared")
     linked = compared.where(_is_link(percent)).select("a", "b")
@@ -101,17 +134,13 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 5, text: st
     more = _compare(rest, payload, width).where(_is_link(percent)).select("a", "b")
     stars_of = components.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
     components = written(connected_components(stars_of.union(more)), "components")
-    grouped = (rows.select("doc_id", "n_shingles", "node").join(components, "node", "left")
-               .withColumn("component", F.coalesce("component", "node")))
-    least = grouped.where("n_shingles > 0").groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    out = grouped.join(least, "component", "left")
-    component_id = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", component_id.alias("component_id"),
-                      F.col("doc_id").eqNullSafe(component_id).alias("kept"))
+    return (rows.select("doc_id", "text_key", "n_shingles", "node").join(components, "node", "left")
+            .select("doc_id", "text_key", "n_shingles", F.coalesce("component", "node").alias("component")))
 
 
 def _signed(docs: DataFrame, bands: int, width: int) -> DataFrame:
-    schema = (f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_shingles bigint, node binary, "
+    docs = docs.select("doc_id", "text", _text_key(docs["text"]).alias("text_key"))
+    schema = (f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_key bigint, n_shingles bigint, node binary, "
               "bands array<bigint>, payload binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,9 +165,9 @@ def _signed(docs: DataFrame, bands: int, width: int) -> DataFrame:
                 for i, row in zip(filled, signer.keys([sets[i] for i in filled])):
                     keys[i] = row
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes, pa.binary()),
+                [batch.column(0), batch.column(2), pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes, pa.binary()),
                  pa.array(keys, pa.list_(pa.int64())), pa.array(payload, pa.binary())],
-                names=["doc_id", "n_shingles", "node", "bands", "payload"])
+                names=["doc_id", "text_key", "n_shingles", "node", "bands", "payload"])
 
     return docs.mapInArrow(run, schema)
 

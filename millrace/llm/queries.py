@@ -4,9 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from millrace.llm.collision import nearest
+from millrace.llm.fingerprint import fingerprint_edits
 from millrace.llm.minmax import near_duplicates
+from millrace.llm.mixing import mix
+from millrace.llm.packing import pack
+from millrace.llm.page_diff import extract_main_text
+from millrace.llm.secret_scan import scan_secrets, secret_digest
+from millrace.llm.suffixes import remove_repeats
+from millrace.llm.toxicity import fit_chain, rate, toxicity_categories
+from millrace.llm.warc import archive_folder, read_archives, write_archives
 from millrace.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,3 +60,175 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     JOIN (SELECT x, min(y) AS component_id FROM reach GROUP BY x) ON x = d.doc_id""")
 def op10_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), percent=85, width=5)
+
+
+@query("op2_best_fit_packing")
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), capacity=2048)
+
+
+def _spans_sql(rank: int, kind: str, pattern: str, judged: str, least: int) -> str:
+    """Spans of one kind: matches and the gaps before them alternate."""
+    hits, gaps = f"regexp_extract_all(t, '{pattern}')", f"regexp_split_to_array(t, '{pattern}')"
+    own = f"regexp_extract_all(t, '{pattern}', {judged})"
+    return f"""
+        SELECT doc_id, {rank} AS rank, '{kind}' AS kind, hit, own,
+               coalesce(list_sum(list_transform(gaps[1:i], x -> length(x))), 0)
+               + coalesce(list_sum(list_transform(hits[1:i - 1], x -> length(x))), 0) AS start
+        FROM (SELECT doc_id, i, hits, gaps, hits[i] AS hit, own[i] AS own
+              FROM (SELECT doc_id, {hits} AS hits, {gaps} AS gaps, {own} AS own FROM texts
+                    WHERE regexp_matches(t, '{pattern}')),
+                   LATERAL (SELECT unnest(range(1, len(hits) + 1)) AS i))
+        WHERE length(own) >= {least}"""
+
+
+_ASSIGN = (r"((?i:password|passwd|secret|token|api_?key))[\"\x27]?\x20*[:=]\x20*[\"\x27]?"
+           r"([A-Za-z0-9+/_.=-]+)")
+
+
+@query("op7_trigram_secret_scan", f"""
+    WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+    base AS ({_spans_sql(0, "assign", _ASSIGN, "2", 8)}
+        UNION ALL {_spans_sql(1, "access", "AKIA[A-Z0-9]+", "0", 16)}
+        UNION ALL {_spans_sql(2, "hex", "[0-9a-f]+", "0", 32)}),
+    extra AS ({_spans_sql(3, "pem", "-----BEGIN [A-Z ]*PRIVATE KEY-----", "0", 0)}
+        UNION ALL {_spans_sql(4, "hub", "gh[pousr]_[A-Za-z0-9]{36,}", "0", 0)}),
+    spans AS (SELECT doc_id, rank, kind, start, concat(kind, ':', start::BIGINT, ':', (start + length(hit))::BIGINT)
+              AS span FROM (SELECT * FROM base UNION ALL SELECT * FROM extra)),
+    listed AS (
+        SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+               count(*) FILTER (kind = 'hex') AS n_hex,
+               string_agg(span, ',' ORDER BY start, rank) FILTER (rank < 3) AS base_spans,
+               string_agg(span, ',' ORDER BY start, rank) AS spans
+        FROM spans GROUP BY doc_id)
+    SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+           sha256(coalesce(base_spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+    FROM documents LEFT JOIN listed USING (doc_id)""")
+def op7_trigram_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_digest(scan_secrets(table(spark, sf_dir, "documents")))
+
+
+@query("op1_suffix_dedup")
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"), span=200).drop("removed")
+
+
+@query("op5_document_fingerprints")
+def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
+@query("op8_toxicity_chain")
+def op8_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    chain = fit_chain(docs, table(spark, sf_dir, "labels"), toxicity_categories())
+    return rate(docs, chain).select("doc_id", "ratings.*")
+
+
+@query("op9_collision_neighbours")
+def op9_collision_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), every=20, k=20)
+
+
+# The tree of the mix: three domains (by the source's number), then language, then source.
+DOMAINS = ("web", "reference", "forum")
+MIX_WEIGHTS = {"domain": {"web": 5, "reference": 3, "forum": 2}, "lang": {"en": 6, "de": 2, "fr": 2, "es": 1}}
+MIX = {"percent": 60, "epochs": 3, "seed": 42}
+
+
+def source_domain() -> Column:
+    number = F.regexp_extract("source", "([0-9]+)", 1).try_cast("int")
+    return F.get(F.array(*map(F.lit, DOMAINS)), number % len(DOMAINS))
+
+
+def _weight_sql(level: str) -> str:
+    listed = MIX_WEIGHTS.get(level, {})
+    return "CASE " + level + "".join(f" WHEN '{k}' THEN {v}" for k, v in listed.items()) + " ELSE 1 END" \
+        if listed else "1"
+
+
+def _level_sql(path: list[str], parent: str | None) -> str:
+    """Water-filling of one level, as CTEs ``c_<level>``, ``r_<level>``, ``s_<level>``."""
+    level, upper = path[-1], path[:-1]
+    columns, family = ", ".join(path), f"PARTITION BY {', '.join(upper)}" if upper else ""
+    join = " AND ".join(f"n.{u} IS NOT DISTINCT FROM p.{u}" for u in upper) or "true"
+    order = f"{family} ORDER BY room::DOUBLE / w NULLS FIRST, {level} NULLS FIRST"
+    return f"""
+    c_{level} AS (
+        SELECT {", ".join(f"n.{c}" for c in path)}, n.room, n.w, p.share
+        FROM (SELECT {columns}, sum(room)::BIGINT AS room, {_weight_sql(level)} AS w FROM leaves GROUP BY {columns}) n
+        JOIN {parent} p ON {join}),
+    r_{level} AS (
+        SELECT *, room * w_onward <= w * (share - room_before) AS is_full FROM (
+            SELECT *, coalesce(sum(room) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT
+                      AS room_before,
+                   sum(w) OVER ({order} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::BIGINT AS w_onward
+            FROM c_{level})),
+    s_{level} AS (
+        SELECT {columns}, CASE WHEN is_full THEN room WHEN open_w = 0 THEN 0
+                               ELSE w * (share - full_room) // open_w END AS share
+        FROM (SELECT *, sum(CASE WHEN is_full THEN room ELSE 0 END) OVER ({family})::BIGINT AS full_room,
+                     sum(CASE WHEN is_full THEN 0 ELSE w END) OVER ({family})::BIGINT AS open_w FROM r_{level}))"""
+
+
+@query("op3_source_mix", f"""
+    WITH docs AS (
+        SELECT doc_id, text, lang, source,
+               list_extract(['web', 'reference', 'forum'],
+                            TRY_CAST(regexp_extract(source, '([0-9]+)', 1) AS INT) % 3 + 1) AS domain,
+               len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS n_tokens
+        FROM documents),
+    leaves AS (SELECT domain, lang, source, sum(n_tokens)::BIGINT AS tokens,
+                      sum(n_tokens)::BIGINT * {MIX["epochs"]} AS room FROM docs GROUP BY ALL),
+    root AS (SELECT least(sum(room), sum(tokens) * {MIX["percent"]} // 100)::BIGINT AS share FROM leaves),
+    {_level_sql(["domain"], "root")}, {_level_sql(["domain", "lang"], "s_domain")},
+    {_level_sql(["domain", "lang", "source"], "s_lang")},
+    plan AS (SELECT l.domain, l.lang, l.source, s.share // l.tokens AS whole, s.share % l.tokens AS rest
+             FROM leaves l JOIN s_source s ON l.domain IS NOT DISTINCT FROM s.domain
+                  AND l.lang IS NOT DISTINCT FROM s.lang AND l.source IS NOT DISTINCT FROM s.source
+             WHERE l.tokens > 0),
+    ranked AS (
+        SELECT d.*, whole, rest, sum(n_tokens) OVER (PARTITION BY d.domain, d.lang, d.source ORDER BY
+                   md5(concat({MIX["seed"]}, ':', whole, ':', doc_id, ':', md5(coalesce(text, ''))))
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
+        FROM docs d JOIN plan p ON d.domain IS NOT DISTINCT FROM p.domain AND d.lang IS NOT DISTINCT FROM p.lang
+                  AND d.source IS NOT DISTINCT FROM p.source)
+    SELECT doc_id, domain, lang, source, n_tokens, epoch::INT AS epoch
+    FROM ranked, LATERAL (SELECT unnest(range(0, whole + CASE WHEN rest > 0 AND upto <= rest THEN 1 ELSE 0 END)) AS epoch)""")
+def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Every document is counted and ranked; only its row's narrow columns leave the operator here.
+    drawn = mix(table(spark, sf_dir, "documents"), MIX_WEIGHTS, source_domain(), **MIX)
+    return drawn.select("row.doc_id", "domain", "row.lang", "row.source", "n_tokens", "epoch")
+
+
+@query("op4_warc_archives", """
+    WITH pages_ AS (SELECT page_id, coalesce(html, '') AS html, encode(coalesce(html, '')) AS payload FROM pages),
+    digests AS (
+        SELECT page_id, octet_length(payload) AS payload_bytes, html, sha1(html) AS hex FROM pages_),
+    largest AS (SELECT html, max(page_id) AS top FROM digests GROUP BY html),
+    nibbles AS (
+        SELECT page_id, payload_bytes, top,
+               list_transform(range(1, 41), i -> instr('0123456789abcdef', substr(hex, i, 1)) - 1) AS d
+        FROM digests JOIN largest USING (html))
+    SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
+           array_to_string(list_transform(range(0, 32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+               (((d[5 * i // 4 + 1] * 16 + coalesce(d[5 * i // 4 + 2], 0)) >> (3 - i % 4)) & 31)::INT + 1, 1)), '')
+           AS payload_digest,
+           CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id = top THEN NULL ELSE top END AS refers_to
+    FROM nibbles""")
+def op4_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = archive_folder(spark)
+    write_archives(table(spark, sf_dir, "pages"), folder, shard_bytes=16 << 20, roll_bytes=4 << 20, least=0)
+    return read_archives(spark, folder).drop("url")
+
+
+@query("op6_page_differencing")
+def op6_page_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
