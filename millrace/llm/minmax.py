@@ -8,10 +8,14 @@ Links are confirmed on the full shingle sets, and no link that a band proposes i
 the pairs of a bucket are never all formed:
 
 1. Documents with equal sets are one node.
-2. Each node of a bucket is compared with the bucket's centre (its smallest node): a star.
-3. Nodes that the links so far do not connect to their centre are compared with the other
-   components of the bucket, unless the triangle inequality of the Jaccard distance (with
-   the distances to the centre) or the set sizes rule a link out.
+2. Each node of a bucket is compared with the bucket's centre, the node that shares most
+   buckets with others: a star. What is then not in its centre's component is far. The far
+   nodes of a bucket are compared with a centre of their own.
+3. A far node u is compared with a node y of another component only if that can be a link.
+   With |u & c| and |y & c| known for the centre c, a link needs a certain overlap of u and
+   y, of which c can give at most the smaller of the two. What is missing must be shared
+   shingles outside of c, found by a join on such shingles (prefixes in hash order); nothing
+   can be missing only if y is small enough, found by a join on sizes.
 
 A bucket whose nodes all hang together, however many, therefore costs one comparison a node.
 """
@@ -120,24 +124,49 @@ def _grouped(docs: DataFrame, percent: int, width: int) -> DataFrame:
     nodes = (rows.where("n_shingles > 0").groupBy("node")
              .agg(F.first("n_shingles").alias("n"), F.first("bands").alias("bands")))
     members = nodes.select("node", "n", F.explode("bands").alias("key"))
-    buckets = members.groupBy("key").agg(F.min("node").alias("centre"), F.count(F.lit(1)).alias("size"))
-    members = written(members.join(buckets.where("size > 1").drop("size"), "key"), "members")
-    stars = written(members.where("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b"))
-                    .distinct(), "stars")
+    buckets = members.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
+    members = written(members.join(buckets.where("size > 1"), "key"), "members")
+    known = members.groupBy("node").agg(F.sum("size").alias("weight"))
+    members = members.drop("size").join(known, "node")
+    members = written(members.join(_centres(members), "key"), "members")
     wanted = members.select("node").distinct()
     payload = written(rows.where("payload is not null").select("node", "payload").join(wanted, "node", "left_semi")
                       .groupBy("node").agg(F.first("payload").alias("payload")), "payload")
-    compared = written(_compare(stars, payload, width), "compared")
-    linked = compared.where(_is_link(percent)).select("a", "b")
-    components = written(connected_components(linked), "components")
-    rest = written(_open_pairs(members, components, compared, percent), "open")
-    more = _compare(rest, payload, width).where(_is_link(percent)).select("a", "b")
-    stars_of = components.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-    components = written(connected_components(stars_of.union(more)), "components")
+
+    def star(around: DataFrame) -> DataFrame:
+        return around.where("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
+
+    compared = written(_compare(star(members), payload, width), "compared")
+    links = written(compared.where(_is_link(percent)).select("a", "b"), "links")
+    components = written(connected_components(links), "components")
+    far = _named(members, components).where("component <> home").select("key", "node", "weight")
+    again = _compare(star(far.join(_centres(far), "key")), payload, width)
+    components = _joined(components, again.where(_is_link(percent)))
+    open_ = written(_open_pairs(members, components, compared, payload, percent, width), "open")
+    components = _joined(components, _compare(open_, payload, width).where(_is_link(percent)))
     return (rows.select("doc_id", "text_key", "n_shingles", "node").join(components, "node", "left")
             .select("doc_id", "text_key", "n_shingles", F.coalesce("component", "node").alias("component")))
 
 
+def _centres(members: DataFrame) -> DataFrame:
+    """For each bucket the node of the largest weight."""
+    best = members.groupBy("key").agg(F.max(F.struct("weight", "node")).alias("best"))
+    return best.select("key", F.col("best.node").alias("centre"))
+
+
+def _joined(components: DataFrame, links: DataFrame) -> DataFrame:
+    """Components with more links between nodes."""
+    stars = components.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return written(connected_components(stars.union(links.select("a", "b"))), "components")
+
+
+def _named(rows: DataFrame, components: DataFrame) -> DataFrame:
+    """Rows (node, centre) with the component of each, ``component`` and ``home``."""
+    homes = components.select(F.col("node").alias("centre"), F.col("component").alias("home"))
+    return (rows.join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
+            .join(homes, "centre", "left").withColumn("home", F.coalesce("home", "centre")))
+
+
 def _signed(docs: DataFrame, bands: int, width: int) -> DataFrame:
     docs = docs.select("doc_id", "text", _text_key(docs["text"]).alias("text_key"))
     schema = (f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_key bigint, n_shingles bigint, node binary, "
@@ -176,6 +205,21 @@ def _is_link(percent: int):
     return F.expr(f"100 * shared >= {percent} * either")
 
 
+class _Sets:
+    """Shingle sets of packed texts; the last centre's set is kept, as rows come by centre."""
+
+    def __init__(self, width: int):
+        self.hashes, self.unpack, self.width, self.last = WordHashes(), zstandard.ZstdDecompressor(), width, (None, None)
+
+    def __call__(self, packed: bytes) -> np.ndarray:
+        return shingle_set(self.unpack.decompress(packed).split(b" "), self.hashes, self.width)
+
+    def kept(self, node: bytes, packed: bytes) -> np.ndarray:
+        if self.last[0] != node:
+            self.last = (node, self(packed))
+        return self.last[1]
+
+
 def _compare(pairs: DataFrame, payload: DataFrame, width: int) -> DataFrame:
     """``a, b, shared, either``: sizes of intersection and union of the full sets."""
     joined = (pairs.join(payload.select(F.col("node").alias("a"), F.col("payload").alias("left")), "a")
@@ -183,19 +227,12 @@ def _compare(pairs: DataFrame, payload: DataFrame, width: int) -> DataFrame:
               .select("a", "b", "left", "right"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, unpack = WordHashes(), zstandard.ZstdDecompressor()
-
-        def full(packed: bytes) -> np.ndarray:
-            return shingle_set(unpack.decompress(packed).split(b" "), hashes, width)
-
-        last, centre = None, None
+        sets = _Sets(width)
         for batch in batches:
             a, b, left, right = (c.to_pylist() for c in batch.columns)
             shared, either = [], []
             for i in range(len(a)):
-                if b[i] != last:
-                    last, centre = b[i], full(right[i])
-                own = full(left[i])
+                own, centre = sets(left[i]), sets.kept(b[i], right[i])
                 place = np.minimum(np.searchsorted(centre, own), len(centre) - 1)
                 both = int((centre[place] == own).sum())
                 shared.append(both)
@@ -207,32 +244,68 @@ def _compare(pairs: DataFrame, payload: DataFrame, width: int) -> DataFrame:
     return joined.mapInArrow(run, "a binary, b binary, shared bigint, either bigint")
 
 
-def _open_pairs(members: DataFrame, components: DataFrame, compared: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a bucket that may be linked, are not connected yet and were not compared.
+def _open_pairs(members: DataFrame, components: DataFrame, compared: DataFrame, payload: DataFrame,
+                percent: int, width: int) -> DataFrame:
+    """Pairs around one centre that may be linked and are not connected yet.
 
-    ``far`` nodes are not in their centre's component. A far node pairs with nodes of other
-    components whose distance to the centre differs from its own by at most 1 - percent / 100
-    (anything else contradicts the triangle inequality) and whose set is of similar size.
+    For a link, 100 * |u & y| >= percent * |u | y|, so |u & y| >= need(|u| + |y|) with
+    need = percent / (100 + percent). Of that the centre gives at most min(|u & c|, |y & c|).
     """
-    reach = 1 - percent / 100 + 1e-9
-    named = (members.join(components, "node", "left")
-             .withColumn("component", F.coalesce("component", "node")))
-    centres = components.select(F.col("node").alias("centre"), F.col("component").alias("home"))
-    named = (named.join(centres, "centre", "left").withColumn("home", F.coalesce("home", "centre"))
-             .join(compared.select(F.col("a").alias("node"), F.col("b").alias("centre"),
-                                   (1 - F.col("shared") / F.col("either")).alias("d")),
-                   ["node", "centre"], "left")
-             .withColumn("d", F.coalesce("d", F.lit(0.0))))
-    far = named.where("component <> home")
-    near = named.join(far.groupBy("key").agg(F.min("d").alias("least")), "key").where(
-        F.expr(f"(component <> home or d > 0) and d >= least - {reach}"))
-    cell = F.floor(F.col("d") / reach)
-    x = far.select("key", F.col("node").alias("xn"), F.col("component").alias("xc"), F.col("home").alias("xh"),
-                   F.col("n").alias("xs"), F.col("d").alias("xd"),
-                   F.explode(F.array(cell - 1, cell, cell + 1)).alias("cell"))
-    y = near.select("key", F.col("node").alias("yn"), F.col("component").alias("yc"), F.col("n").alias("ys"),
-                    F.col("d").alias("yd"), cell.alias("cell"))
-    pairs = x.join(y, ["key", "cell"]).where(
-        F.expr(f"xc <> yc and (yc = xh or xn < yn) and abs(xd - yd) <= {reach} "
-               f"and 100 * least(xs, ys) >= {percent} * greatest(xs, ys)"))
-    return pairs.select(F.greatest("xn", "yn").alias("a"), F.least("xn", "yn").alias("b")).distinct()
+    need = percent / (100 + percent)
+    sizes = members.select("node", "n").distinct()
+    around = _named(compared.select(F.col("a").alias("node"), F.col("b").alias("centre"), "shared"), components)
+    around = around.join(sizes, "node")
+    reached = around.where("component <> home").select("centre").distinct()
+    # What any link of the node needs beyond the centre; a partner has at least percent of its size.
+    around = written(around.join(reached, "centre").withColumn(
+        "beyond", F.ceil(F.col("n") * percent / 100 - 1e-9) - F.col("shared")), "around")
+    outside = written(_outside(around.select(F.col("node").alias("a"), F.col("centre").alias("b"), "beyond"),
+                               payload, width), "outside")
+    facts = ["node", "centre", "component", "home", "n", "shared"]
+    outside = outside.join(around.select(*facts), ["node", "centre"])
+    step = 0.04
+    bin_of = lambda size: F.floor(F.log(size) / step).cast("int")
+    # Without sharing anything beyond the centre, y must be this small.
+    most = F.col("shared") / need - F.col("n") + 1e-6
+    least = F.col("n") * percent / 100 - 1e-6
+    small = around.where((F.col("component") != F.col("home")) & (most >= least)).withColumn(
+        "bin", F.explode(F.sequence(bin_of(least), bin_of(most))))
+    pairs = None
+    for x, y, on in ((outside.where("component <> home"), outside, ["centre", "shingle"]),
+                     (small, around.withColumn("bin", bin_of(F.col("n"))), ["centre", "bin"])):
+        x = x.select(*on, *[F.col(c).alias(f"x_{c}") for c in facts if c != "centre"])
+        y = y.select(*on, *[F.col(c).alias(f"y_{c}") for c in facts if c != "centre"])
+        found = x.join(y, on).where(
+            "x_component <> y_component and (y_component = y_home or x_node < y_node) "
+            f"and 100 * least(x_n, y_n) >= {percent} * greatest(x_n, y_n)")
+        if "bin" in on:
+            found = found.where(f"least(x_shared, y_shared) + 1e-6 >= {need} * (x_n + y_n)")
+        found = found.select(F.greatest("x_node", "y_node").alias("a"), F.least("x_node", "y_node").alias("b"))
+        pairs = found if pairs is None else pairs.union(found)
+    return pairs.distinct()
+
+
+def _outside(pairs: DataFrame, payload: DataFrame, width: int) -> DataFrame:
+    """``node, centre, shingle``: a prefix, in hash order, of the node's shingles outside of the
+    centre's set. Two nodes that share ``beyond`` such shingles share one of their prefixes."""
+    joined = (pairs.join(payload.select(F.col("node").alias("a"), F.col("payload").alias("left")), "a")
+              .join(payload.select(F.col("node").alias("b"), F.col("payload").alias("right")), "b")
+              .select("a", "b", "left", "right", "beyond"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets = _Sets(width)
+        for batch in batches:
+            a, b, left, right, beyond = (c.to_pylist() for c in batch.columns)
+            rows, shingles = [], []
+            for i in range(len(a)):
+                own, centre = sets(left[i]), sets.kept(b[i], right[i])
+                rest = np.setdiff1d(own, centre, assume_unique=True)
+                rest = rest[:len(rest) - max(beyond[i], 1) + 1] if len(rest) >= beyond[i] else rest[:0]
+                rows.append(np.full(len(rest), i))
+                shingles.append(rest)
+            rows = pa.array(np.concatenate(rows) if rows else [], pa.int64())
+            codes = np.concatenate(shingles).view(np.int64) if shingles else []
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows),
+                                              pa.array(codes, pa.int64())], names=["node", "centre", "shingle"])
+
+    return joined.mapInArrow(run, "node binary, centre binary, shingle bigint")

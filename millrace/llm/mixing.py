@@ -54,11 +54,9 @@ def leaf_budgets(leaves: DataFrame, weights: Mapping[str, Mapping[str, int]], bu
         children = nodes.groupBy(*path).agg(F.sum("_room").alias("room"))
         children = children.withColumn("w", _weight(weights.get(level, {}), F.coalesce(F.col(level), F.lit(""))))
         if depth:
-            match = None
-            for name in upper:
-                same = children[name].eqNullSafe(parents[name])
-                match = same if match is None else match & same
-            children = children.join(parents, match).select(*[children[c] for c in path], "room", "w", "share")
+            above = parents.select(*[F.col(c).alias(f"p_{c}") for c in upper], "share")
+            match = F.expr(" and ".join(f"{c} <=> p_{c}" for c in upper))
+            children = children.join(above, match).select(*path, "room", "w", "share")
         else:
             # One row: the budget of the root.
             children = children.join(F.broadcast(parents))
@@ -103,16 +101,14 @@ def mix(docs: DataFrame, weights: Mapping[str, Mapping[str, int]], domain: Colum
     leaves = rows.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens"))
     leaves = leaves.withColumn("room", F.col("tokens") * epochs)
     shares = leaf_budgets(leaves, weights, F.floor(F.coalesce(F.sum("tokens"), F.lit(0)) * percent / 100))
-    on = lambda a, b: (a["domain"].eqNullSafe(b["domain"]) & a["lang"].eqNullSafe(b["lang"])
-                       & a["source"].eqNullSafe(b["source"]))
-    plan = leaves.join(shares, on(leaves, shares)).select(
-        leaves["domain"].alias("p_domain"), leaves["lang"].alias("p_lang"), leaves["source"].alias("p_source"),
+    named_shares = shares.select(*[F.col(c).alias(f"p_{c}") for c in LEVELS], "share")
+    leaf_of = F.expr(" and ".join(f"{c} <=> p_{c}" for c in LEVELS))
+    plan = leaves.join(named_shares, leaf_of).select(
+        *[f"p_{c}" for c in LEVELS],
         F.when(F.col("tokens") > 0, F.expr("share div tokens")).otherwise(0).alias("whole"),
         F.when(F.col("tokens") > 0, F.col("share") % F.col("tokens")).otherwise(0).alias("rest"))
     small = leaves.limit(BROADCAST_LEAVES + 1).count() <= BROADCAST_LEAVES
-    named = rows.join(F.broadcast(plan) if small else plan,
-                      F.col("domain").eqNullSafe(F.col("p_domain")) & F.col("lang").eqNullSafe(F.col("p_lang"))
-                      & F.col("source").eqNullSafe(F.col("p_source")))
+    named = rows.join(F.broadcast(plan) if small else plan, leaf_of)
     order = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("whole").cast("string"),
                               F.coalesce(F.col("row")["doc_id"].cast("string"), F.lit("")),
                               F.md5(F.coalesce(F.col("row")["text"], F.lit("")))))

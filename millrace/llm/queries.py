@@ -73,8 +73,8 @@ def _spans_sql(rank: int, kind: str, pattern: str, judged: str, least: int) -> s
     own = f"regexp_extract_all(t, '{pattern}', {judged})"
     return f"""
         SELECT doc_id, {rank} AS rank, '{kind}' AS kind, hit, own,
-               coalesce(list_sum(list_transform(gaps[1:i], x -> length(x))), 0)
-               + coalesce(list_sum(list_transform(hits[1:i - 1], x -> length(x))), 0) AS start
+               coalesce(list_sum(list_transform(gaps[1:i], lambda x: length(x))), 0)
+               + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0) AS start
         FROM (SELECT doc_id, i, hits, gaps, hits[i] AS hit, own[i] AS own
               FROM (SELECT doc_id, {hits} AS hits, {gaps} AS gaps, {own} AS own FROM texts
                     WHERE regexp_matches(t, '{pattern}')),
@@ -208,10 +208,10 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     largest AS (SELECT html, max(page_id) AS top FROM digests GROUP BY html),
     nibbles AS (
         SELECT page_id, payload_bytes, top,
-               list_transform(range(1, 41), i -> instr('0123456789abcdef', substr(hex, i, 1)) - 1) AS d
+               list_transform(range(1, 41), lambda i: instr('0123456789abcdef', substr(hex, i, 1)) - 1) AS d
         FROM digests JOIN largest USING (html))
     SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
-           array_to_string(list_transform(range(0, 32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
                (((d[5 * i // 4 + 1] * 16 + coalesce(d[5 * i // 4 + 2], 0)) >> (3 - i % 4)) & 31)::INT + 1, 1)), '')
            AS payload_digest,
            CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,

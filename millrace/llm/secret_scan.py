@@ -216,10 +216,13 @@ def secret_digest(scanned: DataFrame, base: tuple[Rule, ...] = BASE) -> DataFram
         return F.array_join(F.transform(which, lambda s: F.concat_ws(
             ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
+    def number(kind: str) -> Column:
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
     of_base = F.filter(spans, lambda s: s["kind"].isin(*kinds))
     return scanned.select(
         "doc_id",
-        *[F.size(F.filter(spans, lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{k}") for k in kinds],
+        *map(number, kinds),
         F.sha2(joined(of_base), 256).alias("base_sha256"), joined(spans).alias("spans"))
 
 
@@ -233,9 +236,8 @@ def redact_secrets(docs: DataFrame, mask: str = "[secret]", rules: tuple[Rule, .
 
     def cut(state: Column, span: Column) -> Column:
         gap = F.substr(text, state["at"] + 1, F.greatest(span["start"] - state["at"], F.lit(0)))
-        fresh = (span["start"] >= state["at"]) | (state["at"] == 0)
         return F.struct(F.greatest(state["at"], span["end"]).alias("at"),
-                        F.when(fresh, F.concat(state["out"], gap, F.lit(mask))).otherwise(state["out"]).alias("out"))
+                        F.when(span["start"] >= state["at"], F.concat(state["out"], gap, F.lit(mask))).otherwise(state["out"]).alias("out"))
 
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     cleaned = F.aggregate(spans, start, cut, lambda s: F.concat(

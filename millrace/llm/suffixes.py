@@ -317,8 +317,11 @@ def remove_repeats(docs: DataFrame, span: int = 200) -> DataFrame:
      .option("path", scratch_path(spark, "blocks")).saveAsTable(name))
     table = spark.table(name)
 
+    def first_prints(key: tuple, own: pa.Table) -> pa.Table:
+        return plan.run(_texts(own), None, 1).rows(key[0].as_py())
+
     def prints_of(until: int):
-        def run(key: tuple, own: pa.Table, answers: pa.Table | None = None) -> pa.Table:
+        def run(key: tuple, own: pa.Table, answers: pa.Table) -> pa.Table:
             return plan.run(_texts(own), answers, until).rows(key[0].as_py())
         return run
 
@@ -344,7 +347,7 @@ def remove_repeats(docs: DataFrame, span: int = 200) -> DataFrame:
     answers = None
     for step in (1, 2, 3):
         if answers is None:
-            prints = table.groupBy("block").applyInArrow(prints_of(step), ROWS)
+            prints = table.groupBy("block").applyInArrow(first_prints, ROWS)
         else:
             prints = table.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(prints_of(step), ROWS)
         found = written(prints.groupBy("bucket").applyInArrow(_sort_bucket(step), ANSWERS), "ties")

@@ -4,8 +4,10 @@ A chain has one linear model for each category, in order. Model k sees the words
 the probabilities of categories 1 to k-1. It is trained with out-of-fold probabilities, given
 by models that had not seen the text, so that it learns to trust them as far as they deserve.
 
-Models are fitted on a bounded sample of labelled texts (``sample_rows``) with at most
-``features`` words; each fold is a task of its own. Every text is scored, whole.
+A text's features are its distinct words and their beginnings. Few of them tell anything: a
+fit uses those whose share differs between the two classes of its own training rows by several
+standard errors. Models are fitted on a bounded sample of labelled texts (``sample_rows``);
+each fold is a task of its own. Every text is scored, whole.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.llm.common import WordHashes, written
@@ -22,9 +25,13 @@ from millrace.llm.common import WordHashes, written
 PUNCTUATION = bytes.maketrans(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~", b" " * 32)
 
 
+#: Lengths in bytes of the beginnings of words that are features.
+BEGINNINGS = (3, 4, 5, 6)
+
+
 @dataclass(frozen=True)
 class Chain:
-    """``vocabulary``: sorted word hashes. For each category: weights of the words, of the
+    """``vocabulary``: sorted feature hashes. For each category: weights of the features, of the
     earlier probabilities, the intercept, and the probability from which it holds."""
     categories: tuple[str, ...]
     vocabulary: np.ndarray
@@ -33,31 +40,53 @@ class Chain:
     intercepts: np.ndarray
     thresholds: np.ndarray
 
-    def probabilities(self, words: np.ndarray) -> np.ndarray:
-        """Of a text, given its distinct word hashes."""
-        place = np.searchsorted(self.vocabulary, words)
-        inside = place < len(self.vocabulary)
-        place, words = place[inside], words[inside]
-        place = place[self.vocabulary[place] == words]
-        sums = self.weights[:, place].sum(axis=1) + self.intercepts
+    def probabilities(self, places: np.ndarray) -> np.ndarray:
+        """Of a text, given the places of its features in the vocabulary."""
+        sums = self.weights[:, places].sum(axis=1) + self.intercepts
         out = np.zeros(len(self.categories))
         for k in range(len(out)):
             out[k] = _sigmoid(sums[k] + self.earlier[k, :k] @ out[:k])
         return out
 
 
-def _sigmoid(x):
-    return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
+def words_of(text: bytes) -> list[bytes]:
+    """Words in lower case, without ASCII punctuation."""
+    return text.lower().translate(PUNCTUATION).split()
 
 
-def distinct_words(text: bytes, hashes: WordHashes) -> np.ndarray:
-    """Sorted hashes of the distinct words: lower case, without ASCII punctuation."""
-    words = text.lower().translate(PUNCTUATION).split()
-    return np.unique(np.frombuffer(b"".join(map(hashes.__getitem__, words)), "<u8"))
+class FeatureHashes(WordHashes):
+    """Word to the hashes of its features: itself and its beginnings."""
+
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) >= self.limit:
+            self.clear()
+        parts = [word, *(word[:n] + b"*" for n in BEGINNINGS if len(word) >= n)]
+        self[word] = found = b"".join(map(xxhash.xxh3_64_digest, parts))
+        return found
+
+
+class KnownFeatures(FeatureHashes):
+    """Word to the places of its features in a vocabulary, four bytes each; mostly none."""
+
+    def __init__(self, vocabulary: np.ndarray):
+        super().__init__()
+        self.vocabulary = vocabulary
+
+    def __missing__(self, word: bytes) -> bytes:
+        hashes = np.frombuffer(super().__missing__(word), "<u8")
+        place = np.searchsorted(self.vocabulary, hashes)
+        inside = place < len(self.vocabulary)
+        place = place[inside][self.vocabulary[place[inside]] == hashes[inside]]
+        self[word] = found = place.astype("<u4").tobytes()
+        return found
+
+
+def _sigmoid(x):
+    return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
 def fit_logistic(rows: np.ndarray, columns: np.ndarray, n_columns: int, extra: np.ndarray, y: np.ndarray,
-                 penalty: float = 0.02, steps: int = 150) -> tuple[np.ndarray, np.ndarray, float]:
+                 penalty: float = 0.3, steps: int = 150) -> tuple[np.ndarray, np.ndarray, float]:
     """Weights of binary features (entries at ``rows, columns``), of ``extra`` and intercept.
 
     Logistic loss with a squared penalty, by Adam on the whole sample.
@@ -95,13 +124,14 @@ def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
 
 
 def fit_chain(docs: DataFrame, labels: DataFrame, categories: Mapping[str, Column], sample_rows: int = 8000,
-              features: int = 60_000, folds: int = 4, least_texts: int = 3) -> Chain:
+              features: int = 20_000, folds: int = 4, least_texts: int = 3, errors: float = 5.0) -> Chain:
     """A chain for ``categories`` (name to a 0/1 column of ``labels``, in chain order).
 
-    The sample holds about ``sample_rows`` labelled texts, chosen by a digest of their id;
-    the vocabulary is the ``features`` words that most texts of the sample have, and at least
-    ``least_texts``. Null ids and null labels are left out; where an id has several labels,
-    the largest holds.
+    The sample holds about ``sample_rows`` labelled texts, chosen by a digest of their id. A
+    fit's features are in at least ``least_texts`` texts of the sample and differ between the
+    classes by at least ``errors`` standard errors; at most ``features`` in all, those that
+    differ most. Null ids and null labels are left out; where an id has several labels, the
+    largest holds.
     """
     names = list(categories)
     clean = (labels.where("doc_id is not null")
@@ -109,66 +139,97 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: Mapping[str, Colum
              .na.drop())
     total = clean.count()
     # The same rate thins out both sides before they are joined.
-    kept = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1_000_000)) < max(1, round(1e6 * min(1, sample_rows / max(total, 1))))
+    share = max(1, round(1e6 * min(1, sample_rows / max(total, 1))))
+    kept = F.pmod(F.xxhash64(F.col("doc_id").cast("bigint"), F.lit(11)), F.lit(1_000_000)) < share
     joined = (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where(kept)
               .join(clean.where(kept), "doc_id"))
     ys = [f"y_{k}" for k in range(len(names))]
-    schema = "doc_id bigint, words array<bigint>, " + ", ".join(f"{y} int" for y in ys)
+    fold = F.pmod(F.xxhash64(F.col("doc_id").cast("bigint"), F.lit(5)), F.lit(folds)).cast("int")
+    joined = joined.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", fold.alias("fold"), *ys)
+    schema = "doc_id bigint, features array<bigint>, fold int, " + ", ".join(f"{y} int" for y in ys)
 
-    def words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+    def features_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = FeatureHashes()
         for batch in batches:
-            texts = batch.column(1).cast(pa.binary()).to_pylist()
-            words = pa.array([distinct_words(t, hashes).view(np.int64) for t in texts], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), words, *batch.columns[2:]],
-                                             names=["doc_id", "words", *ys])
-
-    joined = joined.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", *ys)
-    sample = written(joined.mapInArrow(words_of, schema), "labelled")
-    common = (sample.select(F.explode("words").alias("word")).groupBy("word").count()
-              .where(F.col("count") >= least_texts).orderBy(F.desc("count"), "word").limit(features))
-    vocabulary = np.sort(np.array([r["word"] for r in common.collect()], np.int64).view(np.uint64))
+            found = [np.unique(np.frombuffer(b"".join(map(hashes.__getitem__, words_of(t))), "<i8"))
+                     for t in batch.column(1).cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64())), *batch.columns[2:]],
+                                             names=["doc_id", "features", "fold", *ys])
+
+    sample = written(joined.mapInArrow(features_of, schema), "labelled")
+    vocabulary, chosen = _telling_features(sample, ys, folds, features, least_texts, errors)
+    # From here a text is its few features that tell something.
+    known = sample.select("doc_id", "fold", *ys, F.array_intersect(
+        "features", F.array(*map(F.lit, vocabulary.view(np.int64).tolist())).cast("array<bigint>")).alias("features"),
+        F.array().cast("array<double>").alias("p"))
+    known = written(known, "known")
     n = len(vocabulary)
-    weights = np.zeros((len(names), n))
-    earlier = np.zeros((len(names), len(names)))
+    weights, earlier = np.zeros((len(names), n)), np.zeros((len(names), len(names)))
     intercepts, thresholds = np.zeros(len(names)), np.full(len(names), 2.0)
-    sample = sample.withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(folds)).cast("int"))
-    known = sample.withColumn("p", F.array().cast("array<double>"))
     for k in range(len(names)):
         # Task f < folds fits without fold f and rates it; task ``folds`` fits on all.
-        tasks = known.select("doc_id", "words", "fold", "p", F.col(ys[k]).alias("y"),
+        tasks = known.select("doc_id", "features", "fold", "p", F.col(ys[k]).alias("y"),
                              F.explode(F.array(*[F.lit(f) for f in range(folds + 1)])).alias("task"))
         result = written(tasks.groupBy("task").applyInArrow(
-            _fold_fit(vocabulary, folds, k), "doc_id bigint, q double, y int, model array<double>"), "chain")
+            _fold_fit(vocabulary, chosen[k], folds, k), "doc_id bigint, q double, y int, model array<double>"), "chain")
         model = result.where("model is not null").select("model").first()
         if model is None:
             break
         theta = np.array(model[0])
         weights[k], earlier[k, :k], intercepts[k] = theta[:n], theta[n:n + k], theta[-1]
         rated = result.where("model is null")
+        # As many pairs of numbers as the sample has rows.
         pairs = np.array([(r["q"], r["y"]) for r in rated.select("q", "y").collect()]).reshape(-1, 2)
         thresholds[k] = best_threshold(pairs[:, 0], pairs[:, 1])
         known = (known.join(rated.groupBy("doc_id").agg(F.first("q").alias("q")), "doc_id")
                  .withColumn("p", F.concat("p", F.array("q"))).drop("q"))
-    return Chain(tuple(names), vocabulary, weights, earlier, intercepts, thresholds)
-
-
-def _fold_fit(vocabulary: np.ndarray, folds: int, k: int):
+    used = (weights != 0).any(axis=0)
+    return Chain(tuple(names), vocabulary[used], weights[:, used], earlier, intercepts, thresholds)
+
+
+def _telling_features(sample: DataFrame, ys: list[str], folds: int, features: int, least_texts: int,
+                      errors: float) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes, and for each category and task which of them its training rows single out."""
+    task_rows = [F.col("fold") != t if t < folds else F.lit(True) for t in range(folds + 1)]
+    number = lambda cond: F.sum(F.when(cond, 1).otherwise(0))
+    cells = [(k, t) for k in range(len(ys)) for t in range(folds + 1)]
+    sums = ([number(rows).alias(f"n_{t}") for t, rows in enumerate(task_rows)]
+            + [number(task_rows[t] & (F.col(ys[k]) == 1)).alias(f"p_{k}_{t}") for k, t in cells])
+    whole = sample.agg(*sums).first()
+    counts = sample.select(F.explode("features").alias("feature"), "fold", *ys).groupBy("feature").agg(*sums)
+    scores = []
+    for k, t in cells:
+        n, p = float(whole[f"n_{t}"] or 0), float(whole[f"p_{k}_{t}"] or 0)
+        if not 0 < p < n:
+            scores.append(F.lit(0.0).alias(f"z_{k}_{t}"))
+            continue
+        hits, all_ = F.col(f"p_{k}_{t}"), F.col(f"n_{t}")
+        spread = F.sqrt(all_ / n * (1 - all_ / n) * (1 / p + 1 / (n - p)))
+        scores.append(F.when(spread > 0, F.abs(hits / p - (all_ - hits) / (n - p)) / spread).otherwise(0.0).alias(f"z_{k}_{t}"))
+    rated = counts.where(F.col(f"n_{folds}") >= least_texts).select("feature", *scores)
+    best = F.greatest(*[F.col(f"z_{k}_{t}") for k, t in cells], F.lit(0.0))
+    rows = (rated.withColumn("best", best).where(F.col("best") >= errors)
+            .orderBy(F.desc("best"), "feature").limit(features).collect())
+    hashes = np.array([r["feature"] for r in rows], np.int64).view(np.uint64)
+    order = np.argsort(hashes)
+    chosen = np.array([[[r[f"z_{k}_{t}"] >= errors for r in rows] for t in range(folds + 1)] for k in range(len(ys))], bool)
+    return hashes[order], chosen.reshape(len(ys), folds + 1, len(rows))[:, :, order]
+
+
+def _fold_fit(vocabulary: np.ndarray, chosen: np.ndarray, folds: int, k: int):
     def run(key: tuple, table: pa.Table) -> pa.Table:
         task = key[0].as_py()
-        words = table.column("words").combine_chunks()
-        lengths = np.diff(words.offsets.to_numpy())
-        rows = np.repeat(np.arange(table.num_rows), lengths)
-        values = words.flatten().to_numpy().view(np.uint64)
-        place = np.minimum(np.searchsorted(vocabulary, values), max(len(vocabulary) - 1, 0))
-        hit = vocabulary[place] == values if len(vocabulary) else np.zeros(len(values), bool)
-        rows, columns = rows[hit], place[hit]
+        features = table.column("features").combine_chunks()
+        rows = np.repeat(np.arange(table.num_rows), np.diff(features.offsets.to_numpy()))
+        columns = np.searchsorted(vocabulary, features.flatten().to_numpy().view(np.uint64))
+        used = chosen[task][columns]
+        rows, columns = rows[used], columns[used]
         y = table.column("y").to_numpy().astype(float)
         p = np.array([x or [] for x in table.column("p").to_pylist()], float).reshape(table.num_rows, k)
         held = table.column("fold").to_numpy() == task
         own = ~held[rows]
-        new = np.cumsum(~held) - 1
-        w, v, b = fit_logistic(new[rows[own]], columns[own], len(vocabulary), p[~held], y[~held])
+        place = np.cumsum(~held) - 1
+        w, v, b = fit_logistic(place[rows[own]], columns[own], len(vocabulary), p[~held], y[~held])
         if task == folds:
             ids, q, labels, model = [None], [None], [None], [np.concatenate([w, v, [b]])]
         else:
@@ -192,13 +253,15 @@ def rate(docs: DataFrame, chain: Chain) -> DataFrame:
     fields = ", ".join([f"p_{c}: double" for c in chain.categories] + [f"is_{c}: boolean" for c in chain.categories])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, model = WordHashes(), shared.value
+        model = shared.value
+        known = KnownFeatures(model.vocabulary)
         for batch in batches:
             row = batch.column(0)
             texts = row.field("text").cast(pa.binary()).to_pylist()
-            found = [distinct_words(t or b"", hashes) for t in texts]
+            words = [words_of(t or b"") for t in texts]
+            found = [np.unique(np.frombuffer(b"".join(map(known.__getitem__, w)), "<u4")) for w in words]
             p = np.array([model.probabilities(f) for f in found]).reshape(len(texts), len(model.categories))
-            holds = (p >= model.thresholds) & np.array([len(f) > 0 for f in found], bool)[:, None]
+            holds = (p >= model.thresholds) & np.array([len(w) > 0 for w in words], bool)[:, None]
             out = pa.StructArray.from_arrays(
                 [pa.array(p[:, k]) for k in range(p.shape[1])] + [pa.array(holds[:, k]) for k in range(p.shape[1])],
                 names=[f"p_{c}" for c in model.categories] + [f"is_{c}" for c in model.categories])
