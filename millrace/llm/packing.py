@@ -14,12 +14,14 @@ from __future__ import annotations
 
 import bisect
 import os
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window, functions as F
 
 from millrace.llm.common import shuffle_width, written
@@ -33,9 +35,10 @@ def best_two_fit(counts: dict[int, int], capacity: int) -> tuple[np.ndarray, int
     Plan rows, sorted: length, first rank, pieces of this length in one sequence, first
     sequence, place of the first such piece in the sequence.
     """
-    left = dict(counts)
-    sizes = sorted(s for s, n in left.items() if n > 0)
-    used_up = dict.fromkeys(sizes, 0)
+    left = np.zeros(capacity + 1, np.int64)
+    left[list(counts)] = list(counts.values())
+    sizes = np.flatnonzero(left).tolist()
+    used_up = np.zeros(capacity + 1, np.int64)
     plan, sequences = [], 0
     while sizes:
         taken, gap = {}, capacity
@@ -45,25 +48,24 @@ def best_two_fit(counts: dict[int, int], capacity: int) -> tuple[np.ndarray, int
             if not at:
                 break
             size = sizes[at - 1]
-            n = min(gap // size, left[size])
-            if n:
-                taken[size] = n
-                gap -= n * size
+            n = min(gap // size, int(left[size]))
+            taken[size] = n
+            gap -= n * size
             at -= 1
         peak = dict(taken)
         if gap:
             smallest = min(taken)
-            pair = _tighter_pair(sizes, left, taken, gap + smallest, smallest)
+            pair = _tighter_pair(left, taken, gap + smallest, smallest)
             if pair:
                 taken[smallest] -= 1
                 for size in pair:
                     taken[size] = taken.get(size, 0) + 1
                     peak[size] = max(peak.get(size, 0), taken[size])
-        times = min(left[s] // n for s, n in peak.items())
+        times = min(int(left[s]) // n for s, n in peak.items())
         place = 0
         for size in sorted((s for s, n in taken.items() if n), reverse=True):
             n = taken[size]
-            plan.append((size, used_up[size], n, sequences, place))
+            plan.append((size, int(used_up[size]), n, sequences, place))
             place += n * size
             used_up[size] += n * times
             left[size] -= n * times
@@ -74,14 +76,17 @@ def best_two_fit(counts: dict[int, int], capacity: int) -> tuple[np.ndarray, int
     return np.array(plan, np.int64).reshape(-1, 5), sequences
 
 
-def _tighter_pair(sizes: list[int], left: dict, taken: dict, room: int, beat: int) -> tuple[int, int] | None:
+def _tighter_pair(left: np.ndarray, taken: dict, room: int, beat: int) -> tuple[int, int] | None:
     """Two unpacked lengths with the largest sum up to ``room`` and over ``beat``."""
-    free = np.array([s for s in sizes[:bisect.bisect_left(sizes, room)] if left[s] > taken.get(s, 0)], np.int64)
+    rest = left[:room].copy()
+    for size, n in taken.items():
+        if size < room:
+            rest[size] -= n
+    free = np.flatnonzero(rest)
     if not len(free):
         return None
     other = np.searchsorted(free, np.minimum(room - free, free), side="right") - 1
-    twice = np.array([left[s] - taken.get(s, 0) >= 2 for s in free.tolist()])
-    other -= (other == np.arange(len(free))) & ~twice
+    other -= (other == np.arange(len(free))) & (rest[free] < 2)
     sums = np.where(other >= 0, free + free[other], 0)
     best = len(sums) - 1 - int(np.argmax(sums[::-1]))
     if sums[best] <= beat:
@@ -89,31 +94,92 @@ def _tighter_pair(sizes: list[int], left: dict, taken: dict, room: int, beat: in
     return int(free[best]), int(free[other[best]])
 
 
+#: How the tokenizer splits what lies between white space, once in lower case.
+PRETOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+
+
+class _Table(dict):
+    """A table of two generations: what was used since the last overflow stays."""
+
+    def __init__(self, limit: int):
+        super().__init__()
+        self.limit, self.old = limit, {}
+
+    def missing(self, keys: set) -> list:
+        """Keys that are in neither generation; those in the old one are taken over."""
+        if len(self) + len(keys) > self.limit:
+            self.old = dict(self)
+            self.clear()
+        fresh = []
+        for key in keys:
+            if key not in self:
+                known = self.old.get(key)
+                if known is None:
+                    fresh.append(key)
+                else:
+                    self[key] = known
+        return fresh
+
+
 class _Encoder:
     """Token ids of a text, as little-endian 32-bit numbers, word by word.
 
-    The tokenizer drops white space and never joins words across it, so the ids of a text are
-    those of its words. Words are looked up in a table of at most ``limit`` entries.
+    The tokenizer drops white space and never joins words across it, nor the pieces that its
+    pattern splits a word into. So the ids of a text are those of its words, and those of a
+    word are those of its pieces; both are looked up in tables of bounded size. Pieces that
+    are not known are tokenized many at a time: each ends with a token that closes a piece.
+    Words that the tokenizer treats as a whole (special tokens, text that it normalizes in
+    other ways than lower case) are given to it alone.
     """
 
-    def __init__(self, definition: str, limit: int = 250_000):
+    def __init__(self, definition: str, words: int = 300_000, pieces: int = 200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        self.tokenizer, self.limit = Tokenizer.from_str(definition), limit
-        self.known: dict[bytes, bytes] = {}
+        self.tokenizer = Tokenizer.from_str(definition)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.words, self.pieces = _Table(words), _Table(pieces)
+
+    def _whole(self, words: list[str]) -> Iterator[bytes]:
+        for code in self.tokenizer.encode_batch_fast(words, add_special_tokens=False):
+            yield np.array(code.ids, "<u4").tobytes()
+
+    def _learn_pieces(self, pieces: set[str]) -> None:
+        fresh = self.pieces.missing(pieces)
+        for at in range(0, len(fresh), 500):
+            part = fresh[at:at + 500]
+            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+            ends = np.flatnonzero(self.closes[np.minimum(ids, len(self.closes) - 1)]) + 1
+            if len(ends) != len(part):
+                codes = list(self._whole(part))
+            else:
+                data, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
+                codes = [data[a:b] for a, b in zip(cuts, cuts[1:])]
+            self.pieces.update(zip(part, codes))
+
+    def _learn_words(self, words: set[bytes]) -> None:
+        fresh = self.words.missing(words)
+        plain, split, whole = [], [], []
+        for word in fresh:
+            text = word.decode()
+            lower = text.lower()
+            if "<|" in text or not (text.isascii() or (len(lower) == len(text) and "\u03a3" not in text
+                                                      and unicodedata.is_normalized("NFC", text))):
+                whole.append(word)
+            else:
+                plain.append(word)
+                split.append(PRETOKEN.findall(lower))
+        self._learn_pieces(set().union(*split))
+        look = self.pieces.__getitem__
+        for word, pieces in zip(plain, split):
+            self.words[word] = b"".join(map(look, pieces))
+        self.words.update(zip(whole, self._whole([w.decode() for w in whole])))
 
     def __call__(self, texts: list[bytes]) -> Iterator[bytes]:
         split = [text.split() for text in texts]
-        words = set().union(*split)
-        if len(self.known) + len(words) > self.limit:
-            self.known = {w: self.known[w] for w in words if w in self.known}
-        fresh = [w for w in words if w not in self.known]
-        for at in range(0, len(fresh), 4096):
-            part = fresh[at:at + 4096]
-            codes = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            for word, code in zip(part, codes):
-                self.known[word] = np.array(code.ids, "<u4").tobytes()
-        look = self.known.__getitem__
+        self._learn_words(set().union(*split))
+        look = self.words.__getitem__
         for one in split:
             yield b"".join(map(look, one))
 
