@@ -158,11 +158,15 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: Mapping[str, Colum
 
     sample = written(joined.mapInArrow(features_of, schema), "labelled")
     vocabulary, chosen = _telling_features(sample, ys, folds, features, least_texts, errors)
+    def telling(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.array(x, np.int64).view(np.uint64) for x in batch.column(1).to_pylist()]
+            few = [np.intersect1d(x, vocabulary).view(np.int64) for x in found]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(few, pa.list_(pa.int64())), *batch.columns[2:]],
+                                             names=batch.schema.names)
+
     # From here a text is its few features that tell something.
-    known = sample.select("doc_id", "fold", *ys, F.array_intersect(
-        "features", F.array(*map(F.lit, vocabulary.view(np.int64).tolist())).cast("array<bigint>")).alias("features"),
-        F.array().cast("array<double>").alias("p"))
-    known = written(known, "known")
+    known = written(sample.mapInArrow(telling, schema), "known").withColumn("p", F.array().cast("array<double>"))
     n = len(vocabulary)
     weights, earlier = np.zeros((len(names), n)), np.zeros((len(names), len(names)))
     intercepts, thresholds = np.zeros(len(names)), np.full(len(names), 2.0)
