@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from millrace.functions.signals import health, severity, status
 from millrace.operators.ordered import ROWS_PER_TASK
 from millrace.operators.quantiles import quantiles
+from millrace.operators.scaling import Scaler
 from millrace.operators.windows import map_windows
 
 # Window threshold without training errors, and the two row thresholds.
@@ -24,7 +25,11 @@ DETECTION_SCHEMA = ("window_error double, window_alert boolean, pca_score double
 
 @dataclass(frozen=True)
 class TripleDetector:
-    """Window model on the window; PCA and forest on its last row. Any model may be absent."""
+    """Window model on the window; PCA and forest on its last row. Any model may be absent.
+
+    Models are fitted on scaled rows. With ``scaler`` the detector takes raw rows and scales
+    them itself, in batch and on a stream alike.
+    """
 
     features: tuple[str, ...]
     size: int
@@ -32,8 +37,11 @@ class TripleDetector:
     pca: object | None = None
     forest: object | None = None
     thresholds: dict = field(default_factory=lambda: dict(DEFAULT_THRESHOLDS))
+    scaler: Scaler | None = None
 
     def __call__(self, windows: np.ndarray) -> dict:
+        if self.scaler is not None:
+            windows = self.scaler.values(windows)
         n, last = len(windows), windows[:, -1, :]
         result = {name: np.zeros(n) for name in ("window_error", "pca_score", "iso_score")}
         result.update({name: np.zeros(n, dtype=bool)

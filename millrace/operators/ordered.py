@@ -8,15 +8,14 @@ chunk is its own window partition, and what must flow from one chunk to the next
 (row counts, running sums, the previous row) comes from a small carry table with
 one row per chunk.
 
-The chunk bounds are rows sampled from the hot series, fixed on the driver and
-put into the plan as literals. Every branch of a plan, and every task that is run
-again, therefore places a row in the same chunk. Results never depend on where
-the bounds fall.
+The chunk bounds of each hot series are sampled once and written down as a table,
+which is joined to the rows. Every branch of a plan, and every task that is run
+again, therefore places a row in the same chunk, and the plan has the same size
+however many series are hot. Results never depend on where the bounds fall.
 """
 
 from __future__ import annotations
 
-import json
 import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
@@ -24,68 +23,96 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import BinaryType, DateType, TimestampNTZType, TimestampType
 
-from millrace.functions.signals import typed_literal
+from millrace.session import scratch_path
 
 CHUNK = "__chunk"
 POSITION = "__position"
 
 # Largest series that is handled by one window partition (sorted with spill).
 ROWS_PER_TASK = 4_000_000
-# Upper bound of chunks, hence of literals in the plan and rows in a carry table.
-MAX_CHUNKS = 4_096
 # Sampled rows per chunk when bounds are chosen, as many as Spark's own range exchange.
 SAMPLE_PER_CHUNK = 20
+# Tables with a row, or a bound, for each chunk are broadcast up to this many chunks (some
+# megabytes) and joined by key beyond.
+BROADCAST_CHUNKS = 50_000
+
+
+@dataclass(frozen=True)
+class Hot:
+    """Series that are too large for one task: a table of their keys and row counts."""
+
+    keys: DataFrame | None     # ``by`` columns renamed by ``_key_name``, and __n; None: the table
+    series: int
+    chunks: int                # chunks they will be cut into, about
 
 
 @dataclass(frozen=True)
 class Chunks:
-    """How a table is cut: ``hot`` rows carry a chunk number, all others are chunk 0."""
+    """How a table is cut: rows of hot series have chunks 1, 2, ..., all others chunk 0."""
 
     df: DataFrame              # input plus CHUNK
     by: tuple[str, ...]
     order_by: tuple[str, ...]
-    bounds: tuple              # first order key of chunk 1, 2, ... over all hot series
-    hot: Column                # true for rows of a hot series
+    chunks: int                # 0: nothing is cut
 
     @property
     def split(self) -> bool:
-        return bool(self.bounds)
+        return self.chunks > 0
+
+    @property
+    def hot(self) -> Column:
+        """True for rows of a hot series, where CHUNK is at hand."""
+        return F.col(CHUNK) > 0
 
     @property
     def window(self):
         return Window.partitionBy(*self.by, CHUNK).orderBy(*self.order_by)
 
 
+def _key_name(column: str) -> str:
+    return f"__key_{column}"
+
+
+def _same(by: Sequence[str]) -> Column:
+    match = F.lit(True)
+    for c in by:
+        match = match & F.col(f"`{c}`").eqNullSafe(F.col(f"`{_key_name(c)}`"))
+    return match
+
+
+def _sized(df: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(df) if rows <= BROADCAST_CHUNKS else df
+
+
 def hot_series(df: DataFrame, by: Sequence[str], rows_per_task: int,
-               total: int | None = None) -> list:
-    """Keys and row counts of series with more than ``rows_per_task`` rows, in key order.
+               total: int | None = None) -> Hot | None:
+    """The series with more than ``rows_per_task`` rows; None if there is none.
 
-    One map-side combined count. At most ``rows / rows_per_task`` keys come back.
-    ``total``, if known, is the row count of the table; then no series of a small
-    table can be hot and nothing is counted.
+    One map-side combined count; two numbers come to the driver. The keys are written
+    down, to be joined. ``total``, if known, is the row count of the table; then no series
+    of a small table can be hot and nothing is counted.
     """
     if total is not None and total <= rows_per_task:
-        return []
+        return None
     if not by:
         n = df.count() if total is None else total
-        return [(n,)] if n > rows_per_task else []
-    counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
-    return [tuple(r) for r in
-            counts.filter(F.col("__n") > rows_per_task).orderBy(*by).collect()]
+        return Hot(None, 1, math.ceil(n / rows_per_task)) if n > rows_per_task else None
+    counts = (df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > rows_per_task)
+              .withColumnsRenamed({c: _key_name(c) for c in by}))
+    facts = counts.agg(F.count(F.lit(1)).alias("series"),
+                       F.sum(F.ceil(F.col("__n") / rows_per_task)).alias("chunks")).first()
+    if not facts["series"]:
+        return None
+    path = scratch_path(df.sparkSession, "hot")
+    counts.write.parquet(path)
+    return Hot(df.sparkSession.read.parquet(path), facts["series"], facts["chunks"])
 
 
-def is_hot(df: DataFrame, by: Sequence[str], hot: list) -> Column:
-    """Boolean column: the row belongs to one of the ``hot`` series."""
-    if not hot:
-        return F.lit(False)
-    if not by:
-        return F.lit(True)
-    keys = tuple(row[:-1] for row in hot)
-    if len(by) == 1 and isinstance(keys[0][0], (int, str)) and (None,) not in keys:
-        return F.coalesce(F.col(by[0]).isin([k[0] for k in keys]), F.lit(False))
-    types = {f.name: f.dataType for f in df.schema}
-    return F.struct(*[F.col(c) for c in by]).isin([
-        F.struct(*[typed_literal(v, types[c]).alias(c) for v, c in zip(k, by)]) for k in keys])
+def rows_of(df: DataFrame, by: Sequence[str], hot: Hot, how: str = "left_semi") -> DataFrame:
+    """Rows of the hot series, or with ``left_anti`` all others."""
+    if hot.keys is None:
+        return df if how == "left_semi" else df.limit(0)
+    return df.join(_sized(hot.keys.drop("__n"), hot.series), _same(by), how)
 
 
 def cut(df: DataFrame, by: Sequence[str], order_by: Sequence[str],
@@ -97,19 +124,24 @@ def cut(df: DataFrame, by: Sequence[str], order_by: Sequence[str],
     """
     by, order_by = tuple(by), tuple(order_by)
     hot = hot_series(df, by, rows_per_task, total)
-    hot_flag = is_hot(df, by, hot)
-    if not hot:
-        return Chunks(df.withColumn(CHUNK, F.lit(0)), by, order_by, (), hot_flag)
-
-    n_hot = sum(row[-1] for row in hot)
-    n_chunks = min(MAX_CHUNKS, math.ceil(n_hot / rows_per_task) + 1)
-    key = _key(df, by + order_by)
-    fraction = min(1.0, SAMPLE_PER_CHUNK * n_chunks / n_hot)
-    sample = [row[0] for row in df.filter(hot_flag).select(key.alias("key"))
-              .sample(fraction=fraction, seed=7).orderBy("key").collect()]
-    step = max(1, len(sample) // n_chunks)
-    bounds = tuple(dict.fromkeys(tuple(r) for r in sample[step::step]))
-    return Chunks(_assign(df, key, bounds, hot_flag), by, order_by, bounds, hot_flag)
+    if hot is None:
+        return Chunks(df.withColumn(CHUNK, F.lit(0)), by, order_by, 0)
+    key = _key(df, order_by)
+    fraction = min(1.0, SAMPLE_PER_CHUNK / rows_per_task)
+    step = max(1, round(fraction * rows_per_task))
+    sample = rows_of(df, by, hot).select(*[F.col(f"`{c}`").alias(_key_name(c)) for c in by], key.alias("__at"))
+    if fraction < 1:
+        sample = sample.sample(fraction=fraction, seed=7)
+    # A list has SAMPLE_PER_CHUNK entries for each chunk of its series.
+    listed = sample.groupBy(*map(_key_name, by)).agg(F.sort_array(F.collect_list("__at")).alias("__all"))
+    places = F.when(F.size("__all") > step, F.sequence(F.lit(step), F.size("__all") - 1, F.lit(step)))
+    bounds = listed.select(*map(_key_name, by), F.array_distinct(F.transform(
+        F.coalesce(places, F.array().cast("array<int>")), lambda i: F.get("__all", i))).alias("__bounds"))
+    path = scratch_path(df.sparkSession, "bounds")
+    bounds.write.parquet(path)
+    bounds = df.sparkSession.read.parquet(path)
+    most = bounds.agg(F.max(F.size("__bounds"))).first()[0] or 0
+    return Chunks(_assign(df, by, key, bounds, hot, most), by, order_by, hot.chunks)
 
 
 def _key(df: DataFrame, names: Sequence[str]) -> Column:
@@ -127,28 +159,18 @@ def _key(df: DataFrame, names: Sequence[str]) -> Column:
     return F.struct(*fields)
 
 
-def _assign(df: DataFrame, key: Column, bounds: tuple, hot: Column) -> DataFrame:
-    """Add CHUNK: the number of sorted ``bounds`` that are <= the row's key, 0 for cold rows.
+def _assign(df: DataFrame, by: tuple[str, ...], key: Column, bounds: DataFrame, hot: Hot, most: int) -> DataFrame:
+    """Add CHUNK: 0 for rows without bounds, else 1 more than the number of bounds <= the row's key.
 
-    A binary search in a literal array, one projection per halving, so that all of
-    it is compiled into the stage that reads the rows. The array is filled up with
-    its last entry to 2^k - 1 places; the surplus is cut off at the end. It is
-    written as one JSON literal, which keeps the plan small.
+    A binary search in the series' sorted bounds, at most ``most``, right where they are joined.
     """
-    if not bounds:
-        return df.withColumn(CHUNK, F.lit(0))
-    places = 2 ** len(bounds).bit_length() - 1
-    filled = [*bounds, *[bounds[-1]] * (places - len(bounds))]
-    text = json.dumps([{f"k{i}": v for i, v in enumerate(b)} for b in filled], default=float)
-    found = df.withColumns({"__key": F.when(hot, key), CHUNK: F.lit(0)})
-    kind = found.schema["__key"].dataType.simpleString()
-    array = F.from_json(F.lit(text), f"array<{kind}>")
-    step = (places + 1) // 2
-    while step:
-        below = F.get(array, F.col(CHUNK) + (step - 1)) <= F.col("__key")
-        found = found.withColumn(CHUNK, F.col(CHUNK) + F.when(below, step).otherwise(0))
-        step //= 2
-    return found.withColumn(CHUNK, F.least(F.col(CHUNK), F.lit(len(bounds)))).drop("__key")
+    names = [f"`{c}`" for c in df.columns]
+    # Without a series there is one row of bounds, for all rows.
+    joined = df.join(_sized(bounds, hot.chunks if by else 1), _same(by), "left")
+    steps = F.array(*[F.lit(2 ** i) for i in reversed(range(max(1, int(most).bit_length())))])
+    found = F.aggregate(steps, F.lit(0), lambda at, step: F.when(
+        (at + step <= F.size("__bounds")) & (F.get("__bounds", at + step - 1) <= key), at + step).otherwise(at))
+    return joined.select(*names, F.when(F.col("__bounds").isNull(), 0).otherwise(found + 1).alias(CHUNK))
 
 
 def _carry(chunks: Chunks, rows: DataFrame, aggs: Sequence[Column],
@@ -156,8 +178,7 @@ def _carry(chunks: Chunks, rows: DataFrame, aggs: Sequence[Column],
     """What flows into a chunk of a hot series: aggregates folded over its earlier chunks.
 
     Only hot rows are read. The first chunk of a series receives nothing and is left
-    out. Every other one begins at or after a bound that lies in its series, so there
-    are at most ``len(bounds)`` <= MAX_CHUNKS rows: few enough to be broadcast.
+    out. There is a row for each chunk.
     """
     summary = rows.filter(chunks.hot).groupBy(*chunks.by, CHUNK).agg(*aggs)
     fold = Window.partitionBy(*(chunks.by or (F.lit(0),))).orderBy(CHUNK)
@@ -168,12 +189,8 @@ def _carry(chunks: Chunks, rows: DataFrame, aggs: Sequence[Column],
 
 def _join_carry(chunks: Chunks, rows: DataFrame, carry: DataFrame) -> DataFrame:
     keys = (*chunks.by, CHUNK)
-    renamed = carry.select(*[F.col(c).alias(f"__carry_{c}") if c in keys else F.col(c)
-                             for c in carry.columns])
-    match = F.lit(True)
-    for c in keys:
-        match = match & rows[c].eqNullSafe(renamed[f"__carry_{c}"])
-    return rows.join(F.broadcast(renamed), match, "left").drop(*[f"__carry_{c}" for c in keys])
+    renamed = carry.withColumnsRenamed({c: _key_name(c) for c in keys})
+    return rows.join(_sized(renamed, chunks.chunks), _same(keys), "left").drop(*map(_key_name, keys))
 
 
 def running_sum(chunks: Chunks, rows: DataFrame, value: Column, name: str,

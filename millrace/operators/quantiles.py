@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.functions.signals import nan_to_null
-from millrace.operators.ordered import cut, hot_series, is_hot, running_sum
+from millrace.operators.ordered import cut, hot_series, rows_of, running_sum
 from millrace.operators.sizes import broadcast_if_small
 from millrace.session import scratch_path
 
@@ -31,8 +31,7 @@ def group_quantiles(df: DataFrame, column: str, probs: Sequence[float], by: Sequ
     values = df.select(*by, value.alias("__value"))
     # Counting all rows bounds the values from above and does not evaluate ``column``.
     hot = hot_series(df.select(*by), by, rows_per_task)
-    flag = is_hot(values, by, hot)
-    small = values.filter(~flag) if hot else values
+    small = rows_of(values, by, hot, "left_anti") if hot else values
     # Missing values are left to the aggregates: a filter would evaluate ``column`` again.
     exact = (small.groupBy(*by)
              .agg(F.count("__value").alias("n"),
@@ -40,7 +39,7 @@ def group_quantiles(df: DataFrame, column: str, probs: Sequence[float], by: Sequ
              .filter(F.col("n") > 0))
     if not hot:
         return exact
-    large = _ranked(values.filter(flag), probs, by, rows_per_task, name)
+    large = _ranked(rows_of(values, by, hot), probs, by, rows_per_task, name)
     return exact.unionByName(large) if by else large
 
 

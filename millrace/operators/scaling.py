@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.functions.signals import nan_to_null
@@ -18,6 +19,10 @@ class Scaler:
     offset: tuple[float, ...]
     scale: tuple[float, ...]
 
+    def values(self, x: np.ndarray) -> np.ndarray:
+        """The same for an array whose last axis is the features."""
+        return (x - np.array(self.offset)) / np.array(self.scale)
+
     def apply(self, df: DataFrame) -> DataFrame:
         return df.withColumns({c: (F.col(c) - F.lit(o)) / F.lit(s) for c, o, s in
                                zip(self.features, self.offset, self.scale)})

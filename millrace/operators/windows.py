@@ -6,11 +6,16 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import StructType
 
 from millrace.operators.ordered import POSITION, ROWS_PER_TASK, per_series
+from millrace.session import scratch_path
 
+# Matrices that are added up by one task, and how they travel.
+FAN_IN = 16
+MATRIX = "task int, matrix binary"
 # Windows handed to a numpy function at a time: bounds the memory of a worker.
 WINDOWS_PER_CALL = 2_048
 
@@ -178,8 +183,8 @@ def window_moments(df: DataFrame, by: Sequence[str], order_by: Sequence[str],
                    rows_per_task: int = ROWS_PER_TASK) -> tuple[int, np.ndarray, np.ndarray]:
     """Count, sum and cross-product matrix of the flattened windows, minus ``shift`` per feature.
 
-    Every task adds up its own windows and emits one matrix; the matrices are added
-    by a Spark aggregate. Only the (size * features)^2 result reaches the driver.
+    Every task adds up its own windows and emits one matrix. Matrices are added whole, up to
+    ``FAN_IN`` at a time, in a tree. Only the (size * features)^2 result reaches the driver.
     """
     width = size * len(columns)
     shift = np.asarray(shift, dtype=float)
@@ -193,18 +198,28 @@ def window_moments(df: DataFrame, by: Sequence[str], order_by: Sequence[str],
             flat = np.hstack([np.ones((len(flat), 1)), flat])
             total += flat.T @ flat
         if total[0, 0]:
-            yield pd.DataFrame({"i": np.arange(width + 1), "cells": list(total)})
+            yield pd.DataFrame({"task": [TaskContext.get().partitionId()], "matrix": [total.tobytes()]})
 
     def compute(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
         marked = _sorted_rows(rows, keys, order_by, [*columns, "__own"])
-        return marked.mapInPandas(run, "i int, cells array<double>").withColumns(
+        return marked.mapInPandas(run, MATRIX).withColumns(
             {"__block": F.lit(0).cast("bigint"), POSITION: F.lit(1).cast("bigint")})
 
+    def add(frame: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(m) for m in frame["matrix"])
+        return pd.DataFrame({"task": frame["task"].iloc[:1] // FAN_IN, "matrix": [total.tobytes()]})
+
     parts = per_series(_keyed(df, by), by, order_by, size - 1, compute, rows_per_task,
-                       drop_repeated=False)
-    cells = (parts.select("i", F.posexplode("cells").alias("j", "x"))
-             .groupBy("i", "j").agg(F.sum("x").alias("x")).collect())
+                       drop_repeated=False).select("task", "matrix")
+    path = scratch_path(df.sparkSession, "moments")
+    parts.write.parquet(path)
+    parts = df.sparkSession.read.parquet(path)
+    # A number may stand for two tasks, as cold and hot series are stages of their own.
+    groups = (parts.agg(F.max("task")).first()[0] or 0) + 1
+    while groups > 1:
+        parts = parts.groupBy(F.floor(F.col("task") / FAN_IN).alias("__group")).applyInPandas(add, MATRIX)
+        groups = -(-groups // FAN_IN)
     matrix = np.zeros((width + 1, width + 1))
-    for i, j, x in cells:
-        matrix[i, j] = x
+    for row in parts.collect():
+        matrix += np.frombuffer(row["matrix"]).reshape(matrix.shape)
     return int(round(matrix[0, 0])), matrix[0, 1:], matrix[1:, 1:]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.operators import scaling
+from millrace.operators import scaling, sequences
 from millrace.operators.detect import consensus, iforest, pca, window_model
 from millrace.operators.sizes import spread_if_small
 from millrace.queries.profiles import SPLIT_SQL, rounded, scaled_signals
@@ -242,15 +242,18 @@ def detect_or(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def triple_models(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, consensus.TripleDetector]:
-    """Scaled signals and three detectors fitted on the training part."""
-    rows = stored(scaled_signals(spark, sf_dir), "scaled", ["split"])
-    train = rows.filter(F.col("split") == "train")
+    """Raw signals and three detectors, fitted on the scaled training part, that scale by themselves."""
+    raw = signals(spark, sf_dir)
+    split = stored(sequences.chronological_split(raw, SIGNAL_ORDER), "split", ["split"])
+    part = split.filter(F.col("split") == "train")
+    scaler = scaling.minmax_fit(part, SENSORS)
+    train = scaler.apply(part)
     model = _window_model(train)
-    errors = window_model.window_error(train, USER, SIGNAL_ORDER, model, stride=5)
+    errors = window_model.window_error(train, USER, SIGNAL_ORDER, model)
     thresholds = {**consensus.DEFAULT_THRESHOLDS, "window": consensus.percentile_threshold(errors, "mse")}
-    return rows, consensus.TripleDetector(
+    return raw, consensus.TripleDetector(
         tuple(SENSORS), WINDOW, model, pca.pca_fit(train, SENSORS, 1),
-        iforest.iforest_fit(train, SENSORS, ["event_id"]), thresholds)
+        iforest.iforest_fit(train, SENSORS, ["event_id"]), thresholds, scaler)
 
 
 @query("triple_detector")
@@ -262,6 +265,126 @@ def triple_detector(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "window_error", "window_alert", "pca_score", "pca_alert", "iso_score", "iso_alert")
 
 
+def fixed_window_model(features: list[str], size: int) -> window_model.WindowModel:
+    """Axes that keep each sensor's mean over the window: a linear model with a known result."""
+    axes = np.kron(np.ones(size), np.eye(len(features))) / np.sqrt(size)
+    return window_model.WindowModel(tuple(features), size, np.zeros(size * len(features)), axes,
+                                    np.ones(size * len(features)))
+
+
+def fixed_detector() -> consensus.TripleDetector:
+    """Written-down scaler, models and thresholds."""
+    import pandas as pd
+    nodes = pd.DataFrame([
+        (0, 0, 0, 0.1, 0, 8), (0, 1, -1, 0.0, 1, 1), (0, 2, 1, 0.35, 1, 7),
+        (0, 5, -1, 0.0, 2, 2), (0, 6, -1, 0.0, 2, 5),
+        (1, 0, 1, 0.65, 0, 8), (1, 1, -1, 0.0, 1, 6), (1, 2, -1, 0.0, 1, 2),
+    ], columns=["tree", "node", "feature", "threshold", "depth", "size"])
+    return consensus.TripleDetector(
+        tuple(SENSORS), WINDOW, fixed_window_model(SENSORS, WINDOW),
+        pca.Pca(tuple(SENSORS), np.array([0.2, 0.4]), np.array([[0.6, 0.8]]), np.array([1.0, 0.5])),
+        iforest.forest_from_nodes(nodes, SENSORS, offset=-0.5),
+        {"window": 0.1, "pca": 0.05, "iso": 0.0}, scaling.Scaler(tuple(SENSORS), (10.0, 5.0), (200.0, 50.0)))
+
+
+# The fixed detector on every full window: CTEs ``signals``, ``events_us`` and ``detected``.
+FIXED_DETECTION_SQL = f"""
+{SIGNALS_SQL},
+events_us AS (SELECT us FROM signals),
+scaled AS (SELECT event_id, user_id, ts, us, (value - 10e0) / 200e0 AS v, (k - 5e0) / 50e0 AS q FROM signals),
+framed AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS r,
+                  (var_pop(v) OVER w + var_pop(q) OVER w) / 2 AS window_error FROM scaled
+           WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id
+                        ROWS BETWEEN {WINDOW - 1} PRECEDING AND CURRENT ROW)),
+detected AS (
+  SELECT event_id, user_id, us, r - {WINDOW} AS window_id, window_error,
+         (pow(v - 0.2e0 - 0.6e0 * s, 2) + pow(q - 0.4e0 - 0.8e0 * s, 2)) / 2 AS pca_score,
+         pow(2.0e0, -(CASE WHEN v <= 0.1e0 THEN 1.0e0 WHEN q <= 0.35e0 THEN 2.0e0 + {_path(2)}
+                           ELSE 2.0e0 + {_path(5)} END
+                    + CASE WHEN q <= 0.65e0 THEN 1.0e0 + {_path(6)} ELSE 1.0e0 + {_path(2)} END)
+                    / 2 / {_path(8)}) - 0.5e0 AS iso_score
+  FROM (SELECT *, 0.6e0 * (v - 0.2e0) + 0.8e0 * (q - 0.4e0) AS s FROM framed WHERE r >= {WINDOW}))"""
+
+
+@query("triple_detector_fixed", f"""
+WITH {FIXED_DETECTION_SQL}
+SELECT user_id, window_id, CAST(us AS BIGINT) AS end_us, round(window_error, 5) AS window_error,
+       window_error > 0.1 AS window_alert, round(sqrt(pca_score), 6) AS pca_score, pca_score > 0.05 AS pca_alert,
+       round(iso_score, 8) AS iso_score, iso_score > 0 AS iso_alert FROM detected
+""")
+def triple_detector_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written-down detectors on every window of the raw signals."""
+    found = consensus.detect(signals(spark, sf_dir), USER, SIGNAL_ORDER, fixed_detector())
+    return found.select(
+        "user_id", "window_id", F.unix_micros("end_ts").alias("end_us"), F.round("window_error", 5).alias("window_error"),
+        "window_alert", F.round(F.sqrt("pca_score"), 6).alias("pca_score"), "pca_alert",
+        F.round("iso_score", 8).alias("iso_score"), "iso_alert")
+
+
+@query("window_error_fixed", f"""
+WITH {SIGNALS_SQL},
+framed AS (SELECT user_id, us, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS r,
+                  list(value) OVER w AS v, list(k) OVER w AS q FROM signals
+           WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id
+                        ROWS BETWEEN {WINDOW - 1} PRECEDING AND CURRENT ROW)),
+centred AS (SELECT user_id, us, r, v, q, list_avg(v) AS mv, list_avg(q) AS mq FROM framed WHERE r >= {WINDOW}),
+spread AS (SELECT *, list_avg(list_transform(v, lambda x: pow(x - mv, 2))) AS ev,
+                  list_avg(list_transform(q, lambda x: pow(x - mq, 2))) AS eq,
+                  list_avg(list_transform(v, lambda x: abs(x - mv))) AS av,
+                  list_avg(list_transform(q, lambda x: abs(x - mq))) AS aq FROM centred)
+SELECT user_id, r - {WINDOW} AS window_id, CAST(us AS BIGINT) AS end_us, round((ev + eq) / 2, 5) AS mse,
+       round((av + aq) / 2, 5) AS mae, round(mv * sqrt({WINDOW}.0e0), 5) AS z0, round(mq * sqrt({WINDOW}.0e0), 5) AS z1,
+       round(ev, 5) AS error_value, round(eq, 5) AS error_k FROM spread
+""")
+def window_error_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both errors, the latent vector and the attribution of a written-down linear model."""
+    found = window_model.window_error(signals(spark, sf_dir), USER, SIGNAL_ORDER, fixed_window_model(SENSORS, WINDOW))
+    return rounded(found.select(
+        "user_id", "window_id", F.unix_micros("end_ts").alias("end_us"), "mse", "mae",
+        F.col("latent")[0].alias("z0"), F.col("latent")[1].alias("z1"),
+        *[F.col("attribution")[i].alias(f"error_{c}") for i, c in enumerate(SENSORS)]),
+        ["mse", "mae", "z0", "z1", "error_value", "error_k"], 5)
+
+
+@query("pca_fit_variance", f"""
+WITH b AS (SELECT {", ".join(f"min({c}) AS lo_{c}, max({c}) - min({c}) AS d_{c}" for c in ROW_FEATURES)} FROM lineitem)
+SELECT round({" + ".join(f"var_samp(({c} - lo_{c}) / d_{c})" for c in ROW_FEATURES)}, 7) AS total FROM lineitem, b
+""")
+def pca_fit_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All variances of the fitted components add up to those of the features."""
+    model = pca.pca_fit(_row_table(spark, sf_dir), ROW_FEATURES, 3)
+    return spark.createDataFrame([(round(float(model.variance.sum()), 7),)], "total double")
+
+
+@query("window_ae_variance", f"""
+WITH {SIGNALS_SQL},
+framed AS (SELECT row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS r, list(value) OVER w AS v,
+                  list(k) OVER w AS q FROM signals
+           WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id
+                        ROWS BETWEEN {WINDOW - 1} PRECEDING AND CURRENT ROW)),
+steps AS (SELECT i, v[i] AS value, q[i] AS k FROM framed, (SELECT unnest(range(1, {WINDOW + 1})) AS i) WHERE r >= {WINDOW}),
+spread AS (SELECT var_samp(value) AS a, var_samp(k) AS b FROM steps GROUP BY i)
+SELECT round(sum(a + b), 3) AS total FROM spread
+""")
+def window_ae_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All variances of the window model add up to those of the window's places."""
+    model = _window_model(signals(spark, sf_dir))
+    return spark.createDataFrame([(round(float(model.variance.sum()), 3),)], "total double")
+
+
+@query("iforest_shape", """
+SELECT CAST(t AS INT) AS tree, least(256, (SELECT count(*) FROM lineitem)) AS sample, TRUE AS is_binary,
+       TRUE AS within_depth FROM (SELECT unnest(range(0, 100)) AS t)
+""")
+def iforest_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every tree is binary, has the whole sample at its root and keeps within its depth."""
+    nodes = iforest.iforest_nodes(_row_table(spark, sf_dir), ROW_FEATURES, ROW_KEYS)
+    leaf = F.col("feature") < 0
+    return nodes.groupBy("tree").agg(
+        F.max("size").cast("bigint").alias("sample"), (F.count(F.lit(1)) == 2 * F.count_if(leaf) - 1).alias("is_binary"),
+        (F.max("depth") <= 8).alias("within_depth"))
+
+
 @query("status_kpi", """
 SELECT event_id, CASE WHEN value IS NULL THEN 'READY' WHEN value > 100 THEN 'ANOMALY' ELSE 'HEALTHY' END
          AS status,

@@ -39,7 +39,7 @@ def inject_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH {SIGNALS_SQL}, grid(type, feature, magnitude) AS (VALUES {_values(WINDOW_SCENARIOS)}),
 numbered AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS r, value, k
              FROM signals),
-starts AS (SELECT user_id, r - 10 AS window_id FROM numbered WHERE r >= 10 AND (r - 10) % 5 = 0),
+starts AS (SELECT user_id, r - 10 AS window_id FROM numbered WHERE r >= 10),
 steps AS (SELECT s.user_id, s.window_id, n.r - s.window_id - 1 AS step, n.value, n.k
           FROM starts s JOIN numbered n ON s.user_id = n.user_id
                AND n.r > s.window_id AND n.r <= s.window_id + 10),
@@ -52,7 +52,7 @@ FROM steps JOIN firsts USING (user_id, window_id), grid
 """)
 def inject_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every window with every fault, one row per step."""
-    found = sliding_windows(signals(spark, sf_dir), USER, SIGNAL_ORDER, SENSORS, 10, 5)
+    found = sliding_windows(signals(spark, sf_dir), USER, SIGNAL_ORDER, SENSORS, 10)
     trials = stress.inject_windows(stress.scenario_grid(found, WINDOW_SCENARIOS), SENSORS, 10)
     return trials.select("user_id", "window_id", "type", F.posexplode("injected").alias("p", "x")).select(
         "user_id", "window_id", "type", F.col("p").cast("bigint").alias("step"), "x.value", "x.k")
@@ -120,7 +120,7 @@ def window_sensitivity(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = stored(scaled_signals(spark, sf_dir), "scaled", ["split"])
     train, test = rows.filter(F.col("split") == "train"), rows.filter(F.col("split") != "train")
     model = window_model.window_model_fit(train, USER, SIGNAL_ORDER, SENSORS, WINDOW // 2, 3)
-    errors = window_model.window_error(train, USER, SIGNAL_ORDER, model, stride=5)
+    errors = window_model.window_error(train, USER, SIGNAL_ORDER, model)
     limit = percentile_threshold(errors, "mae")
     drawn = stress.sample_windows(test, USER, SIGNAL_ORDER, SENSORS, WINDOW // 2, 100)
     trials = stress.window_sensitivity(

@@ -9,9 +9,9 @@ from millrace.operators.profile import leakage_check
 from millrace.plans.layers import gold_job, silver_job
 from millrace.plans.models import load_detector, save_detector, score_table
 from millrace.queries.cleaning import DIAMETERS_SQL
-from millrace.queries.detectors import triple_models
+from millrace.queries.detectors import FIXED_DETECTION_SQL, fixed_detector, triple_models
 from millrace.queries.profiles import rounded
-from millrace.queries.registry import ORDER_SQL, SIGNAL_ORDER, query, table
+from millrace.queries.registry import ORDER_SQL, SIGNAL_ORDER, query, signals, table
 from millrace.queries.sequences import SENSORS, USER
 from millrace.session import scratch_path
 
@@ -81,3 +81,20 @@ def model_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = score_table(rows, USER, SIGNAL_ORDER, load_detector(spark, path, SENSORS))
     return scored.groupBy("status", "pca_severity", "iso_severity").agg(
         F.count(F.lit(1)).alias("windows"), F.round(F.min("health"), 4).alias("min_health"))
+
+
+@query("model_store_fixed", f"""
+WITH {FIXED_DETECTION_SQL}
+SELECT CASE WHEN window_error > 0.1 THEN 'ANOMALY' ELSE 'HEALTHY' END AS status,
+       CASE WHEN pca_score > 0.05 THEN 'alert' ELSE 'ok' END AS pca_severity,
+       CASE WHEN iso_score > 0 THEN 'warning' ELSE 'ok' END AS iso_severity,
+       count(*) AS windows, round(min(greatest(0.0e0, 100.0e0 - window_error * 1000)), 4) AS min_health
+FROM detected GROUP BY ALL
+""")
+def model_store_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written-down detectors and their scaler, stored, read back and applied to raw rows."""
+    path = scratch_path(spark, "models")
+    save_detector(spark, path, fixed_detector())
+    scored = score_table(signals(spark, sf_dir), USER, SIGNAL_ORDER, load_detector(spark, path, SENSORS))
+    return scored.groupBy("status", "pca_severity", "iso_severity").agg(
+        F.count(F.lit(1)).alias("windows"), F.round(F.min("health"), 4).alias("min_health"))

@@ -6,16 +6,21 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.functions.signals import health, status
-from millrace.operators.detect.consensus import DETECTION_SCHEMA
+from millrace.operators.detect.consensus import DETECTION_SCHEMA, TripleDetector
 from millrace.operators.sequences import split_sequences_by_gap
 from millrace.operators.stress import inject_stream
-from millrace.queries.detectors import triple_models
+from millrace.queries.detectors import FIXED_DETECTION_SQL, fixed_detector, triple_models
 from millrace.queries.registry import SIGNAL_ORDER, SIGNALS_SQL, query, signals, table
 from millrace.queries.sequences import PADDED_SQL, SENSORS, USER
 from millrace.session import scratch_path
 from millrace.streaming import live
 
 
+# Disorder that the streams allow for; rows within it of the latest row are still held back.
+LATE, LATE_MS = "10 minutes", 600_000
+RELEASED_SQL = f"us <= (CAST(floor((SELECT max(us) FROM signals) / 1000) AS BIGINT) - {LATE_MS}) * 1000"
+
+
 def stream_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The signal table as a stream."""
     events = live.stream_layer(spark, sf_dir, table(spark, sf_dir, "events").schema, "events.parquet")
@@ -37,24 +42,27 @@ def _summarise(windows: np.ndarray) -> dict:
             "last_value": values[:, -1], "mean": values.mean(axis=1)}
 
 
-@query("stream_ring_buffer", PADDED_SQL)
+@query("stream_ring_buffer", f"""
+SELECT p.* FROM ({PADDED_SQL}) p JOIN (WITH {SIGNALS_SQL} SELECT event_id FROM signals WHERE {RELEASED_SQL}) r
+USING (event_id)""")
 def stream_ring_buffer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The padded window of 60 rows, kept as keyed state."""
     buffered = live.ring_buffer(stream_signals(spark, sf_dir), USER, SIGNAL_ORDER, ["value"], 60, _summarise,
-                                "steps bigint, first_value double, last_value double, mean double")
+                                "steps bigint, first_value double, last_value double, mean double", LATE)
     found = live.drain(buffered, scratch_path(spark, "stream"))
     return found.select("event_id", "steps", "first_value", "last_value", F.round("mean", 4).alias("mean"))
 
 
 @query("stream_history", f"""
-WITH {SIGNALS_SQL}
-SELECT event_id, CAST(100 AS BIGINT) AS n, first_value(value) OVER w AS oldest, max(k) OVER w AS top_k
+WITH {SIGNALS_SQL},
+framed AS (SELECT event_id, us, count(*) OVER w AS n, first_value(value) OVER w AS oldest, max(k) OVER w AS top_k
 FROM signals
-WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 99 PRECEDING AND CURRENT ROW)
+WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 99 PRECEDING AND CURRENT ROW))
+SELECT event_id, n, oldest, top_k FROM framed WHERE {RELEASED_SQL}
 """)
 def stream_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last 100 values of both sensors after each row."""
-    history = live.rolling_values(stream_signals(spark, sf_dir), USER, SIGNAL_ORDER, SENSORS, 100)
+    history = live.rolling_values(stream_signals(spark, sf_dir), USER, SIGNAL_ORDER, SENSORS, LATE, 100)
     found = live.drain(history, scratch_path(spark, "stream"))
     return found.select("event_id", F.size("value_history").cast("bigint").alias("n"),
                         F.element_at("value_history", 1).alias("oldest"),
@@ -87,17 +95,36 @@ def stream_inject(spark: SparkSession, sf_dir: str) -> DataFrame:
     return live.drain(faulty.select("event_id", "fault", *SENSORS), scratch_path(spark, "stream"))
 
 
+def _alerts(spark: SparkSession, sf_dir: str, detector: TripleDetector) -> DataFrame:
+    scored = live.ring_buffer(stream_signals(spark, sf_dir), USER, SIGNAL_ORDER, SENSORS, detector.size, detector,
+                              DETECTION_SCHEMA, LATE, pad=False)
+    return live.drain(scored, scratch_path(spark, "stream"))
+
+
 @query("stream_alerts")
 def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three detectors on every full window of the stream, with status and health."""
     _, detector = triple_models(spark, sf_dir)
-    found = live.score_batches(stream_signals(spark, sf_dir), scratch_path(spark, "stream"), USER,
-                               SIGNAL_ORDER, SENSORS, detector.size, detector, DETECTION_SCHEMA)
-    return found.select(
-        "user_id", F.unix_micros("end_ts").alias("end_us"), status(F.col("window_alert")).alias("status"),
+    return _alerts(spark, sf_dir, detector).select(
+        "event_id", "user_id", F.unix_micros("ts").alias("end_us"), status(F.col("window_alert")).alias("status"),
         health(F.col("window_error")).alias("health"), "window_alert", "pca_alert", "iso_alert")
 
 
+@query("stream_alerts_fixed", f"""
+WITH {FIXED_DETECTION_SQL}
+SELECT event_id, round(window_error, 5) AS window_error, window_error > 0.1 AS window_alert,
+       round(sqrt(pca_score), 6) AS pca_score, pca_score > 0.05 AS pca_alert, round(iso_score, 8) AS iso_score,
+       iso_score > 0 AS iso_alert, CASE WHEN window_error > 0.1 THEN 'ANOMALY' ELSE 'HEALTHY' END AS status
+FROM detected WHERE {RELEASED_SQL.replace("FROM signals", "FROM events_us")}
+""")
+def stream_alerts_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written-down detectors, with their scaler, on every full window of the stream."""
+    return _alerts(spark, sf_dir, fixed_detector()).select(
+        "event_id", F.round("window_error", 5).alias("window_error"), "window_alert",
+        F.round(F.sqrt("pca_score"), 6).alias("pca_score"), "pca_alert", F.round("iso_score", 8).alias("iso_score"),
+        "iso_alert", status(F.col("window_alert")).alias("status"))
+
+
 @query("session_sequences", f"""
 WITH {SIGNALS_SQL},
 steps AS (SELECT *, CAST(floor(us / 1000000.0) AS BIGINT) - lag(CAST(floor(us / 1000000.0) AS BIGINT))
@@ -123,11 +150,11 @@ numbered AS (SELECT *, sum(CASE WHEN d <= 36000000000 THEN 0 ELSE 1 END)
                        OVER (PARTITION BY user_id ORDER BY ts) AS s FROM steps)
 SELECT user_id, count(*) AS rows, CAST(min(us) AS BIGINT) AS start_us, CAST(max(us) AS BIGINT) AS end_us
 FROM numbered GROUP BY user_id, s
-HAVING max(us) + 36000000000 <= (SELECT max(us) FROM signals)
+HAVING max(us) + 36000000000 <= (SELECT max(us) FROM signals) - {LATE_MS}000
 """)
 def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sessions of the stream that the watermark has closed."""
-    found = live.sessions(stream_signals(spark, sf_dir), USER, "ts", "10 hours")
+    found = live.sessions(stream_signals(spark, sf_dir), USER, "ts", LATE, "10 hours")
     closed = live.drain(found, scratch_path(spark, "stream"))
     return closed.select("user_id", "rows", F.unix_micros("start_ts").alias("start_us"),
                          F.unix_micros("end_ts").alias("end_us"))

@@ -96,5 +96,21 @@ _LOCAL_FOLDERS: dict[str, str] = {}
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh path below the shared folder, removed when the application ends."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    """The application's folder below the shared one; its file system removes it at the end."""
+    app = spark.sparkContext.applicationId
+    if app not in _SCRATCH_ROOTS:
+        root = f"{shared_folder(spark)}/millrace-{app}-{uuid.uuid4().hex[:8]}"
+        path = spark._jvm.org.apache.hadoop.fs.Path(root)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _SCRATCH_ROOTS[app] = root
+    return _SCRATCH_ROOTS[app]
+
+
+_SCRATCH_ROOTS: dict[str, str] = {}

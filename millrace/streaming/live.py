@@ -1,13 +1,15 @@
-"""Live scoring with Structured Streaming.
-
-Two ways to keep the last rows of a series between micro-batches:
-
-* ``ring_buffer`` is a keyed state operator: one small buffer per key, in RocksDB.
-  A key's rows of one micro-batch meet in one task, so the source limits the bytes
-  per micro-batch.
-* ``score_batches`` runs the batch window operators on every micro-batch and keeps
-  the last rows of each series in a Parquet table. Hot series are split over tasks
-  as in batch, which is what counts when scoring is the expensive part.
+"""Live scoring with Structured Streaming, by event time.
+
+Rows of a key may arrive in any order within ``late``; results do not depend on how they are
+dealt out to micro-batches. A keyed state operator holds back what the watermark has not passed
+yet, and releases rows in event-time order as blocks: some consecutive rows of the key and the
+rows before them that their windows reach back to. Scoring is a stage of its own, over blocks
+dealt out anew, so a key with most of the rows is scored by all tasks. State (RocksDB) holds
+``size - 1`` released rows of a key and its rows within ``late``; it can expire.
+
+Rows that the watermark has not passed when a stream stops stay in its state and are released
+when the stream goes on. Rows older than the watermark, and rows without a time, are left out;
+``late`` has no default, so nothing is dropped by accident.
 """
 
 from __future__ import annotations
@@ -16,16 +18,18 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
-from millrace.operators.ordered import ROWS_PER_TASK
-from millrace.operators.windows import WINDOWS_PER_CALL, map_windows
+from millrace.operators.windows import WINDOWS_PER_CALL
 
-# Bound on what one micro-batch, and so one key of it, can hold.
+# Bound on the files of one micro-batch. It does not influence results.
 BYTES_PER_TRIGGER = 1 << 30
+# Rows of a key that one block releases.
+BLOCK_ROWS = 8_192
 
 
 def stream_layer(spark: SparkSession, path: str, schema: StructType | str, glob: str = "*.parquet",
@@ -51,92 +55,139 @@ def run(stream: DataFrame, path: str, every: str = "500 milliseconds") -> Stream
     return _sink(stream, path).trigger(processingTime=every).start()
 
 
-def ring_buffer(stream: DataFrame, by: Sequence[str], order_by: Sequence[str],
-                columns: Sequence[str], size: int, score: Callable[[np.ndarray], dict],
-                result: str) -> DataFrame:
-    """Score, for every arriving row, the window of the last ``size`` rows of its key.
+def _dump(frame: pd.DataFrame) -> bytes:
+    table = pa.Table.from_pandas(frame, preserve_index=False)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as writer:
+        writer.write_table(table)
+    return sink.getvalue().to_pybytes()
 
-    A window that is not full yet is padded on the left with the oldest row. Rows
-    of one micro-batch are put in ``order_by`` order; rows of a later micro-batch
-    come after them, as they arrive. ``score`` maps [n, size, features] to columns.
-    """
-    width, names = len(columns), StructType.fromDDL(result).names
+
+def _load(data: bytes) -> pd.DataFrame:
+    return pa.ipc.open_stream(data).read_pandas()
+
+
+def _micros(times: pd.Series) -> np.ndarray:
+    return times.to_numpy().astype("datetime64[us]").astype(np.int64)
+
+
+def _blocks(stream: DataFrame, by: Sequence[str], order_by: Sequence[str], columns: Sequence[str],
+            size: int, late: str, expire_ms: int | None) -> DataFrame:
+    """``by``, ``lead``, ``rows``: released rows in event-time order, after ``lead`` earlier ones."""
+    kept = list(dict.fromkeys([*order_by, *columns]))
+    time = order_by[0]
     types = {f.name: f.dataType.simpleString() for f in stream.schema}
-    kept = [*by, *order_by]
-    schema = ", ".join([*[f"`{c}` {types[c]}" for c in kept], result])
+    if types[time] != "timestamp":
+        raise ValueError(f"{time} must be a timestamp")
 
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(frames)).sort_values(list(order_by), kind="stable")
-        buffer = np.array(state.get[0], dtype=float).reshape(-1, width) if state.exists \
-            else np.empty((0, width))
-        values = np.vstack([buffer, rows[list(columns)].to_numpy(dtype=float)])
-        state.update((values[-size + 1:].ravel().tolist() if size > 1 else [],))
-        lead = max(0, size - 1 - len(buffer))
-        padded = np.vstack([np.repeat(values[:1], lead, axis=0), values]) if lead else values
-        views = np.lib.stride_tricks.sliding_window_view(padded, size, axis=0)[-len(rows):]
-        for at in range(0, len(rows), WINDOWS_PER_CALL):
-            out = rows[kept].iloc[at:at + WINDOWS_PER_CALL].reset_index(drop=True)
+        watermark = state.getCurrentWatermarkMs()
+        before, held = (_load(x) for x in state.get) if state.exists else (None, None)
+        new = [f[kept] for f in frames if len(f)]
+        rows = pd.concat([x for x in (held, *new) if x is not None and len(x)] or [pd.DataFrame(columns=kept)])
+        times = _micros(rows[time]) if len(rows) else np.empty(0, np.int64)
+        passed = times <= watermark * 1000
+        ready = rows[passed].sort_values(list(order_by), kind="stable")
+        held, waiting = rows[~passed], times[~passed]
+        for at in range(0, len(ready), BLOCK_ROWS):
+            part = ready.iloc[at:at + BLOCK_ROWS]
+            lead = 0 if before is None else len(before)
+            block = part if not lead else pd.concat([before, part])
+            before = block.iloc[max(0, len(block) - size + 1):]
+            yield pd.DataFrame([[*key, lead, _dump(block)]], columns=[*by, "lead", "rows"])
+        if before is None:
+            before = rows.iloc[:0]
+        latest = int(_micros(before[time]).max()) // 1000 if len(before) else watermark
+        if len(waiting):
+            state.update((_dump(before), _dump(held)))
+            # Called again once the watermark has passed the earliest row that waits.
+            state.setTimeoutTimestamp(max(watermark, -(-int(waiting.min()) // 1000) - 1))
+        elif expire_ms is not None and watermark > latest + expire_ms:
+            if state.exists:
+                state.remove()
+        else:
+            state.update((_dump(before), _dump(rows.iloc[:0])))
+            if expire_ms is not None:
+                state.setTimeoutTimestamp(max(watermark, latest + expire_ms))
+
+    out = ", ".join([*[f"`{c}` {types[c]}" for c in by], "lead int", "rows binary"])
+    return (stream.select(*dict.fromkeys([*by, *kept])).where(F.col(time).isNotNull())
+            .withWatermark(time, late).groupBy(*by)
+            .applyInPandasWithState(step, out, "before binary, held binary", "append",
+                                    GroupStateTimeout.EventTimeTimeout))
+
+
+def _scored(blocks: DataFrame, stream: DataFrame, by: Sequence[str], order_by: Sequence[str],
+            result: str, each: Callable[[pd.DataFrame, int], Iterator[pd.DataFrame]]) -> DataFrame:
+    """``each(rows, lead)`` on every block, wherever its key's other blocks are scored."""
+    types = {f.name: f.dataType.simpleString() for f in stream.schema}
+    keys, order = list(by), list(order_by)
+
+    def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for record in frame.to_dict("records"):
+                for out in each(_load(record["rows"]), record["lead"]):
+                    yield out.assign(**{c: record[c] for c in keys})[[*keys, *out.columns]]
+
+    schema = ", ".join([*[f"`{c}` {types[c]}" for c in dict.fromkeys([*keys, *order])], result])
+    width = int(stream.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = blocks.withColumn("deal", F.xxhash64("rows")).repartition(width, "deal")
+    return dealt.mapInPandas(score, schema)
+
+
+def ring_buffer(stream: DataFrame, by: Sequence[str], order_by: Sequence[str],
+                columns: Sequence[str], size: int, score: Callable[[np.ndarray], dict],
+                result: str, late: str, pad: bool = True, expire_ms: int | None = None) -> DataFrame:
+    """Score, for every row, the window of the last ``size`` rows of its key.
+
+    ``order_by`` begins with the event time (a timestamp) and should identify a row of the
+    key. A window that is not full yet is padded on the left with the oldest row, or with
+    ``pad=False`` left out. ``score`` maps [n, size, features] to columns. A key without
+    new rows for ``expire_ms`` starts anew.
+    """
+    names, order, columns = StructType.fromDDL(result).names, list(order_by), list(columns)
+
+    def each(rows: pd.DataFrame, lead: int) -> Iterator[pd.DataFrame]:
+        values = rows[columns].to_numpy(dtype=float)
+        own = rows[order].iloc[lead:].reset_index(drop=True)
+        missing = max(0, size - 1 - lead)
+        if pad:
+            values = np.vstack([np.repeat(values[:1], missing, axis=0), values])
+        else:
+            own = own.iloc[missing:].reset_index(drop=True)
+        if not len(own):
+            return
+        views = np.lib.stride_tricks.sliding_window_view(values, size, axis=0)[-len(own):]
+        for at in range(0, len(own), WINDOWS_PER_CALL):
+            out = own.iloc[at:at + WINDOWS_PER_CALL].reset_index(drop=True)
             scored = score(views[at:at + WINDOWS_PER_CALL].transpose(0, 2, 1))
-            for name in names:
-                out[name] = scored[name]
-            yield out
+            yield out.assign(**{name: scored[name] for name in names})
 
-    return (stream.select(*dict.fromkeys([*kept, *columns])).groupBy(*by)
-            .applyInPandasWithState(step, schema, "buffer array<double>", "append",
-                                    GroupStateTimeout.NoTimeout))
+    return _scored(_blocks(stream, by, order_by, columns, size, late, expire_ms), stream, by, order_by, result, each)
 
 
 def rolling_values(stream: DataFrame, by: Sequence[str], order_by: Sequence[str],
-                   columns: Sequence[str], n: int = 100) -> DataFrame:
-    """The last ``n`` values of every column after each row, padded with the oldest."""
-    def lists(windows: np.ndarray) -> dict:
-        return {f"{c}_history": list(windows[:, :, i]) for i, c in enumerate(columns)}
+                   columns: Sequence[str], late: str, n: int = 100, expire_ms: int | None = None) -> DataFrame:
+    """The last ``n`` values of every column up to each row; fewer for a key's first rows."""
+    order = list(order_by)
+
+    def each(rows: pd.DataFrame, lead: int) -> Iterator[pd.DataFrame]:
+        for at in range(lead, len(rows), WINDOWS_PER_CALL):
+            stop = min(len(rows), at + WINDOWS_PER_CALL)
+            out = rows[order].iloc[at:stop].reset_index(drop=True)
+            yield out.assign(**{f"{c}_history": [rows[c].to_numpy(dtype=float)[max(0, i - n + 1):i + 1]
+                                                 for i in range(at, stop)] for c in columns})
 
     result = ", ".join(f"{c}_history array<double>" for c in columns)
-    return ring_buffer(stream, by, order_by, columns, n, lists, result)
+    return _scored(_blocks(stream, by, order_by, columns, n, late, expire_ms), stream, by, order_by, result, each)
 
 
-def score_batches(stream: DataFrame, path: str, by: Sequence[str], order_by: Sequence[str],
-                  columns: Sequence[str], size: int, score: Callable[[np.ndarray], dict],
-                  result: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Score every full window that ends in a new row, micro-batch by micro-batch.
+def sessions(stream: DataFrame, by: Sequence[str], ts: str, late: str, gap: str = "10 minutes") -> DataFrame:
+    """Sequences without a pause longer than ``gap``, emitted once the watermark has passed them.
 
-    ``path`` receives the results and, per micro-batch, a table with the last
-    ``size - 1`` rows of every series. Both are overwritten when a micro-batch is
-    run again, so a restart neither loses nor repeats a window.
+    Rows more than ``late`` behind the latest row seen are left out, so ``late`` is the
+    disorder that the source is known to have.
     """
-    rows = stream.select(*dict.fromkeys([*by, *order_by, *columns]))
-    names = rows.columns
-
-    def score_batch(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        new = batch.withColumn("__new", F.lit(1.0))
-        if number > 0:
-            before = spark.read.schema(batch.schema).parquet(f"{path}/tail/batch={number - 1}")
-            new = before.withColumn("__new", F.lit(0.0)).unionByName(new)
-
-        def marked(windows: np.ndarray) -> dict:
-            return {**score(windows[:, :, :-1]), "is_new": windows[:, -1, -1] > 0}
-
-        scored = map_windows(new, by, order_by, [*columns, "__new"], size, marked,
-                             f"{result}, is_new boolean", rows_per_task=rows_per_task)
-        (scored.filter("is_new").drop("is_new", "window_id")
-         .write.mode("overwrite").parquet(f"{path}/data/batch={number}"))
-        latest = Window.partitionBy(*by).orderBy(*[F.col(c).desc() for c in order_by])
-        (new.select(*names, F.row_number().over(latest).alias("__r"))
-         .filter(F.col("__r") < size).drop("__r")
-         .write.mode("overwrite").parquet(f"{path}/tail/batch={number}"))
-
-    (rows.writeStream.foreachBatch(score_batch).option("checkpointLocation", f"{path}/checkpoint")
-     .trigger(availableNow=True).start().awaitTermination())
-    return stream.sparkSession.read.parquet(f"{path}/data").drop("batch")
-
-
-def sessions(stream: DataFrame, by: Sequence[str], ts: str, gap: str = "10 minutes",
-             late: str = "0 seconds") -> DataFrame:
-    """Sequences without a pause longer than ``gap``, emitted once the watermark has passed them."""
     return (stream.withWatermark(ts, late).groupBy(*by, F.session_window(ts, gap).alias("session"))
             .agg(F.count(F.lit(1)).alias("rows"), F.min(ts).alias("start_ts"), F.max(ts).alias("end_ts"))
             .drop("session"))
-
-

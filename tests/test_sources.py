@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from millrace.plans.layers import gold_job, silver_job
 from millrace.session import scratch_path, shared_folder
 from millrace.sources import archives, layers
-from millrace.sources.delimited import read_csv, read_process_csv
+from millrace.sources.delimited import read_csv, read_process_csv, role
 from millrace.sources.params import load_params, save_params
 
 
@@ -26,8 +26,9 @@ def test_columns_are_matched_by_name(spark, tmp_path):
     write(tmp_path, "c.csv", "x;y\n1;2\n")
     write(tmp_path, "d.csv", "\n1;2\n")
     write(tmp_path, "e.csv", "time;x;X\nt;1;2\n")
-    rows, rejected = read_process_csv(spark, str(tmp_path), require=("time", "date"))
-    got = [(r.time, r.x, r.y, r.source_file) for r in rows.orderBy("time").collect()]
+    rows, rejected = read_process_csv(spark, str(tmp_path), needed=("time",))
+    got = [(r[role("time")], r.x, r.y, r.source_file) for r in rows.orderBy(role("time")).collect()]
+    assert "time" not in rows.columns
     assert got == [("t1", "1", "2", "a.csv"), ("t2", "10", "20", "b.csv")]
     assert sorted((os.path.basename(r.path), r.reason[:9]) for r in rejected.collect()) == [
         ("c.csv", "no column"), ("d.csv", "no header"), ("e.csv", "repeated ")]
@@ -35,10 +36,44 @@ def test_columns_are_matched_by_name(spark, tmp_path):
 
 def test_no_files(spark, tmp_path):
     write(tmp_path, "c.csv", "x;y\n1;2\n")
-    rows, rejected = read_process_csv(spark, str(tmp_path), require=("time",))
+    rows, rejected = read_process_csv(spark, str(tmp_path))
     assert rows is None and rejected.count() == 1
 
 
+def test_odd_files(spark, tmp_path):
+    write(tmp_path, "empty.csv", "")
+    write(tmp_path, "with space.csv", "\ufeffDate;Speed\r\nt;1\r\n")
+    write(tmp_path, "bad rows.csv", "date;speed\nu;2\nonly one\nv;3;4\nw;5\n")
+    rows, rejected = read_process_csv(spark, str(tmp_path))
+    assert sorted((r[role("time")], r[role("speed")], r[role("code")]) for r in rows.collect()) == [
+        ("t", "1", None), ("u", "2", None), ("w", "5", None)]
+    assert sorted((os.path.basename(r.path), r.reason, r.line) for r in rejected.collect()) == [
+        ("bad%20rows.csv", "malformed row", "only one"), ("bad%20rows.csv", "malformed row", "v;3;4")]
+    assert rows.count() == 3 and rejected.count() == 2
+
+
+def test_every_layout_keeps_its_rows(spark, tmp_path):
+    """Roles are found file by file, and equal names in two folders are two fragments."""
+    layouts = [("a/f.csv", "timestamp;tbl_speed;code"), ("b/f.csv", "Date;speed;product"),
+               ("c.csv", "code;Speed;log time"), ("d.csv", "product;tbl_speed;date")]
+    for name, header in layouts:
+        values = {"t": "2024-01-01 00:{:02d}:{:02d}", "s": "4", "p": "5.0"}
+        kinds = ["t" if "time" in c.lower() or "date" in c.lower() else "s" if "speed" in c.lower() else "p"
+                 for c in header.split(";")]
+        lines = [";".join(values[k].format(i // 60, i % 60) for k in kinds) for i in range(300)]
+        write(f"{tmp_path}/raw/{os.path.dirname(name)}", os.path.basename(name), header + "\n" + "\n".join(lines) + "\n")
+    write(f"{tmp_path}/raw", "e.csv", "time;x\n1;2\n")
+    for folder in "xy":  # too short, each on its own
+        write(f"{tmp_path}/raw/{folder}", "short.csv", "time;speed\n" + "\n".join(
+            f"2024-01-01 00:{i // 60:02d}:{i % 60:02d};1" for i in range(150)) + "\n")
+    dim = spark.createDataFrame([("5", 7.0)], "product_code string, diameter double")
+    rejected = silver_job(spark, f"{tmp_path}/raw", f"{tmp_path}/silver", dim)
+    assert [os.path.basename(r.path) for r in rejected.collect()] == ["e.csv"]
+    clean = spark.read.parquet(f"{tmp_path}/silver")
+    assert [r["count"] for r in clean.groupBy("source_path").count().collect()] == [210] * 4
+    assert [tuple(r) for r in clean.select("diameter").distinct().collect()] == [(7.0,)]
+
+
 def test_smoke_csv_to_parquet(spark, tmp_path):
     write(tmp_path, "s.csv", "a,b\n1,x\n2,y\n3,z\n")
     df = read_csv(spark, f"{tmp_path}/s.csv")
@@ -61,6 +96,29 @@ def test_archives(spark, tmp_path):
     assert [os.path.basename(r.archive) for r in got if r.member is None] == ["bad.zip"]
 
 
+def test_archives_to_bronze(spark, tmp_path):
+    os.makedirs(f"{tmp_path}/in/deep")
+    with zipfile.ZipFile(f"{tmp_path}/in/deep/x.ZiP", "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("Process/", "")
+        z.writestr("Process/a/1.csv", "time;speed\n2024-01-01 00:00:00;1\n")
+        z.writestr("Laboratory.csv", b"\xff;b\n")
+        z.writestr("Process/2.csv", "x" * 100_000)
+    raw = bytearray((tmp_path / "in/deep/x.ZiP").read_bytes())
+    raw[raw.rindex(b"Process/2.csv", 0, raw.index(b"PK\x01\x02")) + 20] ^= 0xFF   # a broken member
+    (tmp_path / "in/deep/x.ZiP").write_bytes(raw)
+    (tmp_path / "in/bad.zip").write_bytes(b"no archive")
+    report = archives.archives_to_bronze(spark, f"{tmp_path}/in", f"{tmp_path}/bronze").collect()
+    assert {(os.path.basename(r.archive), r.member, r.error is None) for r in report} == {
+        ("x.ZiP", "Process/a/1.csv", True), ("x.ZiP", "Laboratory.csv", True), ("x.ZiP", "Process/2.csv", False),
+        ("bad.zip", None, False)}
+    assert (tmp_path / "bronze/Laboratory.csv").read_bytes() == b"\xff;b\n"
+    rows, rejected = read_process_csv(spark, f"{tmp_path}/bronze")
+    assert [(r[role("speed")], r.source_file) for r in rows.collect()] == [("1", "1.csv")]
+    assert [os.path.basename(r.path) for r in rejected.collect()] == ["Laboratory.csv"]
+    lines = archives.expand_archives(archives.read_archives(spark, f"{tmp_path}/in")).collect()
+    assert ("Laboratory.csv", None) in {(r.member, r.line) for r in lines}
+
+
 def test_dimension_and_listing(spark, tmp_path):
     write(tmp_path, "map.json", '{\n "1": 6.07,\n "2": 6\n}')
     got = {r.key: r.value for r in layers.read_dimension_file(spark, f"{tmp_path}/map.json").collect()}
@@ -106,10 +164,10 @@ def session_stub(conf, master):
 def test_shared_folder_comes_from_the_session(spark):
     named = session_stub({"spark.checkpoint.dir": "s3a://bucket/tmp/"}, "spark://cluster:7077")
     assert shared_folder(named) == "s3a://bucket/tmp"
-    assert scratch_path(named, "x").startswith("s3a://bucket/tmp/x-")
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_folder(session_stub({}, "yarn"))
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+    assert scratch_path(spark, "x").startswith(shared_folder(spark) + "/millrace-")
 
 
 def bronze(path, name, n, code, start=0):

@@ -1,27 +1,47 @@
+import datetime as dt
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.operators.detect.consensus import DETECTION_SCHEMA, detect
 from millrace.operators.windows import map_windows, padded_windows
+from millrace.queries.detectors import fixed_detector
 from millrace.session import scratch_path
 from millrace.streaming import live
 
-SCHEMA = "k string, t int, x double"
+SCHEMA = "k string, ts timestamp, t int, x double"
+START = dt.datetime(2024, 1, 1)
+N, LATE = 240, 40
+
+
+def rows_of(seed=0):
+    rng = np.random.default_rng(seed)
+    return [("hot" if rng.random() < 0.6 else str(rng.integers(3)), START + dt.timedelta(seconds=i // 2), i, float(rng.random()))
+            for i in range(N)]
 
 
-@pytest.fixture(scope="module")
-def files(spark):
-    """Four files in time order, one key with most of the rows."""
+def written(spark, files):
+    """One file after the other, in the order of their reading."""
     path = scratch_path(spark, "in")
-    rng = np.random.default_rng(0)
-    t = 0
-    for n in range(4):
-        rows = [("hot" if rng.random() < 0.6 else str(rng.integers(3)), t + i, float(rng.random())) for i in range(60)]
-        t += 60
+    for rows in files:
         spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(path)
     return path
 
 
+@pytest.fixture(scope="module", params=["one file", "four files", "five shuffled files"])
+def files(spark, request):
+    rows = rows_of()
+    if request.param == "one file":
+        return written(spark, [rows])
+    if request.param == "four files":
+        return written(spark, [rows[60 * i:60 * i + 60] for i in range(4)])
+    # Rows up to LATE seconds out of order, over files that overlap in time.
+    order = np.argsort(np.arange(N) + np.random.default_rng(3).uniform(0, LATE, N), kind="stable")
+    mixed = [rows[i] for i in order]
+    return written(spark, [mixed[48 * i:48 * i + 48] for i in range(5)])
+
+
 def source(spark, files):
     return (spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).option("latestFirst", "false")
             .parquet(files))
@@ -35,31 +55,75 @@ def by_value():
 
 
 mean = by_value()
+LATE_TEXT = f"{LATE} seconds"
+
+
+def released(df, column="ts"):
+    """Rows that the last watermark has passed."""
+    return df.where(F.col(column) <= F.lit(START + dt.timedelta(seconds=(N - 1) // 2 - LATE)))
 
 
 def test_ring_buffer_equals_padded_windows(spark, files):
-    live_rows = live.drain(live.ring_buffer(source(spark, files), ["k"], ["t"], ["x"], 7, mean,
-                                            "m double, first double"), scratch_path(spark, "s"))
+    live_rows = live.drain(live.ring_buffer(source(spark, files), ["k"], ["ts", "t"], ["x"], 7, mean,
+                                            "m double, first double", LATE_TEXT), scratch_path(spark, "s"))
     got = {(r.k, r.t): (r.m, r.first) for r in live_rows.collect()}
-    batch = padded_windows(spark.read.parquet(files), ["k"], ["t"], ["x"], 7).collect()
-    assert len(got) == len(batch) == 240
+    batch = released(padded_windows(spark.read.parquet(files), ["k"], ["ts", "t"], ["x"], 7)).collect()
+    assert len(got) == len(batch) == 2 * ((N - 1) // 2 - LATE + 1)
     for r in batch:
         values = [s.x for s in r.steps]
         np.testing.assert_allclose(got[r.k, r.t], (np.mean(values), values[0]))
 
 
-def test_rolling_values(spark, files):
-    got = live.drain(live.rolling_values(source(spark, files), ["k"], ["t"], ["x"], 5), scratch_path(spark, "s"))
-    assert got.count() == 240 and got.filter(F.size("x_history") != 5).count() == 0
+def test_full_windows_equal_batch(spark, files):
+    got = live.drain(live.ring_buffer(source(spark, files), ["k"], ["ts", "t"], ["x"], 7, mean,
+                                      "m double, first double", LATE_TEXT, pad=False), scratch_path(spark, "s"))
+    live_rows = sorted((r.k, r.ts, round(r.m, 12), r.first) for r in got.collect())
+    batch = map_windows(spark.read.parquet(files), ["k"], ["ts", "t"], ["x"], 7, mean, "m double, first double")
+    assert live_rows == sorted((r.k, r.end_ts, round(r.m, 12), r.first) for r in released(batch, "end_ts").collect())
 
 
-@pytest.mark.parametrize("limit", [10**6, 20])
-def test_scored_micro_batches_equal_batch(spark, files, limit):
-    got = live.score_batches(source(spark, files), scratch_path(spark, "s"), ["k"], ["t"], ["x"], 7, mean,
-                             "m double, first double", limit)
-    live_rows = sorted((r.k, r.end_ts, round(r.m, 12), r.first) for r in got.collect())
-    batch = map_windows(spark.read.parquet(files), ["k"], ["t"], ["x"], 7, mean, "m double, first double")
-    assert live_rows == sorted((r.k, r.end_ts, round(r.m, 12), r.first) for r in batch.collect())
+def test_rolling_values(spark, files):
+    got = live.drain(live.rolling_values(source(spark, files), ["k"], ["ts", "t"], ["x"], LATE_TEXT, 5),
+                     scratch_path(spark, "s"))
+    found = {(r.k, r.t): r.x_history for r in got.collect()}
+    past, expected = {}, {}
+    for k, ts, t, x in rows_of():
+        past.setdefault(k, []).append(x)
+        if ts <= START + dt.timedelta(seconds=(N - 1) // 2 - LATE):
+            expected[k, t] = past[k][-5:]
+    assert found == expected
+
+
+def test_detector_on_raw_rows_equals_batch(spark):
+    rows = [(k, ts, t, 300 * x) for k, ts, t, x in rows_of(1)]
+    path = written(spark, [rows[:150], rows[150:]])
+    both = lambda df: df.select("k", "ts", "t", F.col("x").alias("value"), (F.col("t") % 60).cast("double").alias("k2"))
+    detector = fixed_detector()
+    columns = ["value", "k2"]
+    stream = live.ring_buffer(both(source(spark, path)), ["k"], ["ts", "t"], columns, detector.size, detector,
+                              DETECTION_SCHEMA, LATE_TEXT, pad=False)
+    got = live.drain(stream, scratch_path(spark, "s"))
+    pick = ["window_error", "window_alert", "pca_score", "pca_alert", "iso_score", "iso_alert"]
+    live_rows = sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in got.select("k", "ts", *pick).collect())
+    raw = both(spark.read.parquet(path)).withColumnsRenamed({"k": "series", "k2": "k"})
+    batch = released(detect(raw, ["series"], ["ts", "t"], detector), "end_ts").select("series", "end_ts", *pick)
+    assert live_rows == sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in batch.collect())
+    assert 0 < sum(r[3] for r in live_rows) < len(live_rows)
+
+
+def test_idle_keys_expire(spark):
+    sec = lambda s: START + dt.timedelta(seconds=s)
+    files = [[("a", sec(0), 0, 1.0), ("a", sec(1), 1, 2.0)], [("b", sec(5000), 2, 0.0)], [("b", sec(5001), 3, 0.0)],
+             [("a", sec(6000), 4, 3.0)], [("b", sec(9000), 5, 0.0)]]
+    path = written(spark, files)
+    got = live.drain(live.rolling_values(source(spark, path), ["k"], ["ts", "t"], ["x"], "0 seconds", 5, expire_ms=60_000),
+                     scratch_path(spark, "s"))
+    assert {r.t: r.x_history for r in got.collect() if r.k == "a"} == {0: [1.0], 1: [1.0, 2.0], 4: [3.0]}
+
+
+def test_event_time_must_be_a_timestamp(spark, files):
+    with pytest.raises(ValueError, match="timestamp"):
+        live.rolling_values(source(spark, files), ["k"], ["t"], ["x"], LATE_TEXT)
 
 
 def test_sessions_close_behind_the_watermark(spark):
@@ -68,15 +132,27 @@ def test_sessions_close_behind_the_watermark(spark):
     rows = spark.createDataFrame(times, "k string, s long").select("k", F.timestamp_seconds("s").alias("ts"))
     rows.write.parquet(path)
     stream = spark.readStream.schema(rows.schema).parquet(path)
-    got = live.drain(live.sessions(stream, ["k"], "ts", "10 minutes"), scratch_path(spark, "s"))
+    got = live.drain(live.sessions(stream, ["k"], "ts", "0 seconds", "10 minutes"), scratch_path(spark, "s"))
     # 600 s apart is still one session; the last session of "b" is open.
     assert sorted((r.k, r.rows) for r in got.collect()) == [("a", 1), ("a", 3)]
 
 
+def test_sessions_do_not_depend_on_the_order_of_files(spark):
+    times = [("a", s) for s in (100, 200, 5000, 5100, 9000, 20000)]
+    for order in ([0, 1, 2, 3, 4, 5], [2, 3, 4, 0, 1, 5]):
+        path = scratch_path(spark, "in")
+        for i in order:
+            (spark.createDataFrame([times[i]], "k string, s long").select("k", F.timestamp_seconds("s").alias("ts"))
+             .coalesce(1).write.mode("append").parquet(path))
+        stream = spark.readStream.schema("k string, ts timestamp").option("maxFilesPerTrigger", 1).parquet(path)
+        got = live.drain(live.sessions(stream, ["k"], "ts", "10000 seconds", "10 minutes"), scratch_path(spark, "s"))
+        assert sorted((r.k, r.rows) for r in got.collect()) == [("a", 1), ("a", 2), ("a", 2)]
+
+
 def test_a_running_query_goes_on_where_it_stopped(spark, files):
     path = scratch_path(spark, "s")
     stream = source(spark, files).select("k", "t")
     query = live.run(stream, path, "100 milliseconds")
     query.processAllAvailable()
     query.stop()
-    assert live.drain(stream, path).count() == 240
+    assert live.drain(stream, path).count() == N
