@@ -26,7 +26,7 @@ PUNCTUATION = bytes.maketrans(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~", b" " * 32)
 
 
 #: Lengths in bytes of the beginnings of words that are features.
-BEGINNINGS = (3, 4, 5, 6)
+BEGINNINGS = (3, 4, 5, 6, 7, 8)
 
 
 @dataclass(frozen=True)
@@ -124,7 +124,7 @@ def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
 
 
 def fit_chain(docs: DataFrame, labels: DataFrame, categories: Mapping[str, Column], sample_rows: int = 8000,
-              features: int = 20_000, folds: int = 4, least_texts: int = 3, errors: float = 5.0) -> Chain:
+              features: int = 20_000, folds: int = 4, least_texts: int = 3, errors: float = 4.0) -> Chain:
     """A chain for ``categories`` (name to a 0/1 column of ``labels``, in chain order).
 
     The sample holds about ``sample_rows`` labelled texts, chosen by a digest of their id. A
