@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,6 +23,19 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Parts of the batches of a task, none empty: bounds what its Python objects take.
+
+    In the end, memory that Arrow holds in reserve goes back, as workers live on.
+    """
+    try:
+        for batch in batches:
+            for at in range(0, batch.num_rows, rows):
+                yield batch.slice(at, rows)
+    finally:
+        pa.default_memory_pool().release_unused()
+
+
 def mix(values: np.ndarray) -> np.ndarray:
     """Spread every input bit over all 64 output bits."""
     values = (values ^ (values >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
@@ -30,7 +46,7 @@ def mix(values: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """Word (bytes) to the 8 bytes of its hash. Holds at most ``limit`` words."""
 
-    def __init__(self, limit: int = 300_000):
+    def __init__(self, limit: int = 100_000):
         super().__init__()
         self.limit = limit
 

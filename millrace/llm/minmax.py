@@ -31,7 +31,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.llm.common import WordHashes, ascii_words, mix, shingle_set, written
+from millrace.llm.common import WordHashes, ascii_words, mix, shingle_set, slices, written
 from millrace.llm.components import connected_components
 
 BAND_ROWS = 5
@@ -174,9 +174,7 @@ def _signed(docs: DataFrame, bands: int, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signer, hashes, pack = Signer(bands), WordHashes(), zstandard.ZstdCompressor(level=3)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in slices(batches):
             texts = batch.column(1).cast(pa.binary()).to_pylist()
             sets, payload, seen = [], [], set()
             for text in texts:
@@ -228,7 +226,7 @@ def _compare(pairs: DataFrame, payload: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = _Sets(width)
-        for batch in batches:
+        for batch in slices(batches):
             a, b, left, right = (c.to_pylist() for c in batch.columns)
             shared, either = [], []
             for i in range(len(a)):
@@ -294,7 +292,7 @@ def _outside(pairs: DataFrame, payload: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = _Sets(width)
-        for batch in batches:
+        for batch in slices(batches):
             a, b, left, right, beyond = (c.to_pylist() for c in batch.columns)
             rows, shingles = [], []
             for i in range(len(a)):

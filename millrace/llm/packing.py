@@ -24,7 +24,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, Window, functions as F
 
-from millrace.llm.common import shuffle_width, written
+from millrace.llm.common import shuffle_width, slices, written
 
 TASK_ROWS = 256
 
@@ -132,7 +132,7 @@ class _Encoder:
     other ways than lower case) are given to it alone.
     """
 
-    def __init__(self, definition: str, words: int = 300_000, pieces: int = 200_000):
+    def __init__(self, definition: str, words: int = 120_000, pieces: int = 120_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(definition)
@@ -202,24 +202,22 @@ def token_pieces(docs: DataFrame, tokenizer_file: str, capacity: int = 2048, end
         if key not in _ENCODERS:
             _ENCODERS[key] = _Encoder(definition.value)
         encode = _ENCODERS[key]
-        for batch in batches:
-            for at in range(0, batch.num_rows, TASK_ROWS):
-                part = batch.slice(at, TASK_ROWS)
-                texts = [t or b"" for t in part.column(1).cast(pa.binary()).to_pylist()]
-                row, piece, start, length, crc = [], [], [], [], []
-                for i, ids in enumerate(encode(texts)):
-                    ids += closing
-                    for p, first in enumerate(range(0, len(ids), 4 * capacity)):
-                        own = ids[first:first + 4 * capacity]
-                        row.append(i)
-                        piece.append(p)
-                        start.append(first // 4)
-                        length.append(len(own) // 4)
-                        crc.append(zlib.crc32(own))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(row)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
-                     pa.array(length, pa.int64()), pa.array(crc, pa.int64())],
-                    names=["doc_id", "piece", "start", "length", "ids_crc32"])
+        for part in slices(batches, TASK_ROWS):
+            texts = [t or b"" for t in part.column(1).cast(pa.binary()).to_pylist()]
+            row, piece, start, length, crc = [], [], [], [], []
+            for i, ids in enumerate(encode(texts)):
+                ids += closing
+                for p, first in enumerate(range(0, len(ids), 4 * capacity)):
+                    own = ids[first:first + 4 * capacity]
+                    row.append(i)
+                    piece.append(p)
+                    start.append(first // 4)
+                    length.append(len(own) // 4)
+                    crc.append(zlib.crc32(own))
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0).take(pa.array(row)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
+                 pa.array(length, pa.int64()), pa.array(crc, pa.int64())],
+                names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema)
 

@@ -23,7 +23,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from millrace.llm.common import shuffle_width
+from millrace.llm.common import shuffle_width, slices
 
 # Markup, longest reading first; a tag that the text ends in is dropped.
 TOKEN = re.compile(
@@ -234,7 +234,7 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     visits = spark.sparkContext.broadcast(guests)
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             ids, urls, pages_, hosts, paths, own = (c.to_pylist() for c in batch.columns)
             out = []
             for i, page in enumerate(pages_):
@@ -258,7 +258,7 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     beside = beside.where("not guest").select("page_id", "url", "path", "lines", "kinds", "before", "after")
 
     def difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             ids, urls, paths, lines, kinds, before, after = batch.columns
             texts = []
             for path, own, kind, a, b in zip(*(c.to_pylist() for c in (paths, lines, kinds, before, after))):

@@ -20,7 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.llm.common import WordHashes, written
+from millrace.llm.common import WordHashes, slices, written
 
 PUNCTUATION = bytes.maketrans(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~", b" " * 32)
 
@@ -150,7 +150,7 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: Mapping[str, Colum
 
     def features_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = FeatureHashes()
-        for batch in batches:
+        for batch in slices(batches):
             found = [np.unique(np.frombuffer(b"".join(map(hashes.__getitem__, words_of(t))), "<i8"))
                      for t in batch.column(1).cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64())), *batch.columns[2:]],
@@ -159,7 +159,7 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: Mapping[str, Colum
     sample = written(joined.mapInArrow(features_of, schema), "labelled")
     vocabulary, chosen = _telling_features(sample, ys, folds, features, least_texts, errors)
     def telling(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = [np.array(x, np.int64).view(np.uint64) for x in batch.column(1).to_pylist()]
             few = [np.intersect1d(x, vocabulary).view(np.int64) for x in found]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(few, pa.list_(pa.int64())), *batch.columns[2:]],
@@ -259,7 +259,7 @@ def rate(docs: DataFrame, chain: Chain) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         known = KnownFeatures(model.vocabulary)
-        for batch in batches:
+        for batch in slices(batches):
             row = batch.column(0)
             texts = row.field("text").cast(pa.binary()).to_pylist()
             words = [words_of(t or b"") for t in texts]
