@@ -21,6 +21,7 @@ from urllib.parse import urlsplit
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
 
 from millrace.llm.common import shuffle_width, slices
@@ -234,36 +235,43 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     visits = spark.sparkContext.broadcast(guests)
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=3)
         for batch in slices(batches):
             ids, urls, pages_, hosts, paths, own = (c.to_pylist() for c in batch.columns)
             out = []
             for i, page in enumerate(pages_):
                 lines, kinds = text_lines(page or "")
+                # A line holds no line break, so the lines of a page travel as one packed text.
                 row = {"range": own[i], "host": hosts[i], "path": paths[i], "page_id": ids[i], "url": urls[i],
-                       "guest": False, "lines": lines, "kinds": kinds}
+                       "guest": False, "lines": pack.compress("\n".join(lines).encode()), "kinds": bytes(kinds)}
                 out.append(row)
                 for other in visits.value.get((hosts[i], paths[i], ids[i]), ()):
                     out.append(row | {"range": other, "guest": True})
             yield pa.RecordBatch.from_pylist(out, schema=parsed)
 
     parsed = pa.schema([("range", pa.int32()), ("host", pa.string()), ("path", pa.string()), ("page_id", pa.int64()),
-                        ("url", pa.string()), ("guest", pa.bool_()), ("lines", pa.list_(pa.string())),
-                        ("kinds", pa.list_(pa.int8()))])
+                        ("url", pa.string()), ("guest", pa.bool_()), ("lines", pa.binary()),
+                        ("kinds", pa.binary())])
     blocks = ranged.select("page_id", "url", "html", "at.host", "at.path", "range").mapInArrow(
         parse, "range int, host string, path string, page_id bigint, url string, guest boolean, "
-               "lines array<string>, kinds array<tinyint>")
+               "lines binary, kinds binary")
     near = Window.partitionBy("range", "host").orderBy("path", "page_id", F.xxhash64("lines"), "guest")
     beside = blocks.select(
         "*", *[f(F.struct("path", "lines")).over(near).alias(n) for f, n in ((F.lag, "before"), (F.lead, "after"))])
     beside = beside.where("not guest").select("page_id", "url", "path", "lines", "kinds", "before", "after")
 
     def difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor()
+
+        def opened(packed: bytes) -> list[str]:
+            return unpack.decompress(packed).decode().split("\n")
+
         for batch in slices(batches):
             ids, urls, paths, lines, kinds, before, after = batch.columns
             texts = []
             for path, own, kind, a, b in zip(*(c.to_pylist() for c in (paths, lines, kinds, before, after))):
                 near = max((x for x in (a, b) if x), key=lambda x: _common(path, x["path"]), default=None)
-                texts.append(main_text(own, kind, near["lines"] if near else None))
+                texts.append(main_text(opened(own), list(kind), opened(near["lines"]) if near else None))
             yield pa.RecordBatch.from_arrays(
                 [ids, urls, pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                 names=["page_id", "url", "text", "n_chars"])
