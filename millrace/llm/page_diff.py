@@ -7,7 +7,8 @@ lines they share are deleted: what two neighbours have in common belongs to the
 Two limits of the bare method are mended with the markup. Menus, adverts or notices that
 differ from page to page are not shared, so lines inside elements for such parts go as well.
 And an article that a site shows at two addresses is shared, so lines inside an ``article``
-or ``main`` element stay; a page that has one is its content only.
+element stay, unless its class or id tells that it is a comment or an advert. Differencing
+decides the lines beside articles, and those of ``main`` if the neighbour has not the same main.
 """
 
 from __future__ import annotations
@@ -49,11 +50,16 @@ SITE_WORDS = frozenset(
     "cookies disqus footer form gdpr header masthead menu modal nav navbar navigation newsletter notice popup promo "
     "promotion related respond share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split())
 
-CONTENT, OPEN, SITE_PART = 0, 1, 2
+#: Inside an article; neither; in a part of the site; inside a main element, beside its articles.
+CONTENT, OPEN, SITE_PART, WIDE = 0, 1, 2, 3
+#: Part of the text of a main element from which a neighbour that shares it is a copy.
+COPY = 0.8
 
 
 #: What may also name a part of the article itself.
 ARTICLE_WORDS = frozenset("banner header masthead".split())
+#: What an article element may be that is not the page's.
+NOT_THE_ARTICLE = frozenset("ad ads advert advertisement comment comments promo related sidebar widget".split())
 #: A class that begins so tells of a page what it has.
 ABOUT = ("has-", "is-", "no-", "with-")
 
@@ -61,28 +67,31 @@ ABOUT = ("has-", "is-", "no-", "with-")
 def _is_site(name: str, rest: str, inside: bool) -> bool:
     if name in SITE and not (name == "header" and inside):
         return True
-    if "=" not in rest or name in MAIN or name in ("html", "body"):
+    if "=" not in rest or name in ("main", "html", "body"):
         return False
-    words = SITE_WORDS - ARTICLE_WORDS if inside else SITE_WORDS
+    words = NOT_THE_ARTICLE if name == "article" else SITE_WORDS - ARTICLE_WORDS if inside else SITE_WORDS
     for key, *values in ATTRIBUTE.findall(rest):
         names = "".join(values).lower().split()
         if key.lower() == "role":
             if not SITE_ROLES.isdisjoint(names):
                 return True
+        elif name == "article":
+            if not words.isdisjoint(names):
+                return True
         elif any(not words.isdisjoint(re.split(r"[^a-z]+", n)) for n in names if not n.startswith(ABOUT)):
             return True
     return False
 
 
 def text_lines(page: str) -> tuple[list[str], list[int]]:
-    """Lines of a page, in order, and the kind of each: content, open, or a part of the site.
+    """Lines of a page, in order, and the kind of each: content, open, a part of the site, or wide.
 
     A line is the text of a block with references decoded and white space made single. Tags
     may be wrong or missing. ``br`` is white space.
     """
     lines, kinds, buffer = [], [], []
-    stack: list[tuple[str, bool, bool]] = []  # element, in content, in a part of the site
-    content = site = False
+    stack: list[tuple[str, int, bool]] = []  # element, kind of its place, in a part of the site
+    place, site = OPEN, False
 
     def flush() -> None:
         if buffer:
@@ -90,7 +99,7 @@ def text_lines(page: str) -> tuple[list[str], list[int]]:
             buffer.clear()
             if line:
                 lines.append(line)
-                kinds.append(SITE_PART if site else CONTENT if content else OPEN)
+                kinds.append(SITE_PART if site else place)
 
     at = 0
     for token in TOKEN.finditer(page):
@@ -106,40 +115,42 @@ def text_lines(page: str) -> tuple[list[str], list[int]]:
                 buffer.append(" ")
             elif name in VOID and name not in INLINE:
                 flush()
-            elif not closing and name not in VOID and rest and _is_site(name, rest, content):
+            elif not closing and name not in VOID and rest and _is_site(name, rest, place != OPEN):
                 flush()
-                stack.append((name, content, site))
+                stack.append((name, place, site))
                 site = True
             elif closing and any(s[0] == name for s in stack):
                 flush()
-                content, site = _leave(stack, name)
+                place, site = _leave(stack, name)
             continue
         flush()
         if closing:
             if any(s[0] == name for s in stack):
-                content, site = _leave(stack, name)
+                place, site = _leave(stack, name)
             continue
         if name in LOOSE and stack and stack[-1][0] == name:
-            content, site = _leave(stack, name)
+            place, site = _leave(stack, name)
         if rest.endswith("/"):
             continue
-        part = _is_site(name, rest, content)
+        part = _is_site(name, rest, place != OPEN)
         if name in LOOSE and not part:
             continue
-        stack.append((name, content, site))
-        content, site = content or name in MAIN, site or part
+        stack.append((name, place, site))
+        site = site or part
+        if name in MAIN and place != CONTENT:
+            place = CONTENT if name == "article" else WIDE
     if at < len(page):
         buffer.append(page[at:])
     flush()
     return lines, kinds
 
 
-def _leave(stack: list, name: str) -> tuple[bool, bool]:
+def _leave(stack: list, name: str) -> tuple[int, bool]:
     """Close the innermost ``name`` and all inside it; the state before it."""
     while True:
-        top, content, site = stack.pop()
+        top, place, site = stack.pop()
         if top == name:
-            return content, site
+            return place, site
 
 
 def shared_lines(a: list[str], b: list[str]) -> set[int]:
@@ -166,10 +177,23 @@ def shared_lines(a: list[str], b: list[str]) -> set[int]:
 
 
 def main_text(lines: list[str], kinds: list[int], neighbour: list[str] | None) -> str:
+    """Lines of articles, and what the neighbour does not share of the open and the wide ones.
+
+    Shared lines of a main element stay if they are ``COPY`` of its text, as the neighbour then
+    shows the same main. Without a neighbour, open lines stay if they outweigh the content.
+    """
     shared = shared_lines(lines, neighbour) if neighbour else set()
-    wanted = CONTENT if CONTENT in kinds else OPEN
+    weight = [0, 0, 0, 0]
+    for line, kind in zip(lines, kinds):
+        weight[kind] += len(line)
+    decided = {OPEN}
+    if sum(len(lines[i]) for i in shared if kinds[i] == WIDE) < COPY * weight[WIDE]:
+        decided.add(WIDE)
+    gone = {SITE_PART}
+    if not neighbour and 0 < weight[CONTENT] + weight[WIDE] >= weight[OPEN]:
+        gone.add(OPEN)
     return "\n".join(line for i, (line, kind) in enumerate(zip(lines, kinds))
-                     if kind == wanted and (wanted == CONTENT or i not in shared))
+                     if kind not in gone and not (kind in decided and i in shared))
 
 
 def address(url: str | None) -> tuple[str, str]:
@@ -195,7 +219,7 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     A null html is empty and gives an empty text, as does a page without main text. Pages with
     a null or unreadable url form a host of their own, sorted by what there is. Pages with
     equal addresses are neighbours, in order of their ids, then of their html; a page without
-    a neighbour on its host keeps all open lines. Null and repeated ids are rows like others.
+    a neighbour on its host keeps all open lines, or none if its articles hold more text. Null and repeated ids are rows like others.
     Other columns are ignored; an empty table gives no rows. Pages are read whole.
 
     The order of hosts and paths is cut into ranges, so a host with a third of all pages is no

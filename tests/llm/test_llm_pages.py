@@ -88,3 +88,23 @@ def test_empty_table(spark):
 
 def test_kinds():
     assert text_lines("<p>a<nav>b</nav><article>c")[1] == [OPEN, SITE_PART, CONTENT]
+
+
+SITE = "<div class=x>Menu</div>"
+MAIN_OF = "<main><p>Menu</p><p>Follow our pages</p><p>{}</p></main>"
+
+
+@pytest.mark.parametrize("own,other,expected", [
+    # A comment marked up as an article is not the page's text, with a neighbour or without.
+    ("<div class=post><p>Body</p></div><article class=comment><p>Nice</p></article>", None, ["Body"]),
+    ("<article><p>Body</p><article class=comment><p>Nice</p></article></article>", None, ["Body"]),
+    ("<article id=ad-hoc-networks class='post sidebar-left'><p>Body</p></article>", None, ["Body"]),
+    # A teaser does not take the body's place; what is shared beside it goes.
+    (SITE + "<article>Teaser</article><p>Long body</p>", SITE + "<article>Another</article><p>Other body</p>", ["Teaser", "Long body"]),
+    ("<article>Teaser</article><p>Long body</p>", None, ["Teaser", "Long body"]),
+    # Shared lines of a main around the whole page go, unless the neighbour shows the same main.
+    (MAIN_OF.format("a text of its own"), MAIN_OF.format("the other text here"), ["a text of its own"]),
+    ("<p>x</p>" + MAIN_OF.format("same"), "<p>y</p>" + MAIN_OF.format("same"), ["x", "Menu", "Follow our pages", "same"]),
+])
+def test_differencing_decides_beside_articles(own, other, expected):
+    assert main_text(*text_lines(own), text_lines(other)[0] if other else None).split("\n") == expected
