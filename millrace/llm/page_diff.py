@@ -56,8 +56,21 @@ CONTENT, OPEN, SITE_PART, WIDE = 0, 1, 2, 3
 COPY = 0.8
 
 
-#: What may also name a part of the article itself.
-ARTICLE_WORDS = frozenset("banner header masthead".split())
+#: Inside an article a class must be one of these as a whole; names that only hold such a word, as
+#: ``related-work`` or ``form-factor``, may be of the article itself, as may banner, header and masthead.
+ARTICLE_SITE = (SITE_WORDS - frozenset("banner header masthead".split())) | frozenset(
+    "ad-banner ad-box ad-container ad-slot ad-unit ad-wrapper comment-area comment-body comment-form comment-list "
+    "comment-respond comment-section comment-thread comments-area comments-list comments-section cookie-banner "
+    "cookie-consent cookie-notice nav-links newsletter-form newsletter-signup post-navigation related-articles "
+    "related-links related-posts related-stories share-bar share-buttons share-links sidebar-widget signup-form "
+    "social-buttons social-links social-share sponsored-content subscribe-form widget-area".split())
+COUNTED = re.compile(r"(?:div-)?(ad|comment)-?\d+")
+#: Elements of running text: an id names a place in it, and a class of theirs may be of its wording.
+TEXT = INLINE | frozenset("h1 h2 h3 h4 h5 h6 p section".split())
+#: Inside an article the id of an item does not count either.
+ITEMS = frozenset("blockquote dd dt figcaption figure li pre table td th tr".split())
+#: What the class of a text element inside an article tells, whatever the wording.
+ADVERTS = frozenset("ad ads adv advert adverts advertisement advertising promo sponsor sponsored".split())
 #: What an article element may be that is not the page's.
 NOT_THE_ARTICLE = frozenset("ad ads advert advertisement comment comments promo related sidebar widget".split())
 #: A class that begins so tells of a page what it has.
@@ -69,16 +82,22 @@ def _is_site(name: str, rest: str, inside: bool) -> bool:
         return True
     if "=" not in rest or name in ("main", "html", "body"):
         return False
-    words = NOT_THE_ARTICLE if name == "article" else SITE_WORDS - ARTICLE_WORDS if inside else SITE_WORDS
+    if name == "article":
+        words = NOT_THE_ARTICLE
+    elif inside:
+        words = ADVERTS if name in TEXT and name != "section" else ARTICLE_SITE
     for key, *values in ATTRIBUTE.findall(rest):
         names = "".join(values).lower().split()
         if key.lower() == "role":
             if not SITE_ROLES.isdisjoint(names):
                 return True
-        elif name == "article":
-            if not words.isdisjoint(names):
+        elif key.lower() == "id" and (name in TEXT or inside and name in ITEMS):
+            continue
+        elif inside or name == "article":
+            whole = (n.replace("_", "-") for n in names)
+            if any(COUNTED.sub(r"\1", n) in words for n in whole):
                 return True
-        elif any(not words.isdisjoint(re.split(r"[^a-z]+", n)) for n in names if not n.startswith(ABOUT)):
+        elif any(not SITE_WORDS.isdisjoint(re.split(r"[^a-z]+", n)) for n in names if not n.startswith(ABOUT)):
             return True
     return False
 

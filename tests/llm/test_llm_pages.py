@@ -108,3 +108,27 @@ MAIN_OF = "<main><p>Menu</p><p>Follow our pages</p><p>{}</p></main>"
 ])
 def test_differencing_decides_beside_articles(own, other, expected):
     assert main_text(*text_lines(own), text_lines(other)[0] if other else None).split("\n") == expected
+
+
+@pytest.mark.parametrize("element", [
+    "h2 id=related-work", "section id='notice-and-comment'", "section id=comments", "p id=share-price",
+    "div class='form-factor'", "span class='ad-hoc'", "div class='share-price widget-theory'", "span class=comment",
+    "p class=notice", "div id=cookie-recipes", "li id=social",
+])
+def test_text_of_an_article_stays(element):
+    page = f"<article><p>a</p><{element}>kept</{element.split()[0]}><p>b</p></article>"
+    assert main_text(*text_lines(page), None).split("\n") in (["a", "kept", "b"], ["akeptb"])
+
+
+@pytest.mark.parametrize("element", [
+    "div class=comments", "section class='comments-area'", "ol class=comment-list", "div id=comment-12", "div id=div-comment-7",
+    "div class='x related_posts'", "span class=sponsored", "p class=ad", "div class='share'", "section class=related",
+    "div role=navigation",
+])
+def test_parts_of_the_site_inside_an_article_go(element):
+    page = f"<article><p>a</p><{element}>no</{element.split()[0]}><p>b</p></article>"
+    assert main_text(*text_lines(page), None).split("\n") == ["a", "b"]
+
+
+def test_ids_of_text_outside_an_article():
+    assert main_text(*text_lines("<h2 id=related-work>T</h2><p id=share-price>x</p><div id=site-nav>no</div>"), None) == "T\nx"
