@@ -9,11 +9,14 @@ differ from page to page are not shared, so lines inside elements for such parts
 And an article that a site shows at two addresses is shared, so lines inside an ``article``
 element stay, unless its class or id tells that it is a comment or an advert. Differencing
 decides the lines beside articles, and those of ``main`` if the neighbour has not the same main.
+Pages beside each other with the same lines, but for parts of the site, are copies and share one
+neighbour on each side: the nearest page that differs.
 """
 
 from __future__ import annotations
 
 import bisect
+import hashlib
 import html
 import re
 from collections.abc import Iterator
@@ -25,7 +28,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
 
-from millrace.llm.common import shuffle_width, slices
+from millrace.llm.common import shuffle_width, slices, written
 
 # Markup, longest reading first; a tag that the text ends in is dropped.
 TOKEN = re.compile(
@@ -229,7 +232,34 @@ def _common(a: str, b: str) -> int:
     return next((i for i in range(n) if a[i] != b[i]), n)
 
 
-KEY = "host string, path string, page_id bigint"
+def body_digest(lines: list[str], kinds: list[int]) -> bytes:
+    """Equal for copies: of the lines that are not in parts of the site."""
+    own = (line for line, kind in zip(lines, kinds) if kind != SITE_PART)
+    return hashlib.blake2b("\n".join(own).encode(errors="replace"), digest_size=16).digest()
+
+
+def _guests(ends: list) -> dict[tuple, list[int]]:
+    """Pages that other ranges need, with these ranges, from the rows of all ranges in order.
+
+    ``first`` and ``last`` are the ends of a range; ``after_first`` and ``before_last`` the nearest
+    pages that are no copies of them on their host.
+    """
+    out: dict[tuple, list[int]] = {}
+
+    def meet(at: int, others: list, edge: str, inner: str, own: str) -> None:
+        page = ends[at][own]
+        for other in others:
+            for found in (other[edge], other[inner]):
+                if found is None or found["body"] == page["body"] and found["host"] == page["host"]:
+                    continue
+                if found["host"] == page["host"]:
+                    out.setdefault(tuple(found)[:4], []).append(ends[at]["range"])
+                return
+
+    for at in range(len(ends)):
+        meet(at, ends[at - 1::-1] if at else [], "last", "before_last", "first")
+        meet(at, ends[at + 1:], "first", "after_first", "last")
+    return out
 
 
 def extract_main_text(pages: DataFrame) -> DataFrame:
@@ -238,27 +268,34 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     A null html is empty and gives an empty text, as does a page without main text. Pages with
     a null or unreadable url form a host of their own, sorted by what there is. Pages with
     equal addresses are neighbours, in order of their ids, then of their html; a page without
-    a neighbour on its host keeps all open lines, or none if its articles hold more text. Null and repeated ids are rows like others.
+    another page on its host keeps all open lines, or none if its articles hold more text. Null and repeated ids are rows like others.
     Other columns are ignored; an empty table gives no rows. Pages are read whole.
 
     The order of hosts and paths is cut into ranges, so a host with a third of all pages is no
-    hot group; the first and last page of a range also go to the ranges beside it.
+    hot group; the pages next to its ends that are no copies of them also go to a range.
     """
     spark = pages.sparkSession
     rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), "url", "html")
 
-    @F.pandas_udf("host string, path string")
-    def split_url(urls: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([address(u) for u in urls], columns=["host", "path"])
-
-    keyed = rows.withColumn("at", split_url("url"))
-    order = F.struct(F.col("at.host").alias("host"), F.col("at.path").alias("path"), "page_id")
-    keys = keyed.select(order.alias("key"))
+    # The table of keys is small next to the pages, and several passes read it.
+    def key_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            ids, urls, pages_, ties = (c.to_pylist() for c in batch.columns)
+            at = [address(u) for u in urls]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([a[0] for a in at], pa.string()), pa.array([a[1] for a in at], pa.string()),
+                 batch.column(0), batch.column(3),
+                 pa.array([body_digest(*text_lines(page or "")) for page in pages_], pa.binary())],
+                names=["host", "path", "page_id", "tie", "body"])
+
+    rows = rows.withColumn("tie", F.xxhash64("html"))
+    keys = written(rows.select("page_id", "url", "html", "tie").mapInArrow(
+        key_of, "host string, path string, page_id bigint, tie bigint, body binary"), "page_keys")
     ranges = max(4, 2 * shuffle_width(spark))
     total = keys.count()
     every = max(1, total // (32 * ranges))
     # About 32 addresses a range reach the driver; which ones depends on the address alone.
-    sample = keys.where(F.pmod(F.xxhash64("key"), F.lit(every)) == 0).select("key.host", "key.path").collect()
+    sample = keys.where(F.pmod(F.xxhash64("host", "path", "page_id"), F.lit(every)) == 0).select("host", "path").collect()
     sample = sorted({(r[0], r[1]) for r in sample})
     bounds = sorted({sample[len(sample) * i // ranges] for i in range(1, ranges)}) if sample else []
     shared = spark.sparkContext.broadcast(bounds)
@@ -267,40 +304,52 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     def range_of(host: pd.Series, path: pd.Series) -> pd.Series:
         return pd.Series([bisect.bisect_right(shared.value, at) for at in zip(host, path)], dtype=np.int32)
 
-    ranged = keyed.withColumn("range", range_of("at.host", "at.path"))
-    # Two keys for each range.
-    ends = (ranged.groupBy("range").agg(F.min(order).alias("first"), F.max(order).alias("last"))
-            .orderBy("range").collect())
-    guests: dict[tuple, list[int]] = {}
-    for left, right in zip(ends, ends[1:]):
-        guests.setdefault(tuple(left["last"]), []).append(right["range"])
-        guests.setdefault(tuple(right["first"]), []).append(left["range"])
-    visits = spark.sparkContext.broadcast(guests)
+    page = F.struct("host", "path", "page_id", "tie", "body")
+    placed = keys.withColumn("range", range_of("host", "path"))
+    edges = placed.groupBy("range").agg(F.min(page).alias("first"), F.max(page).alias("last"))
+    # Two rows for each range.
+    no_copy = lambda end: (F.col("host") != F.col(f"{end}.host")) | (F.col("body") != F.col(f"{end}.body"))
+    inner = placed.join(F.broadcast(edges), "range").groupBy("range").agg(
+        F.min(F.when(no_copy("first"), page)).alias("after_first"),
+        F.max(F.when(no_copy("last"), page)).alias("before_last"))
+    visits = spark.sparkContext.broadcast(_guests(edges.join(inner, "range").orderBy("range").collect()))
+
+    @F.pandas_udf("host string, path string")
+    def split_url(urls: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([address(u) for u in urls], columns=["host", "path"])
+
+    ranged = rows.withColumn("at", split_url("url")).withColumn("range", range_of("at.host", "at.path"))
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=3)
         for batch in slices(batches):
-            ids, urls, pages_, hosts, paths, own = (c.to_pylist() for c in batch.columns)
+            ids, urls, pages_, ties, hosts, paths, own = (c.to_pylist() for c in batch.columns)
             out = []
             for i, page in enumerate(pages_):
                 lines, kinds = text_lines(page or "")
                 # A line holds no line break, so the lines of a page travel as one packed text.
                 row = {"range": own[i], "host": hosts[i], "path": paths[i], "page_id": ids[i], "url": urls[i],
-                       "guest": False, "lines": pack.compress("\n".join(lines).encode()), "kinds": bytes(kinds)}
+                       "tie": ties[i], "body": body_digest(lines, kinds), "guest": False, "lines": pack.compress("\n".join(lines).encode()), "kinds": bytes(kinds)}
                 out.append(row)
-                for other in visits.value.get((hosts[i], paths[i], ids[i]), ()):
+                for other in visits.value.get((hosts[i], paths[i], ids[i], ties[i]), ()):
                     out.append(row | {"range": other, "guest": True})
             yield pa.RecordBatch.from_pylist(out, schema=parsed)
 
     parsed = pa.schema([("range", pa.int32()), ("host", pa.string()), ("path", pa.string()), ("page_id", pa.int64()),
-                        ("url", pa.string()), ("guest", pa.bool_()), ("lines", pa.binary()),
-                        ("kinds", pa.binary())])
-    blocks = ranged.select("page_id", "url", "html", "at.host", "at.path", "range").mapInArrow(
-        parse, "range int, host string, path string, page_id bigint, url string, guest boolean, "
-               "lines binary, kinds binary")
-    near = Window.partitionBy("range", "host").orderBy("path", "page_id", F.xxhash64("lines"), "guest")
-    beside = blocks.select(
-        "*", *[f(F.struct("path", "lines")).over(near).alias(n) for f, n in ((F.lag, "before"), (F.lead, "after"))])
+                        ("url", pa.string()), ("tie", pa.int64()), ("body", pa.binary()), ("guest", pa.bool_()),
+                        ("lines", pa.binary()), ("kinds", pa.binary())])
+    blocks = ranged.select("page_id", "url", "html", "tie", "at.host", "at.path", "range").mapInArrow(
+        parse, "range int, host string, path string, page_id bigint, url string, tie bigint, body binary, "
+               "guest boolean, lines binary, kinds binary")
+    # Within a run of copies, the page before its first and the page after its last; the two orders are one reversed.
+    order = ("path", "page_id", "tie", "body", "guest")
+    beside = blocks
+    for name, near in (("before", Window.partitionBy("range", "host").orderBy(*[F.asc(c) for c in order])),
+                       ("after", Window.partitionBy("range", "host").orderBy(*[F.desc(c) for c in order]))):
+        begins = F.lag("body").over(near) != F.col("body")
+        beside = (beside.withColumn("met", F.when(begins, F.lag(F.struct("path", "lines")).over(near)))
+                  .withColumn(name, F.last("met", ignorenulls=True).over(near.rowsBetween(Window.unboundedPreceding, 0)))
+                  .drop("met"))
     beside = beside.where("not guest").select("page_id", "url", "path", "lines", "kinds", "before", "after")
 
     def difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -132,3 +132,40 @@ def test_parts_of_the_site_inside_an_article_go(element):
 
 def test_ids_of_text_outside_an_article():
     assert main_text(*text_lines("<h2 id=related-work>T</h2><p id=share-price>x</p><div id=site-nav>no</div>"), None) == "T\nx"
+
+
+def beside_by_force(rows):
+    """The nearest page before and after that is no copy, on the whole sorted list."""
+    parsed = [text_lines(h or "") for *_, h in rows]
+    own = [[x for x, k in zip(*p) if k != SITE_PART] for p in parsed]
+    order = sorted(range(len(rows)), key=lambda i: (*address(rows[i][1]), rows[i][0]))
+    out = []
+    for at, i in enumerate(order):
+        host, path = address(rows[i][1])
+        near = [next((j for j in side if own[j] != own[i]), None) for side in (order[:at][::-1], order[at + 1:])]
+        near = [j for j in near if j is not None and address(rows[j][1])[0] == host]
+        same = lambda j: next((n for n, (a, b) in enumerate(zip(path, address(rows[j][1])[1])) if a != b),
+                              min(len(path), len(address(rows[j][1])[1])))
+        best = max(near, key=same, default=None)
+        out.append((rows[i][0], main_text(*parsed[i], parsed[best][0] if best is not None else None)))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_copies_meet_the_nearest_page_that_differs(spark, seed):
+    r = random.Random(seed)
+    rows, i = [], 0
+    for _ in range(60):  # runs of copies in path order, some over many ranges
+        body = r.choice(["text one", "text two", f"own {i}"])
+        for _ in range(r.choice([1, 1, 2, 5, 40])):
+            advert = f"<div class=ad>{r.random()}</div>"
+            rows.append((i, f"http://{'a' if i < 300 else 'b'}/{i:05}", page([body], f"<p>Menu</p>{advert}")))
+            i += 1
+    got = sorted((x["page_id"], x["text"]) for x in extract_main_text(table(spark, rows)).collect())
+    assert got == beside_by_force(rows)
+    assert all(text for _, text in got) and sum("Menu" in text for _, text in got) == 0
+
+
+def test_copies_alone_on_a_host_keep_their_text(spark):
+    rows = [(1, "http://h/a", page(["x"])), (2, "http://h/b", page(["x"])), (2, "http://h/b", page(["x"]))]
+    assert [x["text"] for x in extract_main_text(table(spark, rows)).collect()] == ["Menu\nAbout us\nx\nImprint"] * 3
