@@ -42,8 +42,8 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources are cut to their target weights."""
-    drawn = mix(docs, WEIGHTS, source_domain(), percent=PERCENT, epochs=1, seed=SEED)
+    """Sources are cut to their target weights; a long document does not leave a source short."""
+    drawn = mix(docs, WEIGHTS, source_domain(), percent=PERCENT, epochs=1, seed=SEED, reach=True)
     return drawn.select(*[f"row.`{c}`" for c in docs.columns])
 
 

@@ -83,12 +83,16 @@ def _share(children: DataFrame, path: list[str], upper: list[str]) -> DataFrame:
 
 
 def mix(docs: DataFrame, weights: Mapping[str, Mapping[str, int]], domain: Column, percent: int = 100,
-        epochs: int = 1, seed: int = 0) -> DataFrame:
+        epochs: int = 1, seed: int = 0, reach: bool = False) -> DataFrame:
     """Rows of ``docs`` (``row``), drawn to ``weights``: ``row, domain, n_tokens, epoch``.
 
     The budget is ``percent`` of all tokens of ``docs``. A document is drawn once for each
     epoch it is part of. The prefix of a leaf's last epoch takes documents in seeded order
-    while their running token sum stays within what is left of the leaf's share.
+    while their running token sum stays within what is left of the leaf's share, so one document
+    longer than what is left ends it, and the leaf may fall short by less than that document's
+    tokens. With ``reach`` the prefix takes the document in which it ends too: no leaf falls short,
+    and each exceeds its share by less than the tokens of one of its documents, so all together
+    exceed the budget by less than the sum of the longest document of each leaf.
 
     Null or wordless texts have no tokens: they belong to every epoch of their leaf, but to
     the prefix only up to where it ends. Null languages, sources and domains are leaves of
@@ -120,9 +124,10 @@ def mix(docs: DataFrame, weights: Mapping[str, Mapping[str, int]], domain: Colum
               .select("leaf", "slice", F.coalesce(F.sum("tokens").over(ahead), F.lit(0)).alias("base")))
     within = Window.partitionBy("leaf", "slice").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
     summed = placed.join(slices, ["leaf", "slice"]).withColumn("upto", F.col("base") + F.sum("n_tokens").over(within))
+    taken = F.col("upto") - F.col("n_tokens") < F.col("rest") if reach else F.col("upto") <= F.col("rest")
     drawn = F.concat(
         F.when(F.col("whole") > 0, F.sequence(F.lit(0), F.col("whole").cast("int") - 1))
         .otherwise(F.array().cast("array<int>")),
-        F.when((F.col("rest") > 0) & (F.col("upto") <= F.col("rest")), F.array(F.col("whole").cast("int")))
+        F.when((F.col("rest") > 0) & taken, F.array(F.col("whole").cast("int")))
         .otherwise(F.array().cast("array<int>")))
     return summed.select("row", "domain", "n_tokens", F.explode(drawn).alias("epoch"))

@@ -99,3 +99,27 @@ def test_empty_table_and_plan(spark):
     assert drawn.collect() == []
     plan = drawn._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+@pytest.mark.parametrize("epochs", [1, 3])
+def test_a_long_document_does_not_leave_a_leaf_short(spark, epochs):
+    r = random.Random(epochs)
+    docs = [(i, " ".join("w" * n), r.choice(["en", "de"]), r.choice(["a1", "b1"]))
+            for i, n in enumerate([900] * 4 + [r.choice([0, 1, 9, 30]) for _ in range(120)])]
+    df = spark.createDataFrame([(*d, 1, 2, 3, "dom") for d in docs], SCHEMA)
+    leaves = defaultdict(list)
+    for _, text, lang, source in docs:
+        leaves[source[0], lang, source].append(len(text.split()))
+    sums = {k: sum(v) for k, v in leaves.items()}
+    shares = budgets_by_force({k: n * epochs for k, n in sums.items()}, WEIGHTS, sum(sums.values()) // 2)
+    got, short = Counter(), Counter()
+    for seed in range(3):
+        for reach, count in ((True, got), (False, short)):
+            drawn = mix(df, WEIGHTS, F.substr("source", F.lit(1), F.lit(1)), 50, epochs, seed, reach=reach).collect()
+            for x in drawn:
+                count[seed, x["domain"], x["row"]["lang"], x["row"]["source"]] += x["n_tokens"]
+            most = Counter((x["row"]["doc_id"], x["epoch"]) for x in drawn)
+            assert all(n == 1 for n in most.values()) and all(e < epochs for _, e in most)
+    over = {(seed, *k): (shares[k], got[seed, *k] - shares[k], max(leaves[k])) for seed in range(3) for k in leaves}
+    assert all(0 <= more < longest for _, more, longest in over.values())
+    assert any(short[k] < 0.9 * share for k, (share, *_) in over.items())

@@ -64,3 +64,10 @@ def test_run(spark, folder):
     for x in rows:
         fill[x["sequence_id"]] += x["length"]
     assert rows and max(fill.values()) <= p.CAPACITY
+
+
+def test_a_long_document_leaves_no_source_short(spark):
+    docs = [(i, "w " * (500 if i % 10 == 0 else 5), "en", f"src{i % 2}", 0) for i in range(60)]
+    tokens = sum(len(d[1].split()) for d in docs)
+    mixed = p.source_mix(spark, spark.createDataFrame(docs, SCHEMA), "")
+    assert sum(len(x["text"].split()) for x in mixed.collect()) >= tokens * p.PERCENT // 100
