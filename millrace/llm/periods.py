@@ -22,7 +22,6 @@ import hashlib
 import zlib
 from collections.abc import Callable, Iterator
 from fractions import Fraction
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa

@@ -358,8 +358,9 @@ ALLOWED_URLS = [
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
-    rows = [(u, True) for u in BLOCKED_URLS] + [(u, False) for u in ALLOWED_URLS]
-    return spark.createDataFrame(rows, "url string, blocked boolean")
+    kinds = [(BLOCKED_URLS, True), (ALLOWED_URLS, False)]
+    listed = [F.struct(F.lit(u).alias("url"), F.lit(k).alias("blocked")) for urls, k in kinds for u in urls]
+    return spark.range(1).select(F.inline(F.array(*listed)))
 
 
 def _host_path_sql(url: str) -> str:

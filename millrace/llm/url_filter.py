@@ -66,11 +66,15 @@ def buckets(host: Column, path: Column) -> Column:
     def grams(text: Column, field: str) -> Column:
         plain = F.concat(F.lit(field), F.translate(text, UPPER + "123456789", LOWER + "0" * 9), F.lit(field))
 
-        def cut(n: int) -> Column:
-            places = F.sequence(F.lit(1), F.length(plain) - (n - 1))
-            return F.transform(places, lambda i: F.concat(F.lit(field), F.substring(plain, i, F.lit(n))))
-        # The shortest text that has every size; else there is nothing to cut.
-        return F.when(F.length(plain) >= max(SIZES), F.concat(*map(cut, SIZES))).otherwise(F.array().cast("array<string>"))
+        def cut(letters: Column, n: int) -> Column:
+            places = F.sequence(F.lit(1), F.size(letters) - (n - 1))
+            return F.transform(places, lambda i: F.concat(F.lit(field), F.array_join(F.slice(letters, i, n), "")))
+
+        # Letters are cut once, and are a variable of what follows; a text without every size has no n-gram.
+        listed = F.transform(F.array(F.split(plain, "")), lambda letters: F.when(
+            F.size(letters) >= max(SIZES), F.concat(*[cut(letters, n) for n in SIZES]))
+            .otherwise(F.array().cast("array<string>")))
+        return F.get(listed, 0)
 
     hashed = F.transform(F.concat(grams(host, "^"), grams(path, "|")),
                          lambda g: F.conv(F.substring(F.md5(g), 1, HEX_DIGITS), 16, 10).cast("int"))
@@ -83,7 +87,6 @@ def fit_url_model(labelled: DataFrame, steps: int = 300, rate: float = 8.0, ridg
     An n-gram of a URL with m distinct buckets counts 1/sqrt(m). The constant's bucket is ``BIAS``.
     Without labelled rows of both kinds there is nothing to learn, which raises an error.
     """
-    url = F.col("url")
     rows = labelled.where("url is not null and blocked is not null").select("url", F.col("blocked").cast("boolean"))
     seen = rows.groupBy("blocked").count().collect()
     if len(seen) < 2 or sum(x["count"] for x in seen) > MOST_LABELLED:
