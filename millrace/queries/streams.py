@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -14,11 +16,13 @@ from millrace.queries.registry import SIGNAL_ORDER, SIGNALS_SQL, query, signals,
 from millrace.queries.sequences import PADDED_SQL, SENSORS, USER
 from millrace.session import scratch_path
 from millrace.streaming import live
+from millrace.streaming.sessions import sessions
 
 
-# Disorder that the streams allow for; rows within it of the latest row are still held back.
-LATE, LATE_MS = "10 minutes", 600_000
-RELEASED_SQL = f"us <= (CAST(floor((SELECT max(us) FROM signals) / 1000) AS BIGINT) - {LATE_MS}) * 1000"
+# Disorder that the streams allow for.
+LATE = "10 minutes"
+# Users have some rows a day, so a span of theirs is some days; it does not influence results.
+SPAN_MS = 10 * 86_400_000
 
 
 def stream_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,14 +46,17 @@ def _summarise(windows: np.ndarray) -> dict:
             "last_value": values[:, -1], "mean": values.mean(axis=1)}
 
 
-@query("stream_ring_buffer", f"""
-SELECT p.* FROM ({PADDED_SQL}) p JOIN (WITH {SIGNALS_SQL} SELECT event_id FROM signals WHERE {RELEASED_SQL}) r
-USING (event_id)""")
+def replayed(spark: SparkSession, sf_dir: str, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """All that ``build`` makes of the signal stream, run to its end."""
+    return live.replay(stream_signals(spark, sf_dir), "ts", build, scratch_path(spark, "stream"))
+
+
+@query("stream_ring_buffer", PADDED_SQL)
 def stream_ring_buffer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The padded window of 60 rows, kept as keyed state."""
-    buffered = live.ring_buffer(stream_signals(spark, sf_dir), USER, SIGNAL_ORDER, ["value"], 60, _summarise,
-                                "steps bigint, first_value double, last_value double, mean double", LATE)
-    found = live.drain(buffered, scratch_path(spark, "stream"))
+    found = replayed(spark, sf_dir, lambda rows: live.ring_buffer(
+        rows, USER, SIGNAL_ORDER, ["value"], 60, _summarise,
+        "steps bigint, first_value double, last_value double, mean double", LATE, span_ms=SPAN_MS))
     return found.select("event_id", "steps", "first_value", "last_value", F.round("mean", 4).alias("mean"))
 
 
@@ -58,12 +65,12 @@ WITH {SIGNALS_SQL},
 framed AS (SELECT event_id, us, count(*) OVER w AS n, first_value(value) OVER w AS oldest, max(k) OVER w AS top_k
 FROM signals
 WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 99 PRECEDING AND CURRENT ROW))
-SELECT event_id, n, oldest, top_k FROM framed WHERE {RELEASED_SQL}
+SELECT event_id, n, oldest, top_k FROM framed
 """)
 def stream_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last 100 values of both sensors after each row."""
-    history = live.rolling_values(stream_signals(spark, sf_dir), USER, SIGNAL_ORDER, SENSORS, LATE, 100)
-    found = live.drain(history, scratch_path(spark, "stream"))
+    found = replayed(spark, sf_dir, lambda rows: live.rolling_values(
+        rows, USER, SIGNAL_ORDER, SENSORS, LATE, 100, span_ms=SPAN_MS))
     return found.select("event_id", F.size("value_history").cast("bigint").alias("n"),
                         F.element_at("value_history", 1).alias("oldest"),
                         F.array_max("k_history").alias("top_k"))
@@ -96,9 +103,8 @@ def stream_inject(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _alerts(spark: SparkSession, sf_dir: str, detector: TripleDetector) -> DataFrame:
-    scored = live.ring_buffer(stream_signals(spark, sf_dir), USER, SIGNAL_ORDER, SENSORS, detector.size, detector,
-                              DETECTION_SCHEMA, LATE, pad=False)
-    return live.drain(scored, scratch_path(spark, "stream"))
+    return replayed(spark, sf_dir, lambda rows: live.ring_buffer(
+        rows, USER, SIGNAL_ORDER, SENSORS, detector.size, detector, DETECTION_SCHEMA, LATE, pad=False, span_ms=SPAN_MS))
 
 
 @query("stream_alerts")
@@ -115,7 +121,7 @@ WITH {FIXED_DETECTION_SQL}
 SELECT event_id, round(window_error, 5) AS window_error, window_error > 0.1 AS window_alert,
        round(sqrt(pca_score), 6) AS pca_score, pca_score > 0.05 AS pca_alert, round(iso_score, 8) AS iso_score,
        iso_score > 0 AS iso_alert, CASE WHEN window_error > 0.1 THEN 'ANOMALY' ELSE 'HEALTHY' END AS status
-FROM detected WHERE {RELEASED_SQL.replace("FROM signals", "FROM events_us")}
+FROM detected
 """)
 def stream_alerts_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Written-down detectors, with their scaler, on every full window of the stream."""
@@ -125,7 +131,7 @@ def stream_alerts_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
         "iso_alert", status(F.col("window_alert")).alias("status"))
 
 
-@query("session_sequences", f"""
+SESSIONS_SQL = f"""
 WITH {SIGNALS_SQL},
 steps AS (SELECT *, CAST(floor(us / 1000000.0) AS BIGINT) - lag(CAST(floor(us / 1000000.0) AS BIGINT))
                     OVER (PARTITION BY user_id ORDER BY ts, event_id) AS d FROM signals),
@@ -133,7 +139,10 @@ numbered AS (SELECT *, sum(CASE WHEN d <= 36000 THEN 0 ELSE 1 END)
                        OVER (PARTITION BY user_id ORDER BY ts) AS s FROM steps)
 SELECT user_id, count(*) AS rows, CAST(min(us) AS BIGINT) AS start_us, CAST(max(us) AS BIGINT) AS end_us
 FROM numbered GROUP BY user_id, s
-""")
+"""
+
+
+@query("session_sequences", SESSIONS_SQL)
 def session_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sessions in batch: rows are numbered by gap, so a hot user is cut in chunks."""
     rows = split_sequences_by_gap(signals(spark, sf_dir), "ts", 36000, ["event_id"], USER)
@@ -143,18 +152,9 @@ def session_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("sequence_id")
 
 
-@query("stream_sessions", f"""
-WITH {SIGNALS_SQL},
-steps AS (SELECT *, us - lag(us) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS d FROM signals),
-numbered AS (SELECT *, sum(CASE WHEN d <= 36000000000 THEN 0 ELSE 1 END)
-                       OVER (PARTITION BY user_id ORDER BY ts) AS s FROM steps)
-SELECT user_id, count(*) AS rows, CAST(min(us) AS BIGINT) AS start_us, CAST(max(us) AS BIGINT) AS end_us
-FROM numbered GROUP BY user_id, s
-HAVING max(us) + 36000000000 <= (SELECT max(us) FROM signals) - {LATE_MS}000
-""")
+@query("stream_sessions", SESSIONS_SQL)
 def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sessions of the stream that the watermark has closed."""
-    found = live.sessions(stream_signals(spark, sf_dir), USER, "ts", LATE, "10 hours")
-    closed = live.drain(found, scratch_path(spark, "stream"))
-    return closed.select("user_id", "rows", F.unix_micros("start_ts").alias("start_us"),
-                         F.unix_micros("end_ts").alias("end_us"))
+    """Sessions of the stream, closed by the watermark; no row is late."""
+    found = replayed(spark, sf_dir, lambda rows: sessions(rows, USER, "ts", LATE, 36_000))
+    return found.where("not late").select("user_id", "rows", F.unix_micros("start_ts").alias("start_us"),
+                                          F.unix_micros("end_ts").alias("end_us"))

@@ -1,15 +1,15 @@
 """Live scoring with Structured Streaming, by event time.
 
 Rows of a key may arrive in any order within ``late``; results do not depend on how they are
-dealt out to micro-batches. A keyed state operator holds back what the watermark has not passed
-yet, and releases rows in event-time order as blocks: some consecutive rows of the key and the
-rows before them that their windows reach back to. Scoring is a stage of its own, over blocks
-dealt out anew, so a key with most of the rows is scored by all tasks. State (RocksDB) holds
-``size - 1`` released rows of a key and its rows within ``late``; it can expire.
+dealt out to micro-batches. ``history.released_blocks`` holds rows back until the watermark has
+passed them and gives them out in event-time order, with the rows before them that their windows
+reach back to; its state is split by key and time, so no key is bound to one task. Scoring is a
+stage of its own, over blocks dealt out anew.
 
 Rows that the watermark has not passed when a stream stops stay in its state and are released
-when the stream goes on. Rows older than the watermark, and rows without a time, are left out;
-``late`` has no default, so nothing is dropped by accident.
+when the stream goes on; ``replay`` runs a finite stream to its end and releases all of them. Rows
+older than the watermark, and rows without a time, are left out; ``late`` has no default, so
+nothing is dropped by accident.
 """
 
 from __future__ import annotations
@@ -18,18 +18,19 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
 from millrace.operators.windows import WINDOWS_PER_CALL
+from millrace.streaming.history import END, load, released_blocks
 
 # Bound on the files of one micro-batch. It does not influence results.
 BYTES_PER_TRIGGER = 1 << 30
-# Rows of a key that one block releases.
-BLOCK_ROWS = 8_192
+# Time of the row that ends a finite stream: pandas has no later year.
+LAST = "2262-01-01 00:00:00"
+# Rows come out when their span of time has passed; it does not influence results.
+SPAN_MS = 60_000
 
 
 def stream_layer(spark: SparkSession, path: str, schema: StructType | str, glob: str = "*.parquet",
@@ -55,66 +56,21 @@ def run(stream: DataFrame, path: str, every: str = "500 milliseconds") -> Stream
     return _sink(stream, path).trigger(processingTime=every).start()
 
 
-def _dump(frame: pd.DataFrame) -> bytes:
-    table = pa.Table.from_pandas(frame, preserve_index=False)
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema) as writer:
-        writer.write_table(table)
-    return sink.getvalue().to_pybytes()
+def replay(source: DataFrame, time: str, build: Callable[[DataFrame], DataFrame], path: str) -> DataFrame:
+    """Run ``build(source)`` over a finite source to its end and return all that it wrote.
 
-
-def _load(data: bytes) -> pd.DataFrame:
-    return pa.ipc.open_stream(data).read_pandas()
-
-
-def _micros(times: pd.Series) -> np.ndarray:
-    return times.to_numpy().astype("datetime64[us]").astype(np.int64)
-
-
-def _blocks(stream: DataFrame, by: Sequence[str], order_by: Sequence[str], columns: Sequence[str],
-            size: int, late: str, expire_ms: int | None) -> DataFrame:
-    """``by``, ``lead``, ``rows``: released rows in event-time order, after ``lead`` earlier ones."""
-    kept = list(dict.fromkeys([*order_by, *columns]))
-    time = order_by[0]
-    types = {f.name: f.dataType.simpleString() for f in stream.schema}
-    if types[time] != "timestamp":
-        raise ValueError(f"{time} must be a timestamp")
-
-    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        watermark = state.getCurrentWatermarkMs()
-        before, held = (_load(x) for x in state.get) if state.exists else (None, None)
-        new = [f[kept] for f in frames if len(f)]
-        rows = pd.concat([x for x in (held, *new) if x is not None and len(x)] or [pd.DataFrame(columns=kept)])
-        times = _micros(rows[time]) if len(rows) else np.empty(0, np.int64)
-        passed = times <= watermark * 1000
-        ready = rows[passed].sort_values(list(order_by), kind="stable")
-        held, waiting = rows[~passed], times[~passed]
-        for at in range(0, len(ready), BLOCK_ROWS):
-            part = ready.iloc[at:at + BLOCK_ROWS]
-            lead = 0 if before is None else len(before)
-            block = part if not lead else pd.concat([before, part])
-            before = block.iloc[max(0, len(block) - size + 1):]
-            yield pd.DataFrame([[*key, lead, _dump(block)]], columns=[*by, "lead", "rows"])
-        if before is None:
-            before = rows.iloc[:0]
-        latest = int(_micros(before[time]).max()) // 1000 if len(before) else watermark
-        if len(waiting):
-            state.update((_dump(before), _dump(held)))
-            # Called again once the watermark has passed the earliest row that waits.
-            state.setTimeoutTimestamp(max(watermark, -(-int(waiting.min()) // 1000) - 1))
-        elif expire_ms is not None and watermark > latest + expire_ms:
-            if state.exists:
-                state.remove()
-        else:
-            state.update((_dump(before), _dump(rows.iloc[:0])))
-            if expire_ms is not None:
-                state.setTimeoutTimestamp(max(watermark, latest + expire_ms))
-
-    out = ", ".join([*[f"`{c}` {types[c]}" for c in by], "lead int", "rows binary"])
-    return (stream.select(*dict.fromkeys([*by, *kept])).where(F.col(time).isNotNull())
-            .withWatermark(time, late).groupBy(*by)
-            .applyInPandasWithState(step, out, "before binary, held binary", "append",
-                                    GroupStateTimeout.EventTimeTimeout))
+    Once everything is read, one more row with a late ``time`` moves the watermark past all rows,
+    so that none is held back. ``build`` gets the source with that row in it, told apart by the
+    column ``END``, which the operators of this package know; it holds no data.
+    """
+    spark, marks = source.sparkSession, f"{path}/end"
+    mark = spark.range(1).select(F.lit(LAST).cast("timestamp").alias(time), F.lit(True).alias(END))
+    mark.limit(0).write.parquet(marks)
+    ends = spark.readStream.schema(mark.schema).parquet(marks)
+    stream = build(source.withColumn(END, F.lit(False)).unionByName(ends, allowMissingColumns=True))
+    drain(stream, path)
+    mark.write.mode("append").parquet(marks)
+    return drain(stream, path)
 
 
 def _scored(blocks: DataFrame, stream: DataFrame, by: Sequence[str], order_by: Sequence[str],
@@ -126,7 +82,7 @@ def _scored(blocks: DataFrame, stream: DataFrame, by: Sequence[str], order_by: S
     def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for record in frame.to_dict("records"):
-                for out in each(_load(record["rows"]), record["lead"]):
+                for out in each(load(record["rows"]), record["lead"]):
                     yield out.assign(**{c: record[c] for c in keys})[[*keys, *out.columns]]
 
     schema = ", ".join([*[f"`{c}` {types[c]}" for c in dict.fromkeys([*keys, *order])], result])
@@ -137,13 +93,14 @@ def _scored(blocks: DataFrame, stream: DataFrame, by: Sequence[str], order_by: S
 
 def ring_buffer(stream: DataFrame, by: Sequence[str], order_by: Sequence[str],
                 columns: Sequence[str], size: int, score: Callable[[np.ndarray], dict],
-                result: str, late: str, pad: bool = True, expire_ms: int | None = None) -> DataFrame:
+                result: str, late: str, pad: bool = True, expire_ms: int | None = None,
+                span_ms: int = SPAN_MS) -> DataFrame:
     """Score, for every row, the window of the last ``size`` rows of its key.
 
     ``order_by`` begins with the event time (a timestamp) and should identify a row of the
     key. A window that is not full yet is padded on the left with the oldest row, or with
-    ``pad=False`` left out. ``score`` maps [n, size, features] to columns. A key without
-    new rows for ``expire_ms`` starts anew.
+    ``pad=False`` left out. ``score`` maps [n, size, features] to columns. After a pause of
+    more than ``expire_ms`` a key starts anew. ``span_ms``: as in ``released_blocks``.
     """
     names, order, columns = StructType.fromDDL(result).names, list(order_by), list(columns)
 
@@ -163,11 +120,13 @@ def ring_buffer(stream: DataFrame, by: Sequence[str], order_by: Sequence[str],
             scored = score(views[at:at + WINDOWS_PER_CALL].transpose(0, 2, 1))
             yield out.assign(**{name: scored[name] for name in names})
 
-    return _scored(_blocks(stream, by, order_by, columns, size, late, expire_ms), stream, by, order_by, result, each)
+    blocks = released_blocks(stream, by, order_by, columns, size, late, span_ms, expire_ms)
+    return _scored(blocks, stream, by, order_by, result, each)
 
 
 def rolling_values(stream: DataFrame, by: Sequence[str], order_by: Sequence[str],
-                   columns: Sequence[str], late: str, n: int = 100, expire_ms: int | None = None) -> DataFrame:
+                   columns: Sequence[str], late: str, n: int = 100, expire_ms: int | None = None,
+                   span_ms: int = SPAN_MS) -> DataFrame:
     """The last ``n`` values of every column up to each row; fewer for a key's first rows."""
     order = list(order_by)
 
@@ -179,15 +138,5 @@ def rolling_values(stream: DataFrame, by: Sequence[str], order_by: Sequence[str]
                                                  for i in range(at, stop)] for c in columns})
 
     result = ", ".join(f"{c}_history array<double>" for c in columns)
-    return _scored(_blocks(stream, by, order_by, columns, n, late, expire_ms), stream, by, order_by, result, each)
-
-
-def sessions(stream: DataFrame, by: Sequence[str], ts: str, late: str, gap: str = "10 minutes") -> DataFrame:
-    """Sequences without a pause longer than ``gap``, emitted once the watermark has passed them.
-
-    Rows more than ``late`` behind the latest row seen are left out, so ``late`` is the
-    disorder that the source is known to have.
-    """
-    return (stream.withWatermark(ts, late).groupBy(*by, F.session_window(ts, gap).alias("session"))
-            .agg(F.count(F.lit(1)).alias("rows"), F.min(ts).alias("start_ts"), F.max(ts).alias("end_ts"))
-            .drop("session"))
+    blocks = released_blocks(stream, by, order_by, columns, n, late, span_ms, expire_ms)
+    return _scored(blocks, stream, by, order_by, result, each)

@@ -8,7 +8,8 @@ from millrace.operators.detect.consensus import DETECTION_SCHEMA, detect
 from millrace.operators.windows import map_windows, padded_windows
 from millrace.queries.detectors import fixed_detector
 from millrace.session import scratch_path
-from millrace.streaming import live
+from millrace.streaming import history, live
+from millrace.streaming.sessions import sessions
 
 SCHEMA = "k string, ts timestamp, t int, x double"
 START = dt.datetime(2024, 1, 1)
@@ -29,17 +30,15 @@ def written(spark, files):
     return path
 
 
-@pytest.fixture(scope="module", params=["one file", "four files", "five shuffled files"])
+@pytest.fixture(scope="module", params=["one file", "three shuffled files"])
 def files(spark, request):
     rows = rows_of()
     if request.param == "one file":
         return written(spark, [rows])
-    if request.param == "four files":
-        return written(spark, [rows[60 * i:60 * i + 60] for i in range(4)])
     # Rows up to LATE seconds out of order, over files that overlap in time.
     order = np.argsort(np.arange(N) + np.random.default_rng(3).uniform(0, LATE, N), kind="stable")
     mixed = [rows[i] for i in order]
-    return written(spark, [mixed[48 * i:48 * i + 48] for i in range(5)])
+    return written(spark, [mixed[80 * i:80 * i + 80] for i in range(3)])
 
 
 def source(spark, files):
@@ -58,40 +57,86 @@ mean = by_value()
 LATE_TEXT = f"{LATE} seconds"
 
 
-def released(df, column="ts"):
-    """Rows that the last watermark has passed."""
-    return df.where(F.col(column) <= F.lit(START + dt.timedelta(seconds=(N - 1) // 2 - LATE)))
+@pytest.fixture(autouse=True, scope="module")
+def few_partitions(spark):
+    """Every state partition takes its time to open."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def to_the_end(spark, stream, build):
+    return live.replay(stream, "ts", build, scratch_path(spark, "s"))
 
 
 def test_ring_buffer_equals_padded_windows(spark, files):
-    live_rows = live.drain(live.ring_buffer(source(spark, files), ["k"], ["ts", "t"], ["x"], 7, mean,
-                                            "m double, first double", LATE_TEXT), scratch_path(spark, "s"))
-    got = {(r.k, r.t): (r.m, r.first) for r in live_rows.collect()}
-    batch = released(padded_windows(spark.read.parquet(files), ["k"], ["ts", "t"], ["x"], 7)).collect()
-    assert len(got) == len(batch) == 2 * ((N - 1) // 2 - LATE + 1)
+    got = to_the_end(spark, source(spark, files), lambda rows: live.ring_buffer(
+        rows, ["k"], ["ts", "t"], ["x"], 7, mean, "m double, first double", LATE_TEXT, span_ms=3_000))
+    got = {(r.k, r.t): (r.m, r.first) for r in got.collect()}
+    batch = padded_windows(spark.read.parquet(files), ["k"], ["ts", "t"], ["x"], 7).collect()
+    assert len(got) == len(batch) == N
     for r in batch:
         values = [s.x for s in r.steps]
         np.testing.assert_allclose(got[r.k, r.t], (np.mean(values), values[0]))
 
 
 def test_full_windows_equal_batch(spark, files):
-    got = live.drain(live.ring_buffer(source(spark, files), ["k"], ["ts", "t"], ["x"], 7, mean,
-                                      "m double, first double", LATE_TEXT, pad=False), scratch_path(spark, "s"))
+    got = to_the_end(spark, source(spark, files), lambda rows: live.ring_buffer(
+        rows, ["k"], ["ts", "t"], ["x"], 7, mean, "m double, first double", LATE_TEXT, pad=False, span_ms=9_000))
     live_rows = sorted((r.k, r.ts, round(r.m, 12), r.first) for r in got.collect())
     batch = map_windows(spark.read.parquet(files), ["k"], ["ts", "t"], ["x"], 7, mean, "m double, first double")
-    assert live_rows == sorted((r.k, r.end_ts, round(r.m, 12), r.first) for r in released(batch, "end_ts").collect())
+    assert live_rows == sorted((r.k, r.end_ts, round(r.m, 12), r.first) for r in batch.collect())
 
 
-def test_rolling_values(spark, files):
-    got = live.drain(live.rolling_values(source(spark, files), ["k"], ["ts", "t"], ["x"], LATE_TEXT, 5),
-                     scratch_path(spark, "s"))
-    found = {(r.k, r.t): r.x_history for r in got.collect()}
-    past, expected = {}, {}
-    for k, ts, t, x in rows_of():
+def histories(rows, n):
+    past, out = {}, {}
+    for k, ts, t, x in rows:
         past.setdefault(k, []).append(x)
-        if ts <= START + dt.timedelta(seconds=(N - 1) // 2 - LATE):
-            expected[k, t] = past[k][-5:]
-    assert found == expected
+        out[k, t] = past[k][-n:]
+    return out
+
+
+def test_rolling_values(spark, files):
+    got = to_the_end(spark, source(spark, files), lambda rows: live.rolling_values(
+        rows, ["k"], ["ts", "t"], ["x"], LATE_TEXT, 5, span_ms=13_000)).collect()
+    assert len(got) == N and {(r.k, r.t): r.x_history for r in got} == histories(rows_of(), 5)
+
+
+def test_only_passed_spans_are_released_before_the_end(spark, files):
+    got = live.drain(live.rolling_values(source(spark, files), ["k"], ["ts", "t"], ["x"], LATE_TEXT, 5, span_ms=5_000),
+                     scratch_path(spark, "s")).collect()
+    passed = ((N - 1) // 2 - LATE) // 5 * 5
+    assert {(r.k, r.t): r.x_history for r in got} == {
+        (k, t): v for (k, t), v in histories(rows_of(), 5).items() if t // 2 < passed}
+
+
+def test_one_row_windows_and_null_keys(spark):
+    rows = [(None if i % 3 else "a", START + dt.timedelta(seconds=i), i, float(i)) for i in range(30)]
+    path = written(spark, [rows])
+    for n in (1, 4):
+        got = to_the_end(spark, source(spark, path), lambda r, n=n: live.rolling_values(
+            r, ["k"], ["ts", "t"], ["x"], LATE_TEXT, n, span_ms=7_000)).collect()
+        assert {(r.k, r.t): r.x_history for r in got} == histories(rows, n)
+
+
+def test_a_hot_key_is_split(spark, monkeypatch):
+    """No call and no state value holds a key: spans meet in different tasks, and blocks are bounded."""
+    monkeypatch.setattr(history, "BLOCK_ROWS", 20)
+    rows = [("hot", START + dt.timedelta(seconds=i), i, float(i)) for i in range(400)]
+    path = written(spark, [rows])
+    sizes = F.struct("k", "lead", F.length("rows").alias("bytes"), F.spark_partition_id().alias("part"))
+
+    def build(stream):
+        return history.released_blocks(stream, ["k"], ["ts", "t"], ["x"], 5, LATE_TEXT, 50_000).select(sizes.alias("s"))
+
+    got = to_the_end(spark, source(spark, path), build).select("s.*").collect()
+    # Eight spans: their first four rows, and the other 46 in blocks of at most 20 rows.
+    assert len(got) == 8 * (1 + 3) and {r.lead for r in got} == {0, 4}
+    assert len({r.part for r in got}) > 1
+    values = to_the_end(spark, source(spark, path), lambda r: live.rolling_values(
+        r, ["k"], ["ts", "t"], ["x"], LATE_TEXT, 5, span_ms=50_000)).collect()
+    assert {(r.k, r.t): r.x_history for r in values} == histories(rows, 5)
 
 
 def test_detector_on_raw_rows_equals_batch(spark):
@@ -99,26 +144,27 @@ def test_detector_on_raw_rows_equals_batch(spark):
     path = written(spark, [rows[:150], rows[150:]])
     both = lambda df: df.select("k", "ts", "t", F.col("x").alias("value"), (F.col("t") % 60).cast("double").alias("k2"))
     detector = fixed_detector()
-    columns = ["value", "k2"]
-    stream = live.ring_buffer(both(source(spark, path)), ["k"], ["ts", "t"], columns, detector.size, detector,
-                              DETECTION_SCHEMA, LATE_TEXT, pad=False)
-    got = live.drain(stream, scratch_path(spark, "s"))
+    got = to_the_end(spark, both(source(spark, path)), lambda r: live.ring_buffer(
+        r, ["k"], ["ts", "t"], ["value", "k2"], detector.size, detector, DETECTION_SCHEMA, LATE_TEXT, pad=False,
+        span_ms=30_000))
     pick = ["window_error", "window_alert", "pca_score", "pca_alert", "iso_score", "iso_alert"]
     live_rows = sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in got.select("k", "ts", *pick).collect())
     raw = both(spark.read.parquet(path)).withColumnsRenamed({"k": "series", "k2": "k"})
-    batch = released(detect(raw, ["series"], ["ts", "t"], detector), "end_ts").select("series", "end_ts", *pick)
+    batch = detect(raw, ["series"], ["ts", "t"], detector).select("series", "end_ts", *pick)
     assert live_rows == sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in batch.collect())
     assert 0 < sum(r[3] for r in live_rows) < len(live_rows)
 
 
-def test_idle_keys_expire(spark):
+@pytest.mark.parametrize("span", [100_000, 10_000_000])
+def test_idle_keys_start_anew(spark, span):
     sec = lambda s: START + dt.timedelta(seconds=s)
     files = [[("a", sec(0), 0, 1.0), ("a", sec(1), 1, 2.0)], [("b", sec(5000), 2, 0.0)], [("b", sec(5001), 3, 0.0)],
-             [("a", sec(6000), 4, 3.0)], [("b", sec(9000), 5, 0.0)]]
+             [("a", sec(6000), 4, 3.0), ("a", sec(6060), 5, 4.0), ("a", sec(6121), 6, 5.0)], [("b", sec(9000), 7, 0.0)]]
     path = written(spark, files)
-    got = live.drain(live.rolling_values(source(spark, path), ["k"], ["ts", "t"], ["x"], "0 seconds", 5, expire_ms=60_000),
-                     scratch_path(spark, "s"))
-    assert {r.t: r.x_history for r in got.collect() if r.k == "a"} == {0: [1.0], 1: [1.0, 2.0], 4: [3.0]}
+    got = to_the_end(spark, source(spark, path), lambda r: live.rolling_values(
+        r, ["k"], ["ts", "t"], ["x"], "0 seconds", 5, expire_ms=60_000, span_ms=span)).collect()
+    assert {r.t: r.x_history for r in got if r.k == "a"} == {
+        0: [1.0], 1: [1.0, 2.0], 4: [3.0], 5: [3.0, 4.0], 6: [5.0]}
 
 
 def test_event_time_must_be_a_timestamp(spark, files):
@@ -126,27 +172,50 @@ def test_event_time_must_be_a_timestamp(spark, files):
         live.rolling_values(source(spark, files), ["k"], ["t"], ["x"], LATE_TEXT)
 
 
+def session_files(spark, order):
+    """One file a second, in the given order."""
+    path = scratch_path(spark, "in")
+    for k, s in order:
+        (spark.createDataFrame([(k, float(s))], "k string, s double").select("k", F.timestamp_micros((F.col("s") * 1e6).cast("long")).alias("ts"))
+         .coalesce(1).write.mode("append").parquet(path))
+    return spark.readStream.schema("k string, ts timestamp").option("maxFilesPerTrigger", 1).parquet(path)
+
+
 def test_sessions_close_behind_the_watermark(spark):
     path = scratch_path(spark, "in")
-    times = [("a", s) for s in (0, 100, 700, 1301)] + [("b", 5000)]
+    times = [("a", s) for s in (0, 100, 700, 1301)] + [("b", 5000), (None, 0)]
     rows = spark.createDataFrame(times, "k string, s long").select("k", F.timestamp_seconds("s").alias("ts"))
     rows.write.parquet(path)
     stream = spark.readStream.schema(rows.schema).parquet(path)
-    got = live.drain(live.sessions(stream, ["k"], "ts", "0 seconds", "10 minutes"), scratch_path(spark, "s"))
+    got = live.drain(sessions(stream, ["k"], "ts", "0 seconds", 600), scratch_path(spark, "s"))
     # 600 s apart is still one session; the last session of "b" is open.
-    assert sorted((r.k, r.rows) for r in got.collect()) == [("a", 1), ("a", 3)]
+    assert {(r.k, r.rows, r.late) for r in got.collect()} == {("a", 1, False), ("a", 3, False), (None, 1, False)}
 
 
 def test_sessions_do_not_depend_on_the_order_of_files(spark):
-    times = [("a", s) for s in (100, 200, 5000, 5100, 9000, 20000)]
-    for order in ([0, 1, 2, 3, 4, 5], [2, 3, 4, 0, 1, 5]):
-        path = scratch_path(spark, "in")
-        for i in order:
-            (spark.createDataFrame([times[i]], "k string, s long").select("k", F.timestamp_seconds("s").alias("ts"))
-             .coalesce(1).write.mode("append").parquet(path))
-        stream = spark.readStream.schema("k string, ts timestamp").option("maxFilesPerTrigger", 1).parquet(path)
-        got = live.drain(live.sessions(stream, ["k"], "ts", "10000 seconds", "10 minutes"), scratch_path(spark, "s"))
-        assert sorted((r.k, r.rows) for r in got.collect()) == [("a", 1), ("a", 2), ("a", 2)]
+    times = [("a", s) for s in (100, 200.9, 5000, 5600.99, 9000, 20000)]
+    for order in ([0, 1, 2, 3, 4, 5], [3, 0, 4, 2, 1, 5]):
+        stream = session_files(spark, [times[i] for i in order])
+        got = to_the_end(spark, stream, lambda r: sessions(r, ["k"], "ts", "10000 seconds", 600)).collect()
+        # Whole seconds count: 5000 to 5600.99 is 600.
+        assert sorted((r.k, r.rows) for r in got if not r.late) == [("a", 1), ("a", 1), ("a", 2), ("a", 2)]
+        assert not any(r.late for r in got)
+
+
+def test_late_rows_are_counted(spark):
+    times = [("a", 1000), ("a", 1100), ("b", 9000), ("a", 1200), ("a", 8950), ("b", 9050), ("a", 3)]
+    got = to_the_end(spark, session_files(spark, times), lambda r: sessions(r, ["k"], "ts", "100 seconds", 600)).collect()
+    assert sorted((r.k, r.rows) for r in got if not r.late) == [("a", 1), ("a", 2), ("b", 2)]
+    assert sorted(r.start_ts.timestamp() for r in got if r.late) == [3, 1200]
+    assert sum(r.rows for r in got) == len(times)
+
+
+def test_sessions_equal_batch(spark, files):
+    from millrace.operators.sequences import split_sequences_by_gap
+    got = to_the_end(spark, source(spark, files).where("t % 7 < 2"), lambda r: sessions(r, ["k"], "ts", LATE_TEXT, 3))
+    numbered = split_sequences_by_gap(spark.read.parquet(files).where("t % 7 < 2"), "ts", 3, ["t"], ["k"])
+    batch = numbered.groupBy("k", "sequence_id").agg(F.count(F.lit(1)), F.min("ts"), F.max("ts")).drop("sequence_id")
+    assert sorted(tuple(r)[:4] for r in got.collect()) == sorted(tuple(r) for r in batch.collect())
 
 
 def test_a_running_query_goes_on_where_it_stopped(spark, files):
