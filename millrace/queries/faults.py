@@ -37,18 +37,17 @@ def inject_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("inject_windows", f"""
 WITH {SIGNALS_SQL}, grid(type, feature, magnitude) AS (VALUES {_values(WINDOW_SCENARIOS)}),
-numbered AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS r, value, k
-             FROM signals),
-starts AS (SELECT user_id, r - 10 AS window_id FROM numbered WHERE r >= 10),
-steps AS (SELECT s.user_id, s.window_id, n.r - s.window_id - 1 AS step, n.value, n.k
-          FROM starts s JOIN numbered n ON s.user_id = n.user_id
-               AND n.r > s.window_id AND n.r <= s.window_id + 10),
-firsts AS (SELECT user_id, window_id, value AS v0 FROM steps WHERE step = 0)
+series AS (SELECT user_id, list(value ORDER BY ts, event_id) AS v, list(k ORDER BY ts, event_id) AS k
+           FROM signals GROUP BY user_id),
+starts AS (SELECT user_id, window_id, v[window_id + 1:window_id + 10] AS v, k[window_id + 1:window_id + 10] AS k
+           FROM series, LATERAL (SELECT unnest(range(0, len(v) - 9)) AS window_id)),
+steps AS (SELECT user_id, window_id, step, v[step + 1] AS value, k[step + 1] AS k, v[1] AS v0
+          FROM starts, range(10) r(step))
 SELECT user_id, window_id, type, step,
        CASE WHEN type = 'spike' AND step BETWEEN 5 AND 9 THEN value + magnitude
             WHEN type = 'freeze' THEN v0 ELSE value END AS value,
        CASE WHEN type = 'drift' THEN k + magnitude * step / 9.0e0 ELSE k END AS k
-FROM steps JOIN firsts USING (user_id, window_id), grid
+FROM steps, grid
 """)
 def inject_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every window with every fault, one row per step."""

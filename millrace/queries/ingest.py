@@ -17,7 +17,7 @@ from millrace.plans.layers import silver, silver_job
 from millrace.sources.archives import archives_to_bronze, expand_archives
 from millrace.sources.delimited import read_csv, read_process_csv
 from millrace.sources.layers import (
-    layer_path, list_layer, read_dimension_json, read_layer, read_report, read_with_lineage, write_layer, write_report,
+    layer_path, list_layer, read_dimension_json, read_layer, read_report, read_with_lineage, replace_parts, write_layer, write_report,
 )
 from millrace.sources.params import load_params, params_frame, save_params
 
@@ -197,6 +197,22 @@ def extension_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
                             "url", [".html", ".zip"])
 
 
+@query("fragment_rerun", """
+SELECT l_orderkey, l_linenumber, l_suppkey % 7 AS fragment,
+       CASE WHEN l_suppkey % 7 = 3 THEN l_quantity + 1 ELSE l_quantity END AS l_quantity
+FROM lineitem WHERE l_suppkey % 7 <> 5
+""")
+def fragment_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A layer by fragment; a second run of one fragment, and a first one of another, keep the rest."""
+    path = scratch_path(spark, "fragments")
+    rows = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_quantity", (F.col("l_suppkey") % 7).alias("fragment"))
+    replace_parts(rows.where("fragment not in (5, 6)"), path, ["fragment"])
+    replace_parts(rows.where("fragment in (3, 6)").withColumn(
+        "l_quantity", F.when(F.col("fragment") == 3, F.col("l_quantity") + 1).otherwise(F.col("l_quantity"))), path, ["fragment"])
+    return spark.read.parquet(path).withColumn("fragment", F.col("fragment").cast("bigint"))
+
+
 @query("sink_roundtrip", """
 SELECT l_returnflag, l_linestatus, count(*) AS n, CAST(sum(l_linenumber) AS BIGINT) AS lines,
        max(l_extendedprice) AS top

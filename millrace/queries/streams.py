@@ -16,6 +16,7 @@ from millrace.queries.registry import SIGNAL_ORDER, SIGNALS_SQL, query, signals,
 from millrace.queries.sequences import PADDED_SQL, SENSORS, USER
 from millrace.session import scratch_path
 from millrace.streaming import live
+from millrace.streaming.faults import inject_live
 from millrace.streaming.sessions import sessions
 
 
@@ -102,6 +103,43 @@ def stream_inject(spark: SparkSession, sf_dir: str) -> DataFrame:
     return live.drain(faulty.select("event_id", "fault", *SENSORS), scratch_path(spark, "stream"))
 
 
+# Faults are triggered by some events; a step of a fault is an hour.
+LIVE_STEP = 3_600
+
+
+@query("stream_inject_live", f"""
+WITH {SIGNALS_SQL},
+faults AS (SELECT user_id, us AS at, CASE event_id % 3 WHEN 0 THEN 'spike' WHEN 1 THEN 'drift' ELSE 'freeze' END AS type,
+                  event_id % 2 AS sensor FROM signals WHERE event_id % 9 = 4),
+acting AS (SELECT s.event_id, max((f.at, f.type, f.sensor)) AS f FROM signals s JOIN faults f
+           ON s.user_id = f.user_id AND s.us >= f.at AND s.us < f.at + {41 * LIVE_STEP * 1_000_000} GROUP BY s.event_id),
+planned AS (SELECT s.*, f[2] AS type, f[3] AS sensor, (us - f[1]) // {LIVE_STEP * 1_000_000} AS elapsed
+            FROM signals s LEFT JOIN acting USING (event_id))
+SELECT event_id, type AS fault,
+       CASE WHEN sensor = 0 THEN
+         CASE type WHEN 'spike' THEN value + 0.5e0 WHEN 'drift' THEN value + elapsed * 0.02e0 ELSE 0.0e0 END
+         ELSE value END AS value,
+       CASE WHEN sensor = 1 THEN
+         CASE type WHEN 'spike' THEN k + 0.5e0 WHEN 'drift' THEN k + elapsed * 0.02e0 ELSE 0.0e0 END
+         ELSE k END AS k
+FROM planned
+""")
+def stream_inject_live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults that come in as a stream of their own, in files without order."""
+    kind = F.element_at(F.array(*map(F.lit, ("spike", "drift", "freeze"))), (F.col("event_id") % 3 + 1).cast("int"))
+    triggered = signals(spark, sf_dir).where("event_id % 9 = 4").select(
+        "user_id", F.col("ts").alias("at"), kind.alias("type"), (F.col("event_id") % 2).cast("int").alias("sensor"),
+        F.pmod(F.xxhash64("event_id"), F.lit(4)).cast("int").alias("file"))
+    path = scratch_path(spark, "faults")
+    triggered.repartition("file").drop("file").write.parquet(path)
+    faults = spark.readStream.schema("user_id bigint, at timestamp, type string, sensor int").parquet(path)
+    found = live.replay_all(
+        {"rows": (stream_signals(spark, sf_dir), "ts"), "faults": (faults, "at")},
+        lambda rows, faults: inject_live(rows, faults, USER, SIGNAL_ORDER, SENSORS, LATE, "40 days", LIVE_STEP),
+        scratch_path(spark, "stream"))
+    return found.select("event_id", "fault", *SENSORS)
+
+
 def _alerts(spark: SparkSession, sf_dir: str, detector: TripleDetector) -> DataFrame:
     return replayed(spark, sf_dir, lambda rows: live.ring_buffer(
         rows, USER, SIGNAL_ORDER, SENSORS, detector.size, detector, DETECTION_SCHEMA, LATE, pad=False, span_ms=SPAN_MS))

@@ -68,6 +68,20 @@ def write_layer(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
+def replace_parts(df: DataFrame, path: str, parts: Sequence[str]) -> None:
+    """Write ``df`` into a partitioned Parquet table, in place of the parts that it has rows of.
+
+    A part is a combination of values of ``parts``, such as one fragment; all other parts stay as
+    they are, so a re-run of some fragments replaces their output only. Spark swaps whole parts
+    when the job commits, so a failed run leaves the table as it was. An empty ``df`` changes
+    nothing; a table that is not there yet is made. Null is a part like any other.
+    """
+    if not parts:
+        raise ValueError("a table without parts is replaced by write_layer")
+    (df.hint("rebalance", *parts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*parts).parquet(path))
+
+
 def stored(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """``df`` written once to the shared folder and read from there.
 

@@ -26,8 +26,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Rows of a key that one block releases, and that one state value holds.
 BLOCK_ROWS = 8_192
-# Marks the row that ends a finite stream.
-END = "__end"
+# Marks the row that ends a finite stream, and its time: pandas has no later year.
+END, LAST = "__end", "2262-01-01 00:00:00"
 # Part of a key that hands over between its spans; blocks that need no more rows have other parts.
 EDGE = -1
 

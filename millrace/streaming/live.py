@@ -23,12 +23,10 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
 
 from millrace.operators.windows import WINDOWS_PER_CALL
-from millrace.streaming.history import END, load, released_blocks
+from millrace.streaming.history import END, LAST, load, released_blocks
 
 # Bound on the files of one micro-batch. It does not influence results.
 BYTES_PER_TRIGGER = 1 << 30
-# Time of the row that ends a finite stream: pandas has no later year.
-LAST = "2262-01-01 00:00:00"
 # Rows come out when their span of time has passed; it does not influence results.
 SPAN_MS = 60_000
 
@@ -63,13 +61,21 @@ def replay(source: DataFrame, time: str, build: Callable[[DataFrame], DataFrame]
     so that none is held back. ``build`` gets the source with that row in it, told apart by the
     column ``END``, which the operators of this package know; it holds no data.
     """
-    spark, marks = source.sparkSession, f"{path}/end"
-    mark = spark.range(1).select(F.lit(LAST).cast("timestamp").alias(time), F.lit(True).alias(END))
-    mark.limit(0).write.parquet(marks)
-    ends = spark.readStream.schema(mark.schema).parquet(marks)
-    stream = build(source.withColumn(END, F.lit(False)).unionByName(ends, allowMissingColumns=True))
+    return replay_all({"source": (source, time)}, build, path)
+
+
+def replay_all(sources: dict[str, tuple[DataFrame, str]], build: Callable[..., DataFrame], path: str) -> DataFrame:
+    """``replay`` of several finite sources, each with its time column, as arguments of ``build``."""
+    marks, streams = {}, []
+    for name, (source, time) in sources.items():
+        marks[name] = source.sparkSession.range(1).select(F.lit(LAST).cast("timestamp").alias(time), F.lit(True).alias(END))
+        marks[name].limit(0).write.parquet(f"{path}/end-{name}")
+        ends = source.sparkSession.readStream.schema(marks[name].schema).parquet(f"{path}/end-{name}")
+        streams.append(source.withColumn(END, F.lit(False)).unionByName(ends, allowMissingColumns=True))
+    stream = build(*streams)
     drain(stream, path)
-    mark.write.mode("append").parquet(marks)
+    for name, mark in marks.items():
+        mark.write.mode("append").parquet(f"{path}/end-{name}")
     return drain(stream, path)
 
 

@@ -132,6 +132,34 @@ def test_dimension_and_listing(spark, tmp_path):
     assert layers.layer_path("other", {"gold": "s3a://g"}) == "other"
 
 
+def parts_of(spark, path):
+    return sorted(((r.f, r.x) for r in spark.read.schema("x int, f string").parquet(path).collect()), key=str)
+
+
+def test_a_rerun_replaces_its_parts_only(spark, tmp_path):
+    path, frame = f"{tmp_path}/out", lambda rows: spark.createDataFrame(rows, "f string, x int")
+    layers.replace_parts(frame([("a", 1), ("a", 2), ("b", 3), (None, 4)]), path, ["f"])
+    layers.replace_parts(frame([("a", 5), ("c", 6), (None, 7), (None, 8)]), path, ["f"])
+    assert parts_of(spark, path) == sorted([("a", 5), ("b", 3), ("c", 6), (None, 7), (None, 8)], key=str)
+    before = {p: p.stat().st_mtime_ns for p in tmp_path.glob("out/f=b/*.parquet")}
+    layers.replace_parts(frame([]), path, ["f"])
+    layers.replace_parts(frame([("c", 9)]), path, ["f"])
+    assert parts_of(spark, path) == sorted([("a", 5), ("b", 3), ("c", 9), (None, 7), (None, 8)], key=str)
+    assert before and before == {p: p.stat().st_mtime_ns for p in tmp_path.glob("out/f=b/*.parquet")}
+    with pytest.raises(ValueError):
+        layers.replace_parts(frame([("c", 9)]), path, [])
+
+
+def test_a_failed_rerun_changes_nothing(spark, tmp_path):
+    path = f"{tmp_path}/out"
+    layers.replace_parts(spark.createDataFrame([("a", 1), ("b", 2)], "f string, x int"), path, ["f"])
+    bad = spark.range(100).select(F.lit("a").alias("f"), F.when(F.col("id") < 99, F.col("id").cast("int"))
+                                  .otherwise(F.raise_error(F.lit("lost")).cast("int")).alias("x"))
+    with pytest.raises(Exception, match="lost"):
+        layers.replace_parts(bad, path, ["f"])
+    assert parts_of(spark, path) == [("a", 1), ("b", 2)]
+
+
 def test_lineage_merges_schemas(spark, tmp_path):
     spark.range(2).write.parquet(f"{tmp_path}/p/a")
     spark.range(3).withColumn("x", F.lit(1)).write.parquet(f"{tmp_path}/p/b")

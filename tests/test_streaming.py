@@ -9,6 +9,7 @@ from millrace.operators.windows import map_windows, padded_windows
 from millrace.queries.detectors import fixed_detector
 from millrace.session import scratch_path
 from millrace.streaming import history, live
+from millrace.streaming.faults import inject_live
 from millrace.streaming.sessions import sessions
 
 SCHEMA = "k string, ts timestamp, t int, x double"
@@ -218,6 +219,33 @@ def test_sessions_equal_batch(spark, files):
     assert sorted(tuple(r)[:4] for r in got.collect()) == sorted(tuple(r) for r in batch.collect())
 
 
+FAULTS = [("hot", 50, "drift", 0), ("hot", 60, "spike", 0), ("1", 10, "freeze", 0), ("2", 20, "unknown", 0), ("2", 30, "spike", 5),
+          (None, 0, "spike", 0), ("hot", 118, "freeze", 0), ("hot", 118, "drift", 0)]
+
+
+@pytest.mark.parametrize("order", [range(8), [6, 1, 0, 3, 7, 2, 5, 4]])
+def test_faults_from_a_stream(spark, files, order):
+    path, schema = scratch_path(spark, "in"), "k string, at timestamp, type string, sensor int"
+    listed = [(k, START + dt.timedelta(seconds=s), kind, sensor) for k, s, kind, sensor in (FAULTS[i] for i in order)]
+    for part in (listed[:3], listed[3:]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(path)
+    faults = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    got = live.replay_all(
+        {"rows": (source(spark, files), "ts"), "faults": (faults, "at")},
+        lambda rows, faults: inject_live(rows, faults, ["k"], ["ts", "t"], ["x"], LATE_TEXT, "200 seconds", 1, salts=3),
+        scratch_path(spark, "s")).collect()
+    expected = []
+    for k, ts, t, x in rows_of():
+        second = (ts - START).seconds
+        acting = [(s, kind, sensor) for f, s, kind, sensor in FAULTS
+                  if f == k and kind != "unknown" and 0 <= second - s <= 40]
+        at, kind, sensor = max(acting, default=(0, None, None))
+        if sensor == 0:
+            x = {"spike": x + 0.5, "drift": x + (second - at) * 0.02, "freeze": 0.0}[kind]
+        expected.append((k, ts, t, x, kind))
+    assert sorted(map(tuple, got)) == sorted(expected) and sum(e[4] is not None for e in expected) > 60
+
+
 def test_a_running_query_goes_on_where_it_stopped(spark, files):
     path = scratch_path(spark, "s")
     stream = source(spark, files).select("k", "t")
