@@ -3,8 +3,10 @@
 Each hash function is one random projection. A block of vectors keeps, for each projection,
 its vectors in the order of their projected values. A query opens a window around its own
 value in every order; a vector that lies in the windows of enough projections is verified
-by its true inner product. If too few were verified, all windows widen by the same factor
-(virtual rehashing: no further tables) until enough were.
+by its true inner product. All windows widen by the same factor (virtual rehashing: no further
+tables) until at least ``LEAST`` vectors of the block, and a fifth of them, are verified; a block
+of at most ``LEAST`` is verified whole. As windows only grow, the first width that is enough is
+found by halving the steps between one that is enough and one that is not.
 
 The largest inner product becomes the smallest distance by one more coordinate, which lifts
 every vector to the length of the longest one.
@@ -19,7 +21,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 BLOCK, CHUNK = 4096, 2048
-PROJECTIONS, COLLIDE, VERIFY, WIDEN, START = 64, 0.62, 0.2, 1.08, 1.1
+PROJECTIONS, COLLIDE, VERIFY, WIDEN, START = 64, 0.62, 0.2, 1.08, 0.5
+ASKED = math.ceil(COLLIDE * PROJECTIONS)
+# FIRST: steps of widening to begin with; TOGETHER: queries that widen their windows at a time.
+LEAST, CELLS, FIRST, TOGETHER = 600, 256, 10, 16
 
 
 def _axes(size: int, seed: int) -> np.ndarray:
@@ -38,35 +43,78 @@ class CollisionIndex:
         lift = np.sqrt(np.maximum(longest ** 2 - (vectors ** 2).sum(axis=1), 0))
         values = np.hstack([vectors, lift[:, None]]) @ self.axes / max(longest, 1e-300)
         order = np.argsort(values, axis=0, kind="stable")
-        self.sorted = np.take_along_axis(values, order, axis=0).T.copy()
-        # Place of every vector in each order, so that a window is a range of places.
-        self.places = np.empty((PROJECTIONS, len(ids)), np.uint16)
-        np.put_along_axis(self.places, order.T, np.arange(len(ids), dtype=np.uint16)[None, :], axis=1)
-
-    def search(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and inner products of the block's ``k`` best verified vectors."""
+        ordered = np.take_along_axis(values, order, axis=0).T
+        # All orders as one ascending array: each in a range of its own.
+        self.reach = float(np.abs(values).max(initial=0)) + 1
+        self.shift = np.arange(PROJECTIONS) * 4 * self.reach
+        self.start = np.arange(PROJECTIONS) * len(ids)
+        self.sorted = (ordered + self.shift[:, None]).ravel()
+        # Place of every vector in each order, in ``CELLS`` equal parts: a window is a range of them.
+        self.places = np.empty((PROJECTIONS, len(ids)), np.uint8)
+        np.put_along_axis(self.places, order.T, self._cells(np.arange(len(ids)))[None, :], axis=1)
+
+    def _cells(self, places: np.ndarray) -> np.ndarray:
+        return (places * CELLS // len(self.ids)).astype(np.uint8)
+
+    def _collided(self, centres: np.ndarray, halves: np.ndarray) -> np.ndarray:
+        """[queries, vectors]: whether a vector lies in enough windows of ``centres`` ± ``halves``.
+
+        Windows end with the part of the order that their end lies in.
+        """
+        n = len(self.ids)
+        low = np.clip(centres - halves[:, None], -self.reach, self.reach) + self.shift
+        high = np.clip(centres + halves[:, None], -self.reach, self.reach) + self.shift
+        first = self._cells(np.minimum(np.searchsorted(self.sorted, low) - self.start, n - 1))
+        last = self._cells(np.maximum(np.searchsorted(self.sorted, high, side="right") - self.start - 1, 0))
+        width = np.where(last >= first, last - first, 0).astype(np.uint8)
+        hits = np.zeros((len(centres), n), np.uint8)
+        for row, at, wide in zip(self.places, first.T[:, :, None], width.T[:, :, None]):
+            hits += (row[None, :] - at) <= wide
+        return hits >= ASKED
+
+    def search(self, queries: np.ndarray, own: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each query, ids and inner products of the block's ``k`` best verified vectors."""
         n = len(self.ids)
-        centre = query @ self.axes[:-1] / max(np.linalg.norm(query), 1e-300)
-        need, half, asked = min(n, k + 1 + math.ceil(VERIFY * n)), START, math.ceil(COLLIDE * PROJECTIONS)
-        while True:
-            first = np.array([np.searchsorted(row, c - half) for row, c in zip(self.sorted, centre)])
-            last = np.array([np.searchsorted(row, c + half, side="right") for row, c in zip(self.sorted, centre)])
-            wide = (last - first >= n).all()
-            width = (last - first).astype(np.uint16)[:, None]
-            hits = ((self.places - first.astype(np.uint16)[:, None]) < width).sum(axis=0, dtype=np.uint8)
-            found = np.flatnonzero(hits >= asked)
-            if len(found) >= need or wide:
-                break
-            half *= WIDEN
-        if wide:
-            found = np.arange(n)
-        scores = self.vectors[found] @ query
-        ids = self.ids[found]
+        need = max(k + 1 + math.ceil(VERIFY * n), LEAST)
+        if need >= n:
+            chosen = np.ones((len(queries), n), bool)
+        else:
+            lengths = np.maximum(np.sqrt((queries ** 2).sum(axis=1)), 1e-300)
+            chosen = self._first_enough(queries @ self.axes[:-1] / lengths[:, None], need)
+        return [self._best(query, np.flatnonzero(found), mine, k) for query, found, mine in zip(queries, chosen, own)]
+
+    def _best(self, query: np.ndarray, found: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+        scores, ids = self.vectors[found] @ query, self.ids[found]
         other = ids != own
         ids, scores = ids[other], scores[other]
+        if len(ids) > k:
+            # Everything below the k-th best score goes before the rest is put in order.
+            good = scores >= np.partition(scores, len(scores) - k)[len(scores) - k]
+            ids, scores = ids[good], scores[good]
         best = np.lexsort((ids, -scores))[:k]
         return ids[best], scores[best]
 
+    def _first_enough(self, centres: np.ndarray, need: int) -> np.ndarray:
+        """What collides in the narrowest windows that ``need`` vectors collide in, for each query."""
+        q = np.arange(len(centres))
+        low, high = np.full(len(q), -1), np.full(len(q), FIRST)
+        best = np.zeros((len(q), len(self.ids)), bool)
+        open_ = q
+        while len(open_):
+            found = self._collided(centres[open_], START * WIDEN ** high[open_])
+            # Windows that hold everything are enough, however vectors are spread.
+            enough = found.sum(axis=1) >= need
+            best[open_] = found
+            open_ = open_[~enough]
+            low[open_], high[open_] = high[open_], high[open_] + 4
+        while len(open_ := q[high - low > 1]):
+            middle = (low[open_] + high[open_]) // 2
+            found = self._collided(centres[open_], START * WIDEN ** middle)
+            enough = found.sum(axis=1) >= need
+            best[open_[enough]] = found[enough]
+            high[open_[enough]], low[open_[~enough]] = middle[enough], middle[~enough]
+        return best
+
 
 def nearest(vectors: DataFrame, every: int = 20, k: int = 20) -> DataFrame:
     """``query_id, rank, vec_id, score`` for the queries: rows whose id is divisible by ``every``.
@@ -108,12 +156,14 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20) -> DataFrame:
             # A block that came out too large for 16-bit places is searched in parts.
             for at in range(0, len(own), 60_000):
                 index = CollisionIndex(own[at:at + 60_000], points[at:at + 60_000], longest)
-                for query, vector in zip(*matrix(right)):
-                    found, score = index.search(vector, query, k)
-                    queries.append(query)
-                    counts.append(len(found))
-                    ids.append(found)
-                    scores.append(score)
+                asking, rows = matrix(right)
+                for cut in range(0, len(asking), TOGETHER):
+                    some = asking[cut:cut + TOGETHER]
+                    for query, (found, score) in zip(some, index.search(rows[cut:cut + TOGETHER], some, k)):
+                        queries.append(query)
+                        counts.append(len(found))
+                        ids.append(found)
+                        scores.append(score)
         return pa.table({
             "query_id": pa.array(np.repeat(np.array(queries, np.int64), np.array(counts, np.int64)), pa.int64()),
             "vec_id": pa.array(np.concatenate(ids) if ids else [], pa.int64()),

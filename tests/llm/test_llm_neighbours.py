@@ -35,6 +35,7 @@ def found(df):
 @pytest.mark.parametrize("unit", [True, False])
 def test_recall(spark, monkeypatch, unit):
     monkeypatch.setattr(collision, "BLOCK", 700)
+    monkeypatch.setattr(collision, "LEAST", 100)
     r = np.random.default_rng(1)
     x = r.standard_normal((2500, 24)) + 0.6 * r.standard_normal((8, 24))[r.integers(0, 8, 2500)]
     x = x / np.linalg.norm(x, axis=1, keepdims=True) if unit else x * r.random((2500, 1)) * 30
@@ -61,3 +62,13 @@ def test_few_and_odd_rows(spark):
 
 def test_empty_table(spark):
     assert nearest(table(spark, [])).collect() == []
+
+
+@pytest.mark.parametrize("folder, least", [("sf0.001", 1.0), ("sf0.01", 1.0), ("sf0.1", 0.95)])
+def test_recall_on_given_tables(spark, folder, least):
+    """A table of few vectors is searched whole."""
+    rows = spark.read.parquet(f"/root/testdata/{folder}/embeddings.parquet")
+    got = found(nearest(rows, 20, 20))
+    true = by_force([(x["vec_id"], list(x["embedding"])) for x in rows.collect()], 20, 20)
+    assert got.keys() == true.keys()
+    assert np.mean([len({i for i, _ in got[q]} & {i for i, _ in true[q]}) / 20 for q in true]) >= least
