@@ -176,6 +176,12 @@ class _Encoder:
             self.words[word] = b"".join(map(look, pieces))
         self.words.update(zip(whole, self._whole([w.decode() for w in whole])))
 
+    def forget(self) -> None:
+        """Empty the tables: the worker lives on after its task."""
+        for table in (self.words, self.pieces):
+            table.clear()
+            table.old = {}
+
     def __call__(self, texts: list[bytes]) -> Iterator[bytes]:
         split = [text.split() for text in texts]
         self._learn_words(set().union(*split))
@@ -202,6 +208,12 @@ def token_pieces(docs: DataFrame, tokenizer_file: str, capacity: int = 2048, end
         if key not in _ENCODERS:
             _ENCODERS[key] = _Encoder(definition.value)
         encode = _ENCODERS[key]
+        try:
+            yield from encoded(encode, batches)
+        finally:
+            encode.forget()
+
+    def encoded(encode: _Encoder, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, TASK_ROWS):
             texts = [t or b"" for t in part.column(1).cast(pa.binary()).to_pylist()]
             row, piece, start, length, crc = [], [], [], [], []

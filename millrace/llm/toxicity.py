@@ -70,14 +70,19 @@ class KnownFeatures(FeatureHashes):
 
     def __init__(self, vocabulary: np.ndarray):
         super().__init__()
-        self.vocabulary = vocabulary
+        self.known = {h.tobytes(): p.tobytes() for h, p in zip(
+            vocabulary.astype("<u8"), np.arange(len(vocabulary), dtype="<u4"))}
 
     def __missing__(self, word: bytes) -> bytes:
-        hashes = np.frombuffer(super().__missing__(word), "<u8")
-        place = np.searchsorted(self.vocabulary, hashes)
-        inside = place < len(self.vocabulary)
-        place = place[inside][self.vocabulary[place[inside]] == hashes[inside]]
-        self[word] = found = place.astype("<u4").tobytes()
+        if len(self) >= self.limit:
+            self.clear()
+        get, digest = self.known.get, xxhash.xxh3_64_digest
+        found = get(digest(word), b"")
+        for n in BEGINNINGS:
+            if len(word) < n:
+                break
+            found += get(digest(word[:n] + b"*"), b"")
+        self[word] = found
         return found
 
 
