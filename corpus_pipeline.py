@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm.common import written
+from millrace.llm.common import bounded_batches, written
 from millrace.llm.minmax import first_of_groups
 from millrace.llm.mixing import mix
 from millrace.llm.packing import pack
@@ -27,28 +27,34 @@ CAPACITY = 2048
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the chain calls toxic go."""
+    bounded_batches(prepare(spark))
     chain = fit_chain(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), toxicity_categories())
     return rate(docs, chain).where("not ratings.is_toxic").select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays, the one with the smallest id."""
+    bounded_batches(prepare(spark))
     return first_of_groups(docs, percent=NEAR_PERCENT)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are masked in the text."""
+    """Secrets are masked in the text. Null and empty texts stay as they are, and so does every row."""
     return redact_secrets(docs)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources are cut to their target weights; a long document does not leave a source short."""
+    """Sources are cut to their target weights; a long document does not leave a source short.
+
+    Null sources and languages are leaves of their own; documents without words cost nothing.
+    """
     drawn = mix(docs, WEIGHTS, source_domain(), percent=PERCENT, epochs=1, seed=SEED, reach=True)
     return drawn.select(*[f"row.`{c}`" for c in docs.columns])
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces with their place in sequences of ``CAPACITY`` tokens."""
+    """Pieces with their place in sequences of ``CAPACITY`` tokens; a null text is an empty one."""
+    bounded_batches(prepare(spark))
     return pack(docs, public_tokenizers.path("word_bpe_49k.json"), CAPACITY)
 
 
