@@ -303,6 +303,9 @@ SELECT o_orderkey,
        CAST(floor(epoch(o_orderdate)) AS BIGINT) AS seconds,
        CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderstatus END IS NULL AS is_missing,
        coalesce(CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderstatus END, '?') AS filled,
+       upper(replace(o_orderpriority, '-', ' ')) AS displayed,
+       array_to_string(list_transform(string_split(replace(o_orderpriority, '-', ' '), ' '),
+                       lambda w: upper(w[1]) || lower(w[2:])), ' ') AS titled,
        least(o_totalprice, 100000) AS low, greatest(o_totalprice, 100000) AS high
 FROM orders
 """)
@@ -319,6 +322,8 @@ def scalar_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
         word.startswith("1").alias("is_first"), word.endswith("LOW").alias("is_low"),
         epoch_seconds(F.col("o_orderdate").cast("timestamp")).alias("seconds"),
         known.isNull().alias("is_missing"), F.coalesce(known, F.lit("?")).alias("filled"),
+        F.upper(F.replace(word, F.lit("-"), F.lit(" "))).alias("displayed"),
+        F.initcap(F.replace(word, F.lit("-"), F.lit(" "))).alias("titled"),
         F.least(x, F.lit(100000.0)).alias("low"), F.greatest(x, F.lit(100000.0)).alias("high"))
 
 
