@@ -12,9 +12,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from millrace.operators.cleaning import cast_columns, filter_extension, split_valid
 from millrace.operators.scaling import minmax_fit
 from millrace.queries.registry import query, signals, table
-from millrace.session import scratch_path
+from millrace.session import qualified, scratch_path
 from millrace.plans.layers import silver, silver_job
-from millrace.sources.archives import archives_to_bronze, expand_archives
+from millrace.sources.archives import archives_to_bronze, expand_archives, open_store
 from millrace.sources.delimited import read_csv, read_process_csv
 from millrace.sources.layers import (
     layer_path, list_layer, read_dimension_json, read_layer, read_report, read_with_lineage, replace_parts, write_layer, write_report,
@@ -94,8 +94,7 @@ def expanded_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _zip_files(folder: str):
     """Archives of a folder entry and one delimited file per event type, written by the tasks."""
     def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs
-        system, root = fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder.removeprefix('file:')}")
+        system, root = open_store(folder)
         system.create_dir(root, recursive=True)
         for frame in frames:
             first = frame["event_id"].iloc[0]
@@ -121,7 +120,7 @@ def archives_to_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, bronze, clean = (scratch_path(spark, n) for n in ("archives", "bronze", "silver"))
     rows = table(spark, sf_dir, "events").select(
         "event_id", "event_type", "value", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("time"))
-    rows.mapInPandas(_zip_files(folder), "event_id bigint").count()
+    rows.mapInPandas(_zip_files(qualified(spark, folder)), "event_id bigint").count()
     archives_to_bronze(spark, folder, bronze)
     none = spark.createDataFrame([], "product_code string, diameter double")
     silver_job(spark, bronze, clean, none, ["batch"], ["speed", "event_id"], ["event_id"])

@@ -95,6 +95,12 @@ def shared_folder(spark: SparkSession) -> str:
 _LOCAL_FOLDERS: dict[str, str] = {}
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with its scheme, as Spark resolves it, so that executors do not take it for a local one."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder, removed when the application ends."""
     return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"

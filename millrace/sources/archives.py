@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.session import scratch_path
+from millrace.session import qualified, scratch_path
 
 # Lines per emitted frame: a member of any size streams through a worker.
 LINES_PER_FRAME = 20_000
@@ -29,7 +29,7 @@ COPY_BYTES = 8 << 20
 BROKEN = (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, RuntimeError, pa.ArrowInvalid)
 
 
-def _open(uri: str) -> tuple[fs.FileSystem, str]:
+def open_store(uri: str) -> tuple[fs.FileSystem, str]:
     """The store of a URI, as Python on an executor reaches it."""
     for scheme in ("s3a://", "s3n://"):
         if uri.startswith(scheme):
@@ -56,7 +56,7 @@ def list_members(spark: SparkSession, path: str) -> DataFrame:
         for frame in frames:
             rows = []
             for archive in frame["path"]:
-                system, place = _open(archive)
+                system, place = open_store(archive)
                 try:
                     with system.open_input_file(place) as stream, zipfile.ZipFile(stream) as opened:
                         rows += [(archive, m.filename, m.file_size, None) for m in opened.infolist() if not m.is_dir()]
@@ -75,6 +75,7 @@ def archives_to_bronze(spark: SparkSession, path: str, target: str) -> DataFrame
     Returns (archive, member, bytes, error): broken archives and members have an error and no
     file; the others are all there.
     """
+    target = qualified(spark, target)
     members = list_members(spark, path)
     listed = scratch_path(spark, "members")
     members.write.parquet(listed)
@@ -86,8 +87,8 @@ def archives_to_bronze(spark: SparkSession, path: str, target: str) -> DataFrame
             for i, (archive, member) in enumerate(zip(frame["archive"], frame["member"])):
                 if member is None:
                     continue
-                source, place = _open(archive)
-                sink, root = _open(target)
+                source, place = open_store(archive)
+                sink, root = open_store(target)
                 final = f"{root}/{target_name(member)}"
                 attempt = f"{root}/_temporary/{uuid.uuid4().hex}"
                 sink.create_dir(attempt.rpartition("/")[0], recursive=True)
