@@ -33,14 +33,20 @@ from millrace.llm.common import shuffle_width, slices, written
 # Markup, longest reading first; a tag that the text ends in is dropped.
 TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)
-    | <(?P<raw>script|style|title|textarea|noscript|template|iframe|select|svg|math|object)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)
+    | <(?P<raw>script|style|title|textarea|noscript|template|iframe|select|object|annotation|annotation-xml)
+      (?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)
+    | <svg(?=[\s/>])[^>]*(?<!/)>.*?(?:</svg\s*>|\Z)
     | <(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>"']|"[^"]*"|'[^']*')*)>
     | <(?P<close2>/?)(?P<name2>[a-zA-Z][^\s/>]*)(?P<rest2>[^>]*)>
     | <[!?/][^>]*(?:>|\Z) | <[a-zA-Z][^>]*\Z""", re.S | re.I | re.X)
-ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+# Whole names, so that ``data-id`` is no id and a quoted value is not searched for more.
+ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
 
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q "
-                   "rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+                   "rp rt ruby s samp small span strike strong sub sup svg time tt u var wbr "
+                   # Formulas are part of their line.
+                   "math menclose mfrac mi mmultiscripts mn mo mover mpadded mphantom mroot mrow ms mspace msqrt mstyle "
+                   "msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose end tag may be missing; a new one of the kind, or the end of a parent, ends them.
 LOOSE = frozenset("p li dt dd tr td th thead tbody tfoot option".split())
@@ -64,12 +70,16 @@ COPY = 0.8
 ARTICLE_SITE = (SITE_WORDS - frozenset("banner header masthead".split())) | frozenset(
     "ad-banner ad-box ad-container ad-slot ad-unit ad-wrapper comment-area comment-body comment-form comment-list "
     "comment-respond comment-section comment-thread comments-area comments-list comments-section cookie-banner "
+    "disqus-thread reader-comments user-comments "
     "cookie-consent cookie-notice nav-links newsletter-form newsletter-signup post-navigation related-articles "
     "related-links related-posts related-stories share-bar share-buttons share-links sidebar-widget signup-form "
     "social-buttons social-links social-share sponsored-content subscribe-form widget-area".split())
 COUNTED = re.compile(r"(?:div-)?(ad|comment)-?\d+")
 #: Elements of running text: an id names a place in it, and a class of theirs may be of its wording.
 TEXT = INLINE | frozenset("h1 h2 h3 h4 h5 h6 p section".split())
+#: Ids by which a section says that it holds what readers write.
+READERS = frozenset("comment-area comment-list comment-section comment-thread comments comments-area comments-list "
+                    "comments-section disqus-thread reader-comments respond user-comments".split())
 #: Inside an article the id of an item does not count either.
 ITEMS = frozenset("blockquote dd dt figcaption figure li pre table td th tr".split())
 #: What the class of a text element inside an article tells, whatever the wording.
@@ -90,11 +100,16 @@ def _is_site(name: str, rest: str, inside: bool) -> bool:
     elif inside:
         words = ADVERTS if name in TEXT and name != "section" else ARTICLE_SITE
     for key, *values in ATTRIBUTE.findall(rest):
-        names = "".join(values).lower().split()
-        if key.lower() == "role":
+        key, names = key.lower(), "".join(values).lower().split()
+        if key not in ("class", "id", "role"):
+            continue
+        if key == "role":
             if not SITE_ROLES.isdisjoint(names):
                 return True
-        elif key.lower() == "id" and (name in TEXT or inside and name in ITEMS):
+        elif key == "id" and name == "section":
+            if any(n.replace("_", "-") in READERS for n in names):
+                return True
+        elif key == "id" and (name in TEXT or inside and name in ITEMS):
             continue
         elif inside or name == "article":
             whole = (n.replace("_", "-") for n in names)
@@ -137,7 +152,7 @@ def text_lines(page: str) -> tuple[list[str], list[int]]:
                 buffer.append(" ")
             elif name in VOID and name not in INLINE:
                 flush()
-            elif not closing and name not in VOID and rest and _is_site(name, rest, place != OPEN):
+            elif not closing and name not in VOID and rest and not rest.endswith("/") and _is_site(name, rest, place != OPEN):
                 flush()
                 stack.append((name, place, site))
                 site = True

@@ -20,6 +20,12 @@ SCHEMA = "page_id bigint, url string, html string, host int, path int, lines int
     ("<article><p>a</div></p></section>b</article>c", ["a", "b"]),
     ("<article><p>cut <a hre", ["cut"]), ("", []), ("plain text\n only", ["plain text only"]),
     ("<title>no</title><p>1 < 2 <3</p>", ["1 < 2 <3"]),
+    ('<article><p>One</p><svg class="i"/><p>Two</p><svg><text>no</text></svg>x<svg-icon></svg-icon>y</article>', ["One", "Two", "x", "y"]),
+    ("<title-bar>x</title-bar><article>a</article>", ["a"]), ("<article><select-box>a</select-box><p>b</article>", ["a", "b"]),
+    ("<article><p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>no</annotation></math> be.</article>", ["Let x=1 be."]),
+    ('<article><p>a</p><section id="comments"><p>no</p></section></article><section id=disqus_thread>no</section>', ["a"]),
+    ('<article><section id="notice-and-comment">a</section><div data-id="related">b</div><p data-role="menu">c</p>'
+     '<div title="its class=ad">d</div><div class="user-comments">no</div><span class="ad"/>e</article>', ["a", "b", "c", "d", "e"]),
     ("<article><p>a<img src=x>b<hr/>c</p><ul><li>d<li>e</ul></article>", ["ab", "c", "d", "e"]),
 ])
 def test_lines(page, expected):
@@ -111,7 +117,7 @@ def test_differencing_decides_beside_articles(own, other, expected):
 
 
 @pytest.mark.parametrize("element", [
-    "h2 id=related-work", "section id='notice-and-comment'", "section id=comments", "p id=share-price",
+    "h2 id=related-work", "section id='notice-and-comment'", "section id=commentary", "p id=share-price",
     "div class='form-factor'", "span class='ad-hoc'", "div class='share-price widget-theory'", "span class=comment",
     "p class=notice", "div id=cookie-recipes", "li id=social",
 ])
