@@ -2,7 +2,8 @@
 
 Every shingle is hashed once. The top bits of the hash choose a bin, and a bin keeps its
 smallest hash. An empty bin borrows from the first occupied bin of its own sequence of random
-bins, so the borrowing is independent from bin to bin. Of each bin the low four bits are kept,
+bins, so the borrowing is independent from bin to bin. A bin's hash is hashed with the number of
+the bin, so that bins which borrow from one bin differ, and of that the low four bits are kept,
 one hexadecimal digit. Two unrelated bins agree by chance in one case of 16, which the
 likeness corrects. DataFrame functions only.
 """
@@ -40,22 +41,20 @@ def with_fingerprint(df: DataFrame, text: str, out: str, width: int = 5) -> Data
     df = df.withColumn("_sorted", F.sort_array(hashes)).drop("_words")
     bin_of = lambda h: F.shiftrightunsigned(h, 64 - BIN_BITS)
     least = F.filter("_sorted", lambda h, i: (i == 0) | (bin_of(h) != bin_of(F.get("_sorted", i - 1))))
-    # Bin and digit in one number.
-    df = df.withColumn("_least", F.transform(least, lambda h: bin_of(h) * LOW + h.bitwiseAND(F.lit(LOW - 1)))) \
-        .drop("_sorted")
-    held = F.transform("_least", lambda v: F.floor(v / LOW))
-    free = F.array_except(F.sequence(F.lit(0).cast("bigint"), F.lit(bins - 1).cast("bigint")), held)
-    slots = F.sort_array(F.concat(F.transform("_least", lambda v: v + F.floor(v / LOW) * LOW + LOW),
-                                  F.transform(free, lambda b: b * 2 * LOW)))
-    df = df.withColumn("_bins", F.transform(slots, lambda v: F.when(v % (2 * LOW) >= LOW, v % LOW)))
+    slot = lambda b, h: F.struct(b.cast("int").alias("bin"), h.cast("bigint").alias("hash"))
+    df = df.withColumn("_least", F.transform(least, lambda h: slot(bin_of(h), h))).drop("_sorted")
+    free = F.array_except(F.sequence(F.lit(0), F.lit(bins - 1)), F.col("_least.bin"))
+    slots = F.sort_array(F.concat("_least", F.transform(free, lambda b: slot(b, F.lit(None)))))
+    df = df.withColumn("_bins", F.transform(slots, lambda s: s["hash"]))
 
     def borrowed(i: Column) -> Column:
         tries = [F.get("_bins", F.pmod(F.xxhash64(F.lit(t), i), F.lit(bins)).cast("int")) for t in range(PROBES)]
         ranked = F.array_min(F.transform("_least", lambda v: F.struct(
-            F.xxhash64(F.lit(PROBES), i, F.floor(v / LOW)).alias("rank"), (v % LOW).alias("digit"))))
-        return F.coalesce(*tries, ranked["digit"])
+            F.xxhash64(F.lit(PROBES), i, v["bin"]).alias("rank"), v["hash"].alias("hash"))))
+        return F.coalesce(*tries, ranked["hash"])
 
-    digits = F.transform("_bins", lambda v, i: F.hex(F.coalesce(v, borrowed(i)).cast("bigint")))
+    digits = F.transform("_bins", lambda v, i: F.hex(
+        F.xxhash64(F.coalesce(v, borrowed(i)), i).bitwiseAND(F.lit(LOW - 1))))
     packed = F.when(F.size("_least") > 0, F.lower(F.array_join(digits, ""))).otherwise(F.lit(""))
     return df.withColumn(out, packed).select(*names, out)
 

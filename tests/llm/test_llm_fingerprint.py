@@ -82,6 +82,14 @@ def test_short_texts_differ(spark):
     assert f[0] == f[2] != f[1] and f[3] != f[4] and f[5] == f[6] == f[7] == ""
 
 
+def test_unrelated_short_texts_are_unlike(spark):
+    texts = [f"only{i} three words{i}" for i in range(120)] + [f"a{i} b c d e f{i}" for i in range(120)]
+    rows = with_fingerprint(spark.createDataFrame(list(enumerate(texts)), "i int, text string"), "text", "f")
+    f = {x["i"]: x["f"] for x in rows.collect()}
+    same = [sum(a == b for a, b in zip(f[i], f[j])) / 2 ** BIN_BITS for i in f for j in f if i < j]
+    assert max(same) < 0.25 and abs(sum(same) / len(same) - 1 / 16) < 0.01
+
+
 def test_no_python_in_the_plan(spark):
     plan = fingerprint_edits(table(spark, [(1, "x"), (2, "y")]))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
