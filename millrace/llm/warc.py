@@ -25,25 +25,20 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.llm.common import written
-from millrace.session import scratch_path
+from millrace.session import qualified, scratch_path
+from millrace.sources.archives import open_store
 
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 SAMPLE = 64
 LOWEST = -2**63
+#: Compressed bytes that the reader unpacks at a time.
+CHUNK = 16 << 10
 
 
 def base32_sha1(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def _file_system(folder: str) -> tuple[fs.FileSystem, str]:
-    """The shared folder as executors open it: a local mount, HDFS, or an object store."""
-    for scheme in ("s3a://", "s3n://"):
-        if folder.startswith(scheme):
-            folder = "s3://" + folder[len(scheme):]
-    return fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
-
-
 def _record_id(page_id, key: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id}:{key}')}>"
 
@@ -115,6 +110,7 @@ def write_archives(pages: DataFrame, folder: str, shard_bytes: int = 128 << 20,
     Two payloads are equal if their SHA-256 is.
     """
     spark = pages.sparkSession
+    folder = qualified(spark, folder)
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), "url", payload.alias("payload"))
     rows = rows.withColumn("key", F.sha2("payload", 256))
@@ -141,7 +137,7 @@ def write_archives(pages: DataFrame, folder: str, shard_bytes: int = 128 << 20,
                    .select("shard", "page_id", "key", "kind", "refers", "url", "payload"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        system, place = _file_system(folder)
+        system, place = open_store(folder)
         out, mark = None, None
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
@@ -163,7 +159,7 @@ def write_archives(pages: DataFrame, folder: str, shard_bytes: int = 128 << 20,
                      "warc-report")
 
     def rename(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        system, place = _file_system(folder)
+        system, place = open_store(folder)
         for batch in batches:
             for name, temporary in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 source = f"{place}/_temporary/{temporary}"
@@ -188,12 +184,17 @@ def _bounds(rows: DataFrame, shards: int, n: int) -> np.ndarray:
 
 
 def _members(data: bytes) -> Iterator[bytes]:
-    while data:
-        unpack = zlib.decompressobj(31)
-        yield unpack.decompress(data)
-        if not unpack.eof:
-            raise ValueError("a gzip member is cut off")
-        data = unpack.unused_data
+    """Gzip members, one by one. What follows a member is copied up to a chunk only."""
+    view, at = memoryview(data), 0
+    while at < len(view):
+        unpack, parts = zlib.decompressobj(31), []
+        while not unpack.eof:
+            chunk = view[at:at + CHUNK]
+            if not chunk:
+                raise ValueError("a gzip member is cut off")
+            parts.append(unpack.decompress(chunk))
+            at += len(chunk) - len(unpack.unused_data)
+        yield b"".join(parts)
 
 
 def _fields(head: bytes) -> dict[str, str]:
@@ -204,19 +205,25 @@ def _fields(head: bytes) -> dict[str, str]:
 def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     """``page_id, url, payload_bytes, payload_digest, record_type, refers_to`` of every record.
 
-    Payload digests of responses are computed anew and must agree with the record's.
+    Payload digests of responses are computed anew and must agree with the record's. A file that
+    the manifest lists and that is missing, or has other bytes or records, raises an error.
     """
-    names = spark.read.schema("file string").json(f"{folder}/manifest")
-    found = (spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(folder)
-             .select("content", F.element_at(F.split("path", "/"), -1).alias("file")))
     # The manifest has a row a file; files that it does not list were never committed.
-    files = found.join(names.distinct(), "file", "left_semi").select("content")
+    listed = spark.read.schema("file string, records bigint, sha256 string").json(f"{folder}/manifest").distinct()
+    found = (spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(folder)
+             .withColumn("file", F.element_at(F.split("path", "/"), -1)))
+    missing = listed.join(found.select("file"), "file", "left_anti").first()
+    if missing is not None:
+        raise FileNotFoundError(f"{folder} lacks {missing['file']}, which its manifest lists")
+    files = found.select("content", "file").join(listed, "file").select("content", "file", "records", "sha256")
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for content in batch.column(0):
-                rows = []
-                for record in _members(content.as_py()):
+            for content, file, records, sha256 in zip(*(batch.column(i) for i in range(4))):
+                rows, data = [], content.as_py()
+                if hashlib.sha256(data).hexdigest() != sha256.as_py():
+                    raise ValueError(f"{file} has other bytes than its manifest says")
+                for record in _members(data):
                     head, _, rest = record.partition(b"\r\n\r\n")
                     fields = _fields(head)
                     http, _, body = rest[:int(fields["content-length"])].partition(b"\r\n\r\n")
@@ -227,6 +234,8 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
                     rows.append({"page_id": int(page) if page else None, "url": fields.get("warc-target-uri"),
                                  "payload_bytes": int(_fields(http)["content-length"]), "payload_digest": digest,
                                  "record_type": fields["warc-type"], "refers_to": int(refers) if refers else None})
+                if len(rows) != records.as_py():
+                    raise ValueError(f"{file} has {len(rows)} records, its manifest says {records}")
                 yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()),

@@ -8,7 +8,7 @@ import random
 
 import pytest
 
-from millrace.llm.warc import read_archives, write_archives
+from millrace.llm.warc import _member, _members, read_archives, write_archives
 
 SCHEMA = "page_id bigint, url string, html string, key int, kind int, refers int, shard int, payload int"
 
@@ -73,6 +73,29 @@ def test_files_outside_the_manifest_are_not_read(spark, tmp_path):
     assert read_archives(spark, folder).count() == 1
 
 
+def test_a_missing_or_changed_archive_raises(spark, tmp_path):
+    folder = f"{tmp_path}/w"
+    write_archives(table(spark, pages(), 2), folder, shard_bytes=1 << 20, roll_bytes=1500)
+    some = sorted(files(folder))[1]
+    whole = open(f"{folder}/{some}", "rb").read()
+    with open(f"{folder}/{some}", "wb") as f:
+        f.write(whole + _member(b"WARC/1.1\r\n\r\n"))
+    with pytest.raises(Exception, match="other bytes"):
+        read_archives(spark, folder).collect()
+    os.remove(f"{folder}/{some}")
+    with pytest.raises(FileNotFoundError, match=some):
+        read_archives(spark, folder)
+
+
+def test_members_of_any_length():
+    r = random.Random(5)
+    bodies = [r.randbytes(n) for n in (0, 1, 100_000, 16_384, 7, 300)] + [b"x" * 10**6] + [b"small"] * 20_000
+    data = b"".join(map(_member, bodies))
+    assert list(_members(data)) == bodies
+    with pytest.raises(ValueError):
+        list(_members(data[:-1]))
+
+
 def test_empty_table(spark, tmp_path):
     folder = f"{tmp_path}/e"
     assert write_archives(table(spark, [], 1), folder).collect() == []
