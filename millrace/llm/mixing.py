@@ -6,6 +6,9 @@ the children by weight. A child that cannot use its share (its documents, repeat
 weight; only what a whole subtree cannot use goes to the siblings of its parent, because a
 node's budget never exceeds what lies below it. Each leaf then takes whole epochs of its
 documents and a prefix of one more epoch, in an order that the seed and the epoch determine.
+A prefix ends where the next document does not fit, so leaves fall short of their shares. What
+they leave lets prefixes reach one document further: first among siblings, then within the
+domain, last in the whole tree.
 
 DataFrame functions only. The prefix is found from token sums of slices of the seeded order;
 running sums are formed within a slice, so a leaf with a third of all rows is no hot group.
@@ -82,17 +85,41 @@ def _share(children: DataFrame, path: list[str], upper: list[str]) -> DataFrame:
         "case when is_full then room when open_w = 0 then 0 else w * (share - full_room) div open_w end"))
 
 
+def _extended(prefixes: DataFrame) -> DataFrame:
+    """``leaf, upto_most`` from ``leaf, rest, used, next_upto``: how far a leaf's prefix goes.
+
+    The tokens that the leaves of a family leave (``rest - used``) pay for whole next documents, the
+    shortest first, as far as they go; what is left goes to the family above. The root's last
+    document may cost more than is left.
+    """
+    names = [F.col(f"leaf.p_{c}") for c in LEVELS]
+    order = [F.col("size").asc(), *[n.asc_nulls_first() for n in names]]
+    rows = (prefixes.withColumn("size", F.col("next_upto") - F.col("used"))
+            .withColumn("left", F.col("rest") - F.col("used")).withColumn("given", F.lit(False)))
+    for depth in reversed(range(len(LEVELS))):
+        family = Window.partitionBy(*names[:depth])
+        open_size = F.when(F.col("given"), 0).otherwise(F.col("size"))
+        paid = F.when(F.col("given"), F.col("size")).otherwise(0)
+        rows = (rows.withColumn("pool", F.sum(F.col("left") - paid).over(family))
+                .withColumn("upward", F.sum(open_size).over(
+                    family.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow))))
+        fits = F.col("upward") <= F.col("pool") if depth else F.col("upward") - F.col("size") < F.col("pool")
+        rows = rows.withColumn("given", F.col("given") | fits)
+    return rows.select("leaf", F.when(F.col("given"), F.col("next_upto")).otherwise(F.col("rest")).alias("upto_most"))
+
+
 def mix(docs: DataFrame, weights: Mapping[str, Mapping[str, int]], domain: Column, percent: int = 100,
         epochs: int = 1, seed: int = 0, reach: bool = False) -> DataFrame:
     """Rows of ``docs`` (``row``), drawn to ``weights``: ``row, domain, n_tokens, epoch``.
 
     The budget is ``percent`` of all tokens of ``docs``. A document is drawn once for each
     epoch it is part of. The prefix of a leaf's last epoch takes documents in seeded order
-    while their running token sum stays within what is left of the leaf's share, so one document
-    longer than what is left ends it, and the leaf may fall short by less than that document's
-    tokens. With ``reach`` the prefix takes the document in which it ends too: no leaf falls short,
-    and each exceeds its share by less than the tokens of one of its documents, so all together
-    exceed the budget by less than the sum of the longest document of each leaf.
+    while their running token sum stays within what is left of the leaf's share; one document
+    longer than what is left ends it. The tokens that leaves leave in this way take one more document each of
+    other prefixes, the shortest first, among siblings, then in the domain, then anywhere. All together
+    reach the sum of the shares and exceed it by less than the last such document. With ``reach`` every prefix takes the document in which it ends
+    instead: no leaf falls short, and each exceeds its share by less than one of its documents, so all
+    together exceed the budget by less than the sum of the longest document of each leaf.
 
     Null or wordless texts have no tokens: they belong to every epoch of their leaf, but to
     the prefix only up to where it ends. Null languages, sources and domains are leaves of
@@ -124,7 +151,17 @@ def mix(docs: DataFrame, weights: Mapping[str, Mapping[str, int]], domain: Colum
               .select("leaf", "slice", F.coalesce(F.sum("tokens").over(ahead), F.lit(0)).alias("base")))
     within = Window.partitionBy("leaf", "slice").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
     summed = placed.join(slices, ["leaf", "slice"]).withColumn("upto", F.col("base") + F.sum("n_tokens").over(within))
-    taken = F.col("upto") - F.col("n_tokens") < F.col("rest") if reach else F.col("upto") <= F.col("rest")
+    if reach:
+        taken = F.col("upto") - F.col("n_tokens") < F.col("rest")
+    else:
+        # One row a leaf.
+        beyond = F.col("upto") > F.col("rest")
+        prefixes = (summed.where("rest > 0").groupBy("leaf").agg(
+            F.first("rest").alias("rest"), F.coalesce(F.max(F.when(~beyond, F.col("upto"))), F.lit(0)).alias("used"),
+            F.min(F.when(beyond, F.col("upto"))).alias("next_upto")))
+        most = _extended(prefixes)
+        summed = summed.join(F.broadcast(most) if small else most, "leaf", "left")
+        taken = F.col("upto") <= F.col("upto_most")
     drawn = F.concat(
         F.when(F.col("whole") > 0, F.sequence(F.lit(0), F.col("whole").cast("int") - 1))
         .otherwise(F.array().cast("array<int>")),

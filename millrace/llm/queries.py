@@ -174,6 +174,19 @@ def _level_sql(path: list[str], parent: str | None) -> str:
                      sum(CASE WHEN is_full THEN 0 ELSE w END) OVER ({family})::BIGINT AS open_w FROM r_{level}))"""
 
 
+def _given_sql(name: str, family: str, below: str) -> str:
+    """Next documents that the unused tokens of a family pay for, as CTE ``g_<name>``."""
+    over = f"PARTITION BY {family}" if family else ""
+    fits = "upward <= pool" if family else "upward - size < pool"
+    return f"""
+    g_{name} AS (
+        SELECT * EXCLUDE (pool, upward) REPLACE (given OR {fits} AS given) FROM (
+            SELECT *, sum(unused - CASE WHEN given THEN size ELSE 0 END) OVER ({over}) AS pool,
+                   sum(CASE WHEN given THEN 0 ELSE size END) OVER ({over} ORDER BY size, domain NULLS FIRST,
+                       lang NULLS FIRST, source NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upward
+            FROM g_{below}))"""
+
+
 @query("op3_source_mix", f"""
     WITH docs AS (
         SELECT doc_id, text, lang, source,
@@ -195,9 +208,18 @@ def _level_sql(path: list[str], parent: str | None) -> str:
                    md5(concat({MIX["seed"]}, ':', whole, ':', doc_id, ':', md5(coalesce(text, ''))))
                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
         FROM docs d JOIN plan p ON d.domain IS NOT DISTINCT FROM p.domain AND d.lang IS NOT DISTINCT FROM p.lang
-                  AND d.source IS NOT DISTINCT FROM p.source)
-    SELECT doc_id, domain, lang, source, n_tokens, epoch::INT AS epoch
-    FROM ranked, LATERAL (SELECT unnest(range(0, whole + CASE WHEN rest > 0 AND upto <= rest THEN 1 ELSE 0 END)) AS epoch)""")
+                  AND d.source IS NOT DISTINCT FROM p.source),
+    g_none AS (
+        SELECT *, rest - used AS unused, next_upto - used AS size, false AS given FROM (
+            SELECT domain, lang, source, any_value(rest) AS rest, min(CASE WHEN upto > rest THEN upto END) AS next_upto,
+                   coalesce(max(CASE WHEN upto <= rest THEN upto END), 0) AS used
+            FROM ranked WHERE rest > 0 GROUP BY domain, lang, source)),
+    {_given_sql("lang", "domain, lang", "none")}, {_given_sql("domain", "domain", "lang")}, {_given_sql("root", "", "domain")}
+    SELECT r.doc_id, r.domain, r.lang, r.source, r.n_tokens, epoch::INT AS epoch
+    FROM ranked r LEFT JOIN g_root g ON r.domain IS NOT DISTINCT FROM g.domain AND r.lang IS NOT DISTINCT FROM g.lang
+         AND r.source IS NOT DISTINCT FROM g.source,
+    LATERAL (SELECT unnest(range(0, whole + CASE WHEN r.rest > 0 AND upto <= CASE WHEN given THEN next_upto ELSE g.rest END
+                                            THEN 1 ELSE 0 END)) AS epoch)""")
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Every document is counted and ranked; only its row's narrow columns leave the operator here.
     drawn = mix(table(spark, sf_dir, "documents"), MIX_WEIGHTS, source_domain(), **MIX)
