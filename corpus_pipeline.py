@@ -44,11 +44,11 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources are cut to their target weights; a long document does not leave a source short.
+    """Sources are cut to their target weights; tokens that a long document leaves go to other sources.
 
     Null sources and languages are leaves of their own; documents without words cost nothing.
     """
-    drawn = mix(docs, WEIGHTS, source_domain(), percent=PERCENT, epochs=1, seed=SEED, reach=True)
+    drawn = mix(docs, WEIGHTS, source_domain(), percent=PERCENT, epochs=1, seed=SEED)
     return drawn.select(*[f"row.`{c}`" for c in docs.columns])
 
 
