@@ -14,7 +14,7 @@ the pairs of a bucket are never all formed:
 3. A far node u is compared with a node y of another component only if that can be a link.
    With |u & c| and |y & c| known for the centre c, a link needs a certain overlap of u and
    y, of which c can give at most the smaller of the two. What is missing must be shared
-   shingles outside of c, found by a join on such shingles (prefixes in hash order); nothing
+   shingles outside of c, found by a join on such shingles (prefixes, the rarest first); nothing
    can be missing only if y is small enough, found by a join on sizes.
 
 A bucket whose nodes all hang together, however many, therefore costs one comparison a node.
@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from millrace.llm.common import WordHashes, ascii_words, mix, shingle_set, slices, written
 from millrace.llm.components import connected_components
@@ -260,7 +260,7 @@ def _open_pairs(members: DataFrame, components: DataFrame, compared: DataFrame,
     outside = written(_outside(around.select(F.col("node").alias("a"), F.col("centre").alias("b"), "beyond"),
                                payload, width), "outside")
     facts = ["node", "centre", "component", "home", "n", "shared"]
-    outside = outside.join(around.select(*facts), ["node", "centre"])
+    outside = written(_rare_prefixes(outside), "prefixes").join(around.select(*facts), ["node", "centre"])
     step = 0.04
     bin_of = lambda size: F.floor(F.log(size) / step).cast("int")
     # Without sharing anything beyond the centre, y must be this small.
@@ -268,24 +268,52 @@ def _open_pairs(members: DataFrame, components: DataFrame, compared: DataFrame,
     least = F.col("n") * percent / 100 - 1e-6
     small = around.where((F.col("component") != F.col("home")) & (most >= least)).withColumn(
         "bin", F.explode(F.sequence(bin_of(least), bin_of(most))))
-    pairs = None
-    for x, y, on in ((outside.where("component <> home"), outside, ["centre", "shingle"]),
-                     (small, around.withColumn("bin", bin_of(F.col("n"))), ["centre", "bin"])):
-        x = x.select(*on, *[F.col(c).alias(f"x_{c}") for c in facts if c != "centre"])
-        y = y.select(*on, *[F.col(c).alias(f"y_{c}") for c in facts if c != "centre"])
-        found = x.join(y, on).where(
-            "x_component <> y_component and (y_component = y_home or x_node < y_node) "
-            f"and 100 * least(x_n, y_n) >= {percent} * greatest(x_n, y_n)")
-        if "bin" in on:
-            found = found.where(f"least(x_shared, y_shared) + 1e-6 >= {need} * (x_n + y_n)")
-        found = found.select(F.greatest("x_node", "y_node").alias("a"), F.least("x_node", "y_node").alias("b"))
-        pairs = found if pairs is None else pairs.union(found)
-    return pairs.distinct()
+    wanted = (f"x_component <> y_component and (y_component = y_home or x_node < y_node) "
+              f"and 100 * least(x_n, y_n) >= {percent} * greatest(x_n, y_n)")
+    lacking = f"{need} * (x_n + y_n) - least(x_shared, y_shared) - 1e-6"
+
+    def sided(side: str, rows: DataFrame, on: list[str]) -> DataFrame:
+        return rows.select(*on, *[F.col(c).alias(f"{side}_{c}") for c in rows.columns if c not in on])
+
+    on = ["centre", "list"]
+    found = sided("x", outside.where("component <> home"), on).join(sided("y", outside, on), on).where(wanted)
+    # Shared shingles in both prefixes are counted; others lie behind one of the two.
+    found = (found.groupBy("centre", "x_node", "y_node")
+             .agg(F.sum(F.least("x_weight", "y_weight")).alias("met"), F.first(F.greatest("x_behind", "y_behind")).alias("behind"),
+                  F.first(F.expr(lacking)).alias("lacking")).where("met + behind >= lacking"))
+    on = ["centre", "bin"]
+    alike = sided("x", small, on).join(sided("y", around.withColumn("bin", bin_of(F.col("n"))), on), on)
+    alike = alike.where(f"{wanted} and {lacking} <= 0")
+    pair = [F.greatest("x_node", "y_node").alias("a"), F.least("x_node", "y_node").alias("b")]
+    return found.select(*pair).union(alike.select(*pair)).distinct()
+
+
+def _rare_prefixes(outside: DataFrame) -> DataFrame:
+    """``node, centre, list, weight, behind``: prefixes of at least ``upto`` shingles, rarest first.
+
+    Nodes that share enough shingles share one of their prefixes if all prefixes follow one
+    order. Here it is the count around the centre, so a passage of many nodes comes last.
+    Shingles that the same nodes have are one entry, ``list``, with their number, ``weight``;
+    an entry is in a prefix with all its shingles. A shingle that only one node has takes its
+    place in the prefix, but joins nothing. ``behind`` shingles of the node follow its prefix.
+    """
+    lists = (outside.groupBy("shingle").agg(F.count(F.lit(1)).alias("often"), F.bit_xor(F.xxhash64("node")).alias("list"))
+             .where("often > 1"))
+    met = outside.join(lists, "shingle").groupBy("node", "centre", "often", "list").agg(
+        F.count(F.lit(1)).alias("weight"), F.first("upto").alias("upto"), F.first("size").alias("size"))
+    own = Window.partitionBy("node", "centre")
+    met = (met.withColumn("met", F.sum("weight").over(own))
+           .withColumn("before", F.sum("weight").over(own.orderBy("often", "list")) - F.col("weight")))
+    # The shingles of one node alone come first.
+    met = met.withColumn("within", F.expr("before < upto - (size - met)"))
+    behind = F.col("met") - F.sum(F.when(F.col("within"), F.col("weight")).otherwise(0)).over(own)
+    return met.withColumn("behind", behind).where("within").select("node", "centre", "list", "weight", "behind")
 
 
 def _outside(pairs: DataFrame, payload: DataFrame, width: int) -> DataFrame:
-    """``node, centre, shingle``: a prefix, in hash order, of the node's shingles outside of the
-    centre's set. Two nodes that share ``beyond`` such shingles share one of their prefixes."""
+    """``node, centre, shingle, size, upto``: the ``size`` shingles of the node outside of the
+    centre's set. Two nodes that share ``beyond`` of them share one of the first ``upto``, in
+    any common order. ``shingle`` is a hash that differs from centre to centre."""
     joined = (pairs.join(payload.select(F.col("node").alias("a"), F.col("payload").alias("left")), "a")
               .join(payload.select(F.col("node").alias("b"), F.col("payload").alias("right")), "b")
               .select("a", "b", "left", "right", "beyond"))
@@ -294,16 +322,22 @@ def _outside(pairs: DataFrame, payload: DataFrame, width: int) -> DataFrame:
         sets = _Sets(width)
         for batch in slices(batches):
             a, b, left, right, beyond = (c.to_pylist() for c in batch.columns)
-            rows, shingles = [], []
+            rows, shingles, sizes = [], [], []
             for i in range(len(a)):
                 own, centre = sets(left[i]), sets.kept(b[i], right[i])
                 rest = np.setdiff1d(own, centre, assume_unique=True)
-                rest = rest[:len(rest) - max(beyond[i], 1) + 1] if len(rest) >= beyond[i] else rest[:0]
+                rest = rest if len(rest) >= beyond[i] else rest[:0]
                 rows.append(np.full(len(rest), i))
-                shingles.append(rest)
-            rows = pa.array(np.concatenate(rows) if rows else [], pa.int64())
+                shingles.append(mix(rest ^ np.uint64(xxhash.xxh3_64_intdigest(b[i]))))
+                sizes.append(len(rest))
+            rows = np.concatenate(rows) if rows else np.empty(0, np.int64)
+            sizes = np.array(sizes, np.int32)[rows]
+            upto = sizes - np.maximum(np.array(beyond, np.int64), 1)[rows] + 1
             codes = np.concatenate(shingles).view(np.int64) if shingles else []
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows),
-                                              pa.array(codes, pa.int64())], names=["node", "centre", "shingle"])
+            rows = pa.array(rows, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(codes, pa.int64()),
+                 pa.array(sizes, pa.int32()), pa.array(upto, pa.int32())],
+                names=["node", "centre", "shingle", "size", "upto"])
 
-    return joined.mapInArrow(run, "node binary, centre binary, shingle bigint")
+    return joined.mapInArrow(run, "node binary, centre binary, shingle bigint, size int, upto int")

@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 
 from millrace.llm import suffixes
-from millrace.llm.minmax import band_count, first_of_groups, near_duplicates
+from millrace.llm.minmax import _rare_prefixes, band_count, first_of_groups, near_duplicates
 from millrace.llm.suffixes import difference_cover, remove_repeats
 
 SCHEMA = "doc_id bigint, text string, node string, key int, removed int, block int"
@@ -117,6 +117,49 @@ def test_groups_equal_brute_force(spark, seed, percent):
     assert sorted((repr(k) for k in kept if not shingles(k[1]))) == sorted(repr(d) for d in docs if not shingles(d[1]))
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_a_family_with_shared_edits_equals_brute_force(spark, percent):
+    """Every edit is made in many copies of one text, and a passage stands in many others."""
+    r = random.Random(percent)
+    base = prose(r, 90).split()
+    texts = []
+    for _ in range(120):
+        words = list(base)
+        for at in r.sample(range(90), r.randint(0, 4)):
+            words[at] = f"edit{at % 30}"
+        texts.append(" ".join(words))
+    texts += [prose(r, r.randint(2, 25)) + " " + " ".join(base[:60]) + " " + prose(r, r.randint(0, 12)) for _ in range(60)]
+    docs = list(enumerate(texts))
+    got = sorted(tuple(x) for x in near_duplicates(spark.createDataFrame(rows(docs), SCHEMA), percent).collect())
+    assert got == sorted(groups_by_force(docs, percent))
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_rare_prefixes_lose_no_pair(spark, seed):
+    r = random.Random(seed)
+    least = 6
+    sets = {i: set(r.sample(range(40), r.randint(3, 14))) | set(r.sample(range(100, 108), r.randint(0, 8)))
+            | ({500, 501, 502} if i % 2 else set()) for i in range(60)}
+    sets |= {60: sets[3] | {900}, 61: sets[4], 62: set(range(1000, 1010))}
+    table = [(bytes([i]), b"c", s, len(v), len(v) - least + 1) for i, v in sets.items() if len(v) >= least for s in sorted(v)]
+    out = _rare_prefixes(spark.createDataFrame(table, "node binary, centre binary, shingle bigint, size int, upto int")).collect()
+    entries, behind = {}, {}
+    for x in out:
+        entries.setdefault(x["node"][0], {})[x["list"]] = x["weight"]
+        behind[x["node"][0]] = x["behind"]
+    assert 62 not in entries
+    met = pruned = 0
+    for i in sets:
+        for j in range(i):
+            mine, other = entries.get(i, {}), entries.get(j, {})
+            both = sum(w for key, w in mine.items() if key in other)
+            if len(sets[i] & sets[j]) >= least:
+                assert both and both + max(behind[i], behind[j]) >= len(sets[i] & sets[j])
+                met += 1
+            pruned += not both
+    assert met and pruned
+
+
 def test_groups_of_an_empty_table(spark):
     assert near_duplicates(spark.createDataFrame([], SCHEMA)).collect() == []
     assert first_of_groups(spark.createDataFrame([], SCHEMA)).collect() == []
