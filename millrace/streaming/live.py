@@ -1,7 +1,7 @@
 """Live scoring with Structured Streaming, by event time.
 
 Rows of a key may arrive in any order within ``late``; results do not depend on how they are
-dealt out to micro-batches. ``history.released_blocks`` holds rows back until the watermark has
+dealt out to micro-batches. ``history.released`` holds rows back until the watermark has
 passed them and gives them out in event-time order, with the rows before them that their windows
 reach back to; its state is split by key and time, so no key is bound to one task. Scoring is a
 stage of its own, over blocks dealt out anew.
@@ -23,7 +23,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
 
 from millrace.operators.windows import WINDOWS_PER_CALL
-from millrace.streaming.history import END, LAST, load, released_blocks
+from millrace.streaming.history import BUCKETS, END, LAST, OWN, PIECE, load, released
 
 # Bound on the files of one micro-batch. It does not influence results.
 BYTES_PER_TRIGGER = 1 << 30
@@ -80,18 +80,20 @@ def replay_all(sources: dict[str, tuple[DataFrame, str]], build: Callable[..., D
 
 
 def _scored(blocks: DataFrame, stream: DataFrame, by: Sequence[str], order_by: Sequence[str],
-            result: str, each: Callable[[pd.DataFrame, int], Iterator[pd.DataFrame]]) -> DataFrame:
-    """``each(rows, lead)`` on every block, wherever its key's other blocks are scored."""
+            result: str, each: Callable[[pd.DataFrame, np.ndarray, np.ndarray], Iterator[pd.DataFrame]]) -> DataFrame:
+    """``each(rows, start, own)`` on every block: the rows ``own``, whose pieces begin with the rows ``start``."""
     types = {f.name: f.dataType.simpleString() for f in stream.schema}
-    keys, order = list(by), list(order_by)
+    keys = list(dict.fromkeys([*by, *order_by]))
 
     def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for record in frame.to_dict("records"):
-                for out in each(load(record["rows"]), record["lead"]):
-                    yield out.assign(**{c: record[c] for c in keys})[[*keys, *out.columns]]
+            for block in frame["rows"]:
+                rows = load(block)
+                begins = np.flatnonzero(np.r_[True, np.diff(rows[PIECE]) != 0])
+                own = np.flatnonzero(rows[OWN])
+                yield from each(rows, begins[rows[PIECE].to_numpy()[own]], own)
 
-    schema = ", ".join([*[f"`{c}` {types[c]}" for c in dict.fromkeys([*keys, *order])], result])
+    schema = ", ".join([*[f"`{c}` {types[c]}" for c in keys], result])
     width = int(stream.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = blocks.withColumn("deal", F.xxhash64("rows")).repartition(width, "deal")
     return dealt.mapInPandas(score, schema)
@@ -100,49 +102,52 @@ def _scored(blocks: DataFrame, stream: DataFrame, by: Sequence[str], order_by: S
 def ring_buffer(stream: DataFrame, by: Sequence[str], order_by: Sequence[str],
                 columns: Sequence[str], size: int, score: Callable[[np.ndarray], dict],
                 result: str, late: str, pad: bool = True, expire_ms: int | None = None,
-                span_ms: int = SPAN_MS) -> DataFrame:
+                span_ms: int = SPAN_MS, buckets: int = BUCKETS) -> DataFrame:
     """Score, for every row, the window of the last ``size`` rows of its key.
 
     ``order_by`` begins with the event time (a timestamp) and should identify a row of the
     key. A window that is not full yet is padded on the left with the oldest row, or with
     ``pad=False`` left out. ``score`` maps [n, size, features] to columns. After a pause of
-    more than ``expire_ms`` a key starts anew. ``span_ms``: as in ``released_blocks``.
+    more than ``expire_ms`` a key starts anew. ``span_ms``, ``buckets``: as in ``released``.
     """
-    names, order, columns = StructType.fromDDL(result).names, list(order_by), list(columns)
+    names, keys, columns = StructType.fromDDL(result).names, list(dict.fromkeys([*by, *order_by])), list(columns)
 
-    def each(rows: pd.DataFrame, lead: int) -> Iterator[pd.DataFrame]:
-        values = rows[columns].to_numpy(dtype=float)
-        own = rows[order].iloc[lead:].reset_index(drop=True)
-        missing = max(0, size - 1 - lead)
+    def each(rows: pd.DataFrame, start: np.ndarray, own: np.ndarray) -> Iterator[pd.DataFrame]:
+        values, before = rows[columns].to_numpy(dtype=float), size - 1
         if pad:
-            values = np.vstack([np.repeat(values[:1], missing, axis=0), values])
+            # The first own row of a piece needs the most rows before it.
+            pieces, first = np.unique(start, return_index=True)
+            repeats = np.ones(len(rows), int)
+            repeats[pieces] += np.maximum(0, before - (own - start)[first])
+            values, ends = np.repeat(values, repeats, axis=0), (np.cumsum(repeats) - 1)[own]
         else:
-            own = own.iloc[missing:].reset_index(drop=True)
+            own = ends = own[own - start >= before]
         if not len(own):
             return
-        views = np.lib.stride_tricks.sliding_window_view(values, size, axis=0)[-len(own):]
+        views = np.lib.stride_tricks.sliding_window_view(values, size, axis=0)
         for at in range(0, len(own), WINDOWS_PER_CALL):
-            out = own.iloc[at:at + WINDOWS_PER_CALL].reset_index(drop=True)
-            scored = score(views[at:at + WINDOWS_PER_CALL].transpose(0, 2, 1))
+            out = rows[keys].iloc[own[at:at + WINDOWS_PER_CALL]].reset_index(drop=True)
+            scored = score(views[ends[at:at + WINDOWS_PER_CALL] - before].transpose(0, 2, 1))
             yield out.assign(**{name: scored[name] for name in names})
 
-    blocks = released_blocks(stream, by, order_by, columns, size, late, span_ms, expire_ms)
+    blocks = released(stream, by, order_by, columns, size, late, span_ms, expire_ms, buckets)
     return _scored(blocks, stream, by, order_by, result, each)
 
 
 def rolling_values(stream: DataFrame, by: Sequence[str], order_by: Sequence[str],
                    columns: Sequence[str], late: str, n: int = 100, expire_ms: int | None = None,
-                   span_ms: int = SPAN_MS) -> DataFrame:
+                   span_ms: int = SPAN_MS, buckets: int = BUCKETS) -> DataFrame:
     """The last ``n`` values of every column up to each row; fewer for a key's first rows."""
-    order = list(order_by)
+    keys = list(dict.fromkeys([*by, *order_by]))
 
-    def each(rows: pd.DataFrame, lead: int) -> Iterator[pd.DataFrame]:
-        for at in range(lead, len(rows), WINDOWS_PER_CALL):
-            stop = min(len(rows), at + WINDOWS_PER_CALL)
-            out = rows[order].iloc[at:stop].reset_index(drop=True)
-            yield out.assign(**{f"{c}_history": [rows[c].to_numpy(dtype=float)[max(0, i - n + 1):i + 1]
-                                                 for i in range(at, stop)] for c in columns})
+    def each(rows: pd.DataFrame, start: np.ndarray, own: np.ndarray) -> Iterator[pd.DataFrame]:
+        since, values = np.maximum(start, own - n + 1), {c: rows[c].to_numpy(dtype=float) for c in columns}
+        for at in range(0, len(own), WINDOWS_PER_CALL):
+            stop = min(len(own), at + WINDOWS_PER_CALL)
+            out = rows[keys].iloc[own[at:stop]].reset_index(drop=True)
+            spans = list(zip(since[at:stop].tolist(), (own[at:stop] + 1).tolist()))
+            yield out.assign(**{f"{c}_history": [v[i:j] for i, j in spans] for c, v in values.items()})
 
     result = ", ".join(f"{c}_history array<double>" for c in columns)
-    blocks = released_blocks(stream, by, order_by, columns, n, late, span_ms, expire_ms)
+    blocks = released(stream, by, order_by, columns, n, late, span_ms, expire_ms, buckets)
     return _scored(blocks, stream, by, order_by, result, each)

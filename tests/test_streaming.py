@@ -253,3 +253,27 @@ def test_a_running_query_goes_on_where_it_stopped(spark, files):
     query.processAllAvailable()
     query.stop()
     assert live.drain(stream, path).count() == N
+
+
+def counted(function, path):
+    """``function``, which leaves a mark in a file at every call, in whatever process."""
+    def call(*args):
+        with open(path, "ab") as marks:
+            marks.write(b".")
+        return function(*args)
+    return call
+
+
+def many_keys(spark, n=2_000):
+    path = scratch_path(spark, "in")
+    keys = spark.range(n).select(F.col("id").cast("string").alias("k"), F.timestamp_seconds(F.col("id") + 1).alias("ts"),
+                                 F.col("id").cast("int").alias("t"), F.col("id").cast("double").alias("x"))
+    keys.coalesce(1).write.parquet(path)
+    return source(spark, path)
+
+
+def test_state_has_no_call_for_every_key(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(history, "dump", counted(history.dump, str(tmp_path / "calls")))
+    got = to_the_end(spark, many_keys(spark), lambda r: live.ring_buffer(
+        r, ["k"], ["ts", "t"], ["x"], 7, mean, "m double, first double", LATE_TEXT, span_ms=10_000_000))
+    assert got.count() == 2_000 and 0 < (tmp_path / "calls").stat().st_size < 2_000
