@@ -277,3 +277,11 @@ def test_state_has_no_call_for_every_key(spark, monkeypatch, tmp_path):
     got = to_the_end(spark, many_keys(spark), lambda r: live.ring_buffer(
         r, ["k"], ["ts", "t"], ["x"], 7, mean, "m double, first double", LATE_TEXT, span_ms=10_000_000))
     assert got.count() == 2_000 and 0 < (tmp_path / "calls").stat().st_size < 2_000
+
+
+def test_full_windows_of_keys_in_one_bucket(spark, files):
+    got = to_the_end(spark, source(spark, files), lambda rows: live.ring_buffer(
+        rows, ["k"], ["ts", "t"], ["x"], 7, mean, "m double, first double", LATE_TEXT, pad=False, span_ms=9_000, buckets=1))
+    live_rows = sorted((r.k, r.ts, round(r.m, 12), r.first) for r in got.collect())
+    batch = map_windows(spark.read.parquet(files), ["k"], ["ts", "t"], ["x"], 7, mean, "m double, first double")
+    assert live_rows == sorted((r.k, r.end_ts, round(r.m, 12), r.first) for r in batch.collect())
