@@ -285,3 +285,15 @@ def test_full_windows_of_keys_in_one_bucket(spark, files):
     live_rows = sorted((r.k, r.ts, round(r.m, 12), r.first) for r in got.collect())
     batch = map_windows(spark.read.parquet(files), ["k"], ["ts", "t"], ["x"], 7, mean, "m double, first double")
     assert live_rows == sorted((r.k, r.end_ts, round(r.m, 12), r.first) for r in batch.collect())
+
+
+def test_padded_windows_of_keys_in_one_bucket(spark, files, monkeypatch):
+    monkeypatch.setattr(history, "BLOCK_ROWS", 20)
+    got = to_the_end(spark, source(spark, files), lambda rows: live.ring_buffer(
+        rows, ["k"], ["ts", "t"], ["x"], 7, mean, "m double, first double", LATE_TEXT, span_ms=9_000, buckets=1))
+    got = {(r.k, r.t): (r.m, r.first) for r in got.collect()}
+    batch = padded_windows(spark.read.parquet(files), ["k"], ["ts", "t"], ["x"], 7).collect()
+    assert len(got) == len(batch) == N
+    for r in batch:
+        values = [s.x for s in r.steps]
+        np.testing.assert_allclose(got[r.k, r.t], (np.mean(values), values[0]))
