@@ -297,3 +297,17 @@ def test_padded_windows_of_keys_in_one_bucket(spark, files, monkeypatch):
     for r in batch:
         values = [s.x for s in r.steps]
         np.testing.assert_allclose(got[r.k, r.t], (np.mean(values), values[0]))
+
+
+def test_histories_of_keys_in_one_bucket(spark, files):
+    """Pauses of one key do not end those of others."""
+    past, expected = {}, {}
+    for k, ts, t, x in rows_of():
+        since = past.setdefault(k, [])
+        if since and (ts - since[-1][0]).total_seconds() > 3:
+            since.clear()
+        since.append((ts, x))
+        expected[k, t] = [x for _, x in since[-5:]]
+    got = to_the_end(spark, source(spark, files), lambda r: live.rolling_values(
+        r, ["k"], ["ts", "t"], ["x"], LATE_TEXT, 5, expire_ms=3_000, span_ms=11_000, buckets=1)).collect()
+    assert len(got) == N and {(r.k, r.t): r.x_history for r in got} == expected
