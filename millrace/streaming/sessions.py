@@ -3,7 +3,8 @@
 Rows are first merged by key and second in the scan's task, so a key with most of the rows reaches
 its state as a fraction of them. The state holds first time, last time and rows of the sequences
 that a row may still join, whatever order rows arrive in; a timer closes a sequence once the
-watermark has passed it by more than the pause. Pauses are counted in whole seconds, as in
+watermark has passed it by more than the pause. Keys are dealt into buckets, and a call serves all
+keys of one. Pauses are counted in whole seconds, as in
 ``split_sequences_by_gap``.
 """
 
@@ -18,7 +19,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from millrace.streaming.history import END
+from millrace.streaming.history import BLOCK_ROWS, BUCKETS, END, bucket, dump, key_numbers, load
 
 # See ``history``.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -26,69 +27,70 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 MICROS = 1_000_000
 
 
-def merged(spans: np.ndarray, gap: int) -> np.ndarray:
-    """Rows of (first, last, count) in microseconds, joined where at most ``gap`` seconds lie between."""
-    if not len(spans):
-        return spans.reshape(0, 3)
-    spans = spans[np.argsort(spans[:, 0], kind="stable")]
-    latest = np.maximum.accumulate(spans[:, 1])
-    starts = np.flatnonzero(np.r_[True, spans[1:, 0] // MICROS - latest[:-1] // MICROS > gap])
-    return np.column_stack([spans[starts, 0], np.maximum.reduceat(spans[:, 1], starts),
-                            np.add.reduceat(spans[:, 2], starts)])
+def merged(spans: pd.DataFrame, by: Sequence[str], gap: int) -> pd.DataFrame:
+    """Rows of a key with ``first``, ``last``, ``n``, joined where at most ``gap`` seconds lie between."""
+    spans = spans.assign(__key=key_numbers(spans, by)).sort_values(["__key", "first"], kind="stable", ignore_index=True)
+    keys, first, n = (spans[c].to_numpy() for c in ("__key", "first", "n"))
+    latest = spans.groupby("__key")["last"].cummax().to_numpy()
+    starts = np.flatnonzero(np.r_[True, (np.diff(keys) != 0) | (first[1:] // MICROS - latest[:-1] // MICROS > gap)])
+    return spans[list(by)].take(starts).reset_index(drop=True).assign(
+        first=first[starts], last=np.maximum.reduceat(spans["last"].to_numpy(), starts), n=np.add.reduceat(n, starts))
 
 
 class _Open(StatefulProcessor):
-    """The sequences of one key that the watermark has not passed."""
+    """The sequences of a bucket's keys that the watermark has not passed."""
 
     def __init__(self, by: Sequence[str], gap: int):
         self.by, self.gap = list(by), gap
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.spans = handle.getValueState("spans", "spans binary")
+        self.spans = handle.getListState("spans", "spans binary")
 
-    def _held(self) -> np.ndarray:
-        held = self.spans.get()[0] if self.spans.exists() else b""
-        return np.frombuffer(held, np.int64).reshape(-1, 3)
+    def _held(self) -> list[pd.DataFrame]:
+        return [load(block) for block, in self.spans.get()]
 
-    def _frame(self, key, spans: np.ndarray, late: bool) -> pd.DataFrame:
-        times = [spans[:, i].astype("datetime64[us]") for i in (0, 1)]
-        out = pd.DataFrame({"rows": spans[:, 2], "start_ts": times[0], "end_ts": times[1], "late": late})
-        for at, (name, value) in enumerate(zip(self.by, key)):
-            out.insert(at, name, [value] * len(out))
-        return out
+    def _frame(self, spans: pd.DataFrame, late: bool) -> pd.DataFrame:
+        times = [spans[c].to_numpy().astype("datetime64[us]") for c in ("first", "last")]
+        return spans[self.by].assign(rows=spans["n"], start_ts=times[0], end_ts=times[1], late=late)
 
-    def _closed(self, key, spans: np.ndarray, watermark_ms: int) -> Iterator[pd.DataFrame]:
+    def _closed(self, spans: list[pd.DataFrame], watermark_ms: int) -> Iterator[pd.DataFrame]:
         """Keep what a row in time can still join, and give out the rest."""
-        open_ = spans[:, 1] // MICROS + self.gap >= watermark_ms // 1000
+        if not sum(map(len, spans)):
+            return
+        joined = merged(pd.concat([s for s in spans if len(s)], ignore_index=True), self.by, self.gap)
+        open_ = (joined["last"] // MICROS + self.gap >= watermark_ms // 1000).to_numpy()
         if (~open_).any():
-            yield self._frame(key, spans[~open_], False)
-        if open_.any():
-            self.spans.update((spans[open_].tobytes(),))
-            self.handle.registerTimer(int(spans[open_, 1].min() // MICROS + self.gap + 1) * 1000)
+            yield self._frame(joined[~open_], False)
+        kept = joined[open_]
+        if len(kept):
+            self.spans.put([(dump(kept.iloc[at:at + BLOCK_ROWS]),) for at in range(0, len(kept), BLOCK_ROWS)])
+            self.handle.registerTimer(int(kept["last"].min() // MICROS + self.gap + 1) * 1000)
         else:
             self.spans.clear()
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         watermark = timerValues.getCurrentWatermarkInMs()
-        new = np.concatenate([f[["first", "last", "n"]].to_numpy(np.int64) for f in rows])
+        new = pd.concat([f[[*self.by, "first", "last", "n"]] for f in rows], ignore_index=True)
         # A row is late if the watermark has passed its whole second.
-        late = (new[:, 0] // MICROS + 1) * 1000 <= watermark if watermark > 0 else np.zeros(len(new), bool)
+        late = ((new["first"] // MICROS + 1) * 1000 <= watermark).to_numpy() & (watermark > 0)
         if late.any():
-            yield self._frame(key, new[late], True)
-        yield from self._closed(key, merged(np.concatenate([self._held(), new[~late]]), self.gap), watermark)
+            yield self._frame(new[late], True)
+        yield from self._closed([*self._held(), new[~late]], watermark)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield from self._closed(key, self._held(), timerValues.getCurrentWatermarkInMs())
+        yield from self._closed(self._held(), timerValues.getCurrentWatermarkInMs())
 
 
-def sessions(stream: DataFrame, by: Sequence[str], ts: str, late: str, gap_seconds: int = 600) -> DataFrame:
+def sessions(stream: DataFrame, by: Sequence[str], ts: str, late: str, gap_seconds: int = 600,
+             buckets: int = BUCKETS) -> DataFrame:
     """``by``, ``rows``, ``start_ts``, ``end_ts``, ``late``: sequences without a longer pause.
 
     A sequence comes out once, when the watermark has passed it. Rows that come after the
     watermark has passed their second come out by themselves, with ``late`` set, and join no
     sequence: the rows of both kinds add up to the rows that came in with a time. Rows without a
-    time are left out.
+    time are left out. The open sequences of one of ``buckets`` parts of the keys meet in one call;
+    the number does not influence results, and a running query keeps it.
     """
     by, types = list(by), {f.name: f.dataType.simpleString() for f in stream.schema}
     if types[ts] != "timestamp":
@@ -107,6 +109,6 @@ def sessions(stream: DataFrame, by: Sequence[str], ts: str, late: str, gap_secon
             yield out.reset_index().rename(columns={"min": "first", "max": "last", "size": "n"})[[*by, "first", "last", "n"]]
 
     partial = rows.mapInPandas(by_second, keys + "first bigint, last bigint, n bigint")
-    return partial.groupBy(*by).transformWithStateInPandas(
+    return partial.withColumn("__bucket", bucket(by, buckets)).groupBy("__bucket").transformWithStateInPandas(
         _Open(by, gap_seconds), keys + "rows bigint, start_ts timestamp, end_ts timestamp, late boolean",
         "append", "EventTime")

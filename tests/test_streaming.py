@@ -311,3 +311,20 @@ def test_histories_of_keys_in_one_bucket(spark, files):
     got = to_the_end(spark, source(spark, files), lambda r: live.rolling_values(
         r, ["k"], ["ts", "t"], ["x"], LATE_TEXT, 5, expire_ms=3_000, span_ms=11_000, buckets=1)).collect()
     assert len(got) == N and {(r.k, r.t): r.x_history for r in got} == expected
+
+
+def test_sessions_make_no_call_for_every_key(spark, monkeypatch, tmp_path):
+    from millrace.streaming import sessions as module
+    monkeypatch.setattr(module, "merged", counted(module.merged, str(tmp_path / "calls")))
+    got = to_the_end(spark, many_keys(spark), lambda r: module.sessions(r, ["k"], "ts", LATE_TEXT, 3))
+    assert got.where("rows = 1 and not late").count() == 2_000
+    assert 0 < (tmp_path / "calls").stat().st_size < 2_000
+
+
+def test_sessions_of_keys_in_one_bucket(spark, files):
+    from millrace.operators.sequences import split_sequences_by_gap
+    got = to_the_end(spark, source(spark, files).where("t % 7 < 2"),
+                     lambda r: sessions(r, ["k"], "ts", LATE_TEXT, 3, buckets=1))
+    numbered = split_sequences_by_gap(spark.read.parquet(files).where("t % 7 < 2"), "ts", 3, ["t"], ["k"])
+    batch = numbered.groupBy("k", "sequence_id").agg(F.count(F.lit(1)), F.min("ts"), F.max("ts")).drop("sequence_id")
+    assert sorted(tuple(r)[:4] for r in got.collect()) == sorted(tuple(r) for r in batch.collect())
