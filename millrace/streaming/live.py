@@ -15,6 +15,7 @@ nothing is dropped by accident.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -43,15 +44,49 @@ def _sink(stream: DataFrame, path: str) -> DataStreamWriter:
             .option("path", f"{path}/data").option("checkpointLocation", f"{path}/checkpoint"))
 
 
-def drain(stream: DataFrame, path: str) -> DataFrame:
-    """Write what is available to Parquet below ``path`` and return all that was written there."""
-    _sink(stream, path).trigger(availableNow=True).start().awaitTermination()
-    return stream.sparkSession.read.schema(stream.schema).parquet(f"{path}/data")
+def state_partitions(spark: SparkSession) -> int:
+    """As many parts of state as cores, if the session does not have fewer partitions.
+
+    Each micro-batch starts a Python process and opens and commits a store for every part and
+    step of state, with or without rows in it. Calls hold a bucket and span, so memory does not
+    depend on the number of parts.
+    """
+    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), max(8, spark.sparkContext.defaultParallelism))
+
+
+@contextmanager
+def _settings(spark: SparkSession, values: dict[str, str]):
+    """A query takes over its session's settings when it starts."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def _start(writer: DataStreamWriter, spark: SparkSession, partitions: int | None, ends: bool = True) -> StreamingQuery:
+    """A query's checkpoint keeps the number of its parts of state; ``partitions`` holds for new ones."""
+    with _settings(spark, {"spark.sql.shuffle.partitions": str(partitions or state_partitions(spark)),
+                           "spark.sql.streaming.noDataMicroBatches.enabled": str(ends).lower()}):
+        return writer.start()
+
+
+def drain(stream: DataFrame, path: str, partitions: int | None = None, ends: bool = True) -> DataFrame:
+    """Write what is available to Parquet below ``path`` and return all that was written there.
+
+    Without ``ends``, what the last watermark releases is left to the next run.
+    """
+    spark = stream.sparkSession
+    _start(_sink(stream, path).trigger(availableNow=True), spark, partitions, ends).awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{path}/data")
 
 
-def run(stream: DataFrame, path: str, every: str = "500 milliseconds") -> StreamingQuery:
+def run(stream: DataFrame, path: str, every: str = "500 milliseconds", partitions: int | None = None) -> StreamingQuery:
     """Keep writing to Parquet below ``path``, one micro-batch per interval, until stopped."""
-    return _sink(stream, path).trigger(processingTime=every).start()
+    return _start(_sink(stream, path).trigger(processingTime=every), stream.sparkSession, partitions)
 
 
 def replay(source: DataFrame, time: str, build: Callable[[DataFrame], DataFrame], path: str) -> DataFrame:
@@ -73,7 +108,7 @@ def replay_all(sources: dict[str, tuple[DataFrame, str]], build: Callable[..., D
         ends = source.sparkSession.readStream.schema(marks[name].schema).parquet(f"{path}/end-{name}")
         streams.append(source.withColumn(END, F.lit(False)).unionByName(ends, allowMissingColumns=True))
     stream = build(*streams)
-    drain(stream, path)
+    drain(stream, path, ends=False)
     for name, mark in marks.items():
         mark.write.mode("append").parquet(f"{path}/end-{name}")
     return drain(stream, path)

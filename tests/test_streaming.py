@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 
 import numpy as np
 import pytest
@@ -328,3 +329,26 @@ def test_sessions_of_keys_in_one_bucket(spark, files):
     numbered = split_sequences_by_gap(spark.read.parquet(files).where("t % 7 < 2"), "ts", 3, ["t"], ["k"])
     batch = numbered.groupBy("k", "sequence_id").agg(F.count(F.lit(1)), F.min("ts"), F.max("ts")).drop("sequence_id")
     assert sorted(tuple(r)[:4] for r in got.collect()) == sorted(tuple(r) for r in batch.collect())
+
+
+@pytest.mark.parametrize("asked", [None, 3])
+def test_parts_of_state_do_not_follow_the_partitions_of_batch_jobs(spark, files, asked):
+    before, path = spark.conf.get("spark.sql.shuffle.partitions"), scratch_path(spark, "parts")
+    most = asked or max(8, spark.sparkContext.defaultParallelism)
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "40")
+        found = live.drain(sessions(source(spark, files), ["k"], "ts", LATE_TEXT, 5), path, asked)
+        assert found.count() > 0
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "40"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    state = spark.read.format("state-metadata").load(f"{path}/checkpoint")
+    assert {r["numPartitions"] for r in state.collect()} == {most}
+
+
+def test_a_replay_releases_rows_once_the_end_is_read(spark, files, tmp_path):
+    """A micro-batch for each file, and two for the end."""
+    path, read = str(tmp_path), len(spark.read.schema(SCHEMA).parquet(files).inputFiles())
+    found = live.replay(source(spark, files), "ts", lambda rows: sessions(rows, ["k"], "ts", LATE_TEXT, 5), path)
+    assert found.agg(F.sum("rows")).first()[0] == N
+    assert len([f for f in os.listdir(f"{path}/checkpoint/commits") if f.isdigit()]) == read + 2
