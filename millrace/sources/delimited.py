@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from contextlib import contextmanager
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.operators.cleaning import find_column, normalize_columns
@@ -13,8 +12,10 @@ from millrace.operators.features import union_by_name
 
 # Roles of columns, and the name parts by which a file's header is searched, in order.
 PROCESS_ROLES = {"time": ("time", "date"), "speed": ("speed",), "code": ("code", "product")}
-# So large that no file is cut or shares a partition; small enough to be added up.
+# So large that no two files share a partition; small enough to be added up.
 ONE_FILE = str(1 << 42)
+# Bits of a row's number in its partition, in monotonically_increasing_id.
+ROW_BITS = (1 << 33) - 1
 MALFORMED = "__malformed"
 
 
@@ -24,41 +25,34 @@ def role(name: str) -> str:
 
 
 @contextmanager
-def _file_per_partition(spark: SparkSession):
-    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
-    before = {k: spark.conf.get(k) for k in keys}
+def _no_shared_partitions(spark: SparkSession):
+    """A partition has one file, or one block of a large file."""
+    key = "spark.sql.files.openCostInBytes"
+    before = spark.conf.get(key)
     try:
-        for k in keys:
-            spark.conf.set(k, ONE_FILE)
+        spark.conf.set(key, ONE_FILE)
         yield
     finally:
-        for k, v in before.items():
-            spark.conf.set(k, v)
-
-
-def _first_line(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The first row of the partition; the rest of the file is not asked for."""
-    for batch in batches:
-        if batch.num_rows:
-            yield batch.slice(0, 1)
-            return
+        spark.conf.set(key, before)
 
 
 def header_groups(spark: SparkSession, path: str, glob: str = "*.csv") -> list[tuple[str, str | None]]:
     """(path, header line) of every file that is not empty; None for an empty first line.
 
-    Spark reads the files, by whatever scheme it knows, on the executors; a task reads the
-    beginning of one file. A file that cannot be read fails the job: it is not taken for one
+    Spark reads the files, by whatever scheme it knows, on the executors, block by block; the first
+    line of a file is the first row of its first block, and no other leaves the scan. A file that cannot be read fails the job: it is not taken for one
     without a header. Spark keeps the list of all files on the driver anyway; this adds a line
     to each.
     """
     options = {"recursiveFileLookup": "true", "pathGlobFilter": glob}
     listed = (spark.read.format("binaryFile").options(**options).load(path)
               .select("path", F.col("_metadata.file_path").alias("uri")))
-    lines = (spark.read.options(**options).text(path)
-             .select(F.col("_metadata.file_path").alias("line_uri"), F.col("value").alias("header")))
-    with _file_per_partition(spark):
-        first = lines.mapInArrow(_first_line, "line_uri string, header string")
+    number = F.monotonically_increasing_id().bitwiseAND(F.lit(ROW_BITS))
+    lines = spark.read.options(**options).text(path).select(
+        F.col("_metadata.file_path").alias("line_uri"), F.col("_metadata.file_block_start").alias("__block"),
+        number.alias("__row"), F.col("value").alias("header"))
+    with _no_shared_partitions(spark):
+        first = lines.where("__block = 0 AND __row = 0").select("line_uri", "header")
         found = listed.join(first, F.col("uri") == F.col("line_uri"), "left").select("path", "header").collect()
     return [(r["path"], (r["header"] or "").lstrip("﻿") or None) for r in found]
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from millrace.plans.layers import gold_job, silver_job
 from millrace.session import scratch_path, shared_folder
 from millrace.sources import archives, layers
-from millrace.sources.delimited import read_csv, read_process_csv, role
+from millrace.sources.delimited import header_groups, read_csv, read_process_csv, role
 from millrace.sources.params import load_params, save_params
 
 
@@ -228,3 +228,23 @@ def test_raw_files_to_gold(spark, tmp_path):
     train = made.rows.filter("split = 'train'").agg(*[F.min(c) for c in made.scaler.features],
                                                     *[F.max(c) for c in made.scaler.features]).first()
     assert list(train) == pytest.approx([0.0] * 5 + [1.0] * 5)
+
+
+def test_headers_of_files_in_blocks(spark, tmp_path):
+    """A large file is read block by block, and no line but the first goes to Python."""
+    (tmp_path / "long.csv").write_text("time;speed\n" + "2024;1\n" * 3_000)
+    (tmp_path / "short.csv").write_text("date;speed\n2024;1\n")
+    (tmp_path / "blank.csv").write_text("\n2024;1\n")
+    (tmp_path / "empty.csv").write_text("")
+    read = type(spark.range(1)).mapInArrow
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+        type(spark.range(1)).mapInArrow = None
+        found = header_groups(spark, str(tmp_path))
+    finally:
+        type(spark.range(1)).mapInArrow = read
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert {(p.rsplit("/", 1)[-1], h) for p, h in found} == {
+        ("long.csv", "time;speed"), ("short.csv", "date;speed"), ("blank.csv", None)}
+    assert len(found) == 3
