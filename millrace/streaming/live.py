@@ -54,6 +54,15 @@ def state_partitions(spark: SparkSession) -> int:
     return min(int(spark.conf.get("spark.sql.shuffle.partitions")), max(8, spark.sparkContext.defaultParallelism))
 
 
+def scoring_partitions(spark: SparkSession) -> int:
+    """Three times as many parts as those of state, if the session does not have fewer partitions.
+
+    Each micro-batch starts Python and opens a file for every part, with or without blocks in it. A
+    part scores its blocks one by one, so memory does not depend on the number of parts.
+    """
+    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * state_partitions(spark))
+
+
 @contextmanager
 def _settings(spark: SparkSession, values: dict[str, str]):
     """A query takes over its session's settings when it starts."""
@@ -129,8 +138,7 @@ def _scored(blocks: DataFrame, stream: DataFrame, by: Sequence[str], order_by: S
                 yield from each(rows, begins[rows[PIECE].to_numpy()[own]], own)
 
     schema = ", ".join([*[f"`{c}` {types[c]}" for c in keys], result])
-    width = int(stream.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = blocks.withColumn("deal", F.xxhash64("rows")).repartition(width, "deal")
+    dealt = blocks.withColumn("deal", F.xxhash64("rows")).repartition(scoring_partitions(stream.sparkSession), "deal")
     return dealt.mapInPandas(score, schema)
 
 

@@ -346,6 +346,19 @@ def test_parts_of_state_do_not_follow_the_partitions_of_batch_jobs(spark, files,
     assert {r["numPartitions"] for r in state.collect()} == {most}
 
 
+@pytest.mark.parametrize("width", [4, 1_000])
+def test_parts_that_score_do_not_follow_the_partitions_of_batch_jobs(spark, files, width):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    blocks = spark.range(5).select(F.col("id").cast("string").cast("binary").alias("rows"))
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", str(width))
+        scored = live._scored(blocks, source(spark, files), ["k"], ["ts"], "m double", lambda rows, start, own: iter(()))
+        parts = scored.rdd.getNumPartitions()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert parts == min(width, 3 * max(8, spark.sparkContext.defaultParallelism))
+
+
 def test_a_replay_releases_rows_once_the_end_is_read(spark, files, tmp_path):
     """A micro-batch for each file, and two for the end."""
     path, read = str(tmp_path), len(spark.read.schema(SCHEMA).parquet(files).inputFiles())
