@@ -3,13 +3,15 @@
 import random
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from millrace.llm.packing import best_two_fit, pack
+from millrace.llm.packing import _Encoder, best_two_fit, pack
 
 FILE = public_tokenizers.path("word_bpe_49k.json")
 SCHEMA = "doc_id bigint, text string, length string, rank int, sequence_id int"
@@ -79,5 +81,34 @@ def test_pack_whole_texts(spark):
     assert len(sequences) <= -(-total // 256) + 2
 
 
+def test_characters_that_the_tokenizer_does_not_split_as_the_pattern(spark):
+    texts = ["!\uab6c!", "a\u0558! !\u0558!", "İstanbul ΟΔΟΣ !ΟΔΟΣ! don't", "e\u0301 \u0301x", "x\x1cy\x85z\xa0w"]
+    df = spark.createDataFrame([(i, t, "x", 1, 2) for i, t in enumerate(texts)], SCHEMA)
+    codes = [[*c.ids, 0] for c in Tokenizer.from_file(FILE).encode_batch(texts, add_special_tokens=False)]
+    got = {r["doc_id"]: (r["length"], r["ids_crc32"]) for r in pack(df, FILE).collect()}
+    assert got == {i: (len(c), zlib.crc32(np.array(c, "<u4").tobytes())) for i, c in enumerate(codes)}
+
+
+@pytest.mark.parametrize("pieces", [1, 20, 10_000])
+def test_ids_do_not_depend_on_the_table(pieces):
+    r, tokenizer = random.Random(pieces), Tokenizer.from_file(FILE)
+    encode = _Encoder(Path(FILE).read_text(), pieces)
+    letters = ["abcDEF'st", "0123٣²", "!-.,<|>", "éÑßøŽİΣ", "日本語カ", "\x00\x1c\x85\u3000", " \t\n", "e\u0301😀"]
+    for _ in range(8):
+        texts = ["".join(r.choice(r.choice(letters)) for _ in range(r.choice([0, 1, 9, 90]))) for _ in range(12)]
+        ids, sizes = encode(pa.array([*texts, None, "<|endoftext|> a<|startoftext|>"]))
+        codes = tokenizer.encode_batch([*texts, "", "<|endoftext|> a<|startoftext|>"], add_special_tokens=False)
+        assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == [c.ids for c in codes]
+
+
+def test_a_piece_is_tokenized_once_a_task(monkeypatch):
+    encode, asked = _Encoder(Path(FILE).read_text()), []
+    learn = encode._learn
+    monkeypatch.setattr(encode, "_learn", lambda pieces: asked.extend(pieces) or learn(pieces))
+    for texts in (["alpha Alpha, ALPHA! naïve", "beta alpha"], ["(beta) Alpha Naïve", "7beta"]):
+        encode(pa.array(texts))
+    assert sorted(asked) == sorted(["alpha", ",", "!", "naïve", "beta", "(", ")", "7"])
+
+
 def test_pack_an_empty_table(spark):
     assert pack(spark.createDataFrame([], SCHEMA), FILE).collect() == []
